@@ -27,9 +27,10 @@ _ONLY_FRACTION = r"^[+-]?\.[0-9]*$"
 
 def legacy_int(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
+    # Plain integers (the common case) parse in the first branch: try_cast trims
+    # the same edge characters and accepts the same digits, without a regex.
+    plain = c.try_cast(T.IntegerType())
     t = F.regexp_replace(c, _EDGES, "")
-    # The common case (plain digits) resolves in the first branch without a regex.
-    plain = t.try_cast(T.IntegerType())
     return F.coalesce(
         plain,
         F.when(t.rlike(_WITH_FRACTION),
@@ -41,7 +42,7 @@ def legacy_int(col: Column | str) -> Column:
 def legacy_int_sql(name: str) -> str:
     """The same rule as a SQL expression over column ``name`` (for ``spark.sql``)."""
     t = f"regexp_replace({name}, '^[\\\\x00-\\\\x20]+|[\\\\x00-\\\\x20]+$', '')"
-    return (f"coalesce(try_cast({t} AS INT), CASE WHEN {t} RLIKE '{_WITH_FRACTION}' "
+    return (f"coalesce(try_cast({name} AS INT), CASE WHEN {t} RLIKE '{_WITH_FRACTION}' "
             f"THEN try_cast(substring_index({t}, '.', 1) AS INT) "
             f"WHEN {t} RLIKE '{_ONLY_FRACTION}' THEN 0 END)")
 
