@@ -1,5 +1,5 @@
 """Column expressions built only from Spark's own functions (no UDFs)."""
 
-from .casting import cast_expr, legacy_int, legacy_int_sql
+from .casting import cast_expr, legacy_int
 
-__all__ = ["cast_expr", "legacy_int", "legacy_int_sql"]
+__all__ = ["cast_expr", "legacy_int"]

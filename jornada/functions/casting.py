@@ -19,32 +19,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The accepted number shapes of the lenient cast.
-_EDGES = r"^[\x00-\x20]+|[\x00-\x20]+$"
-_WITH_FRACTION = r"^[+-]?[0-9]+\.[0-9]*$"
-_ONLY_FRACTION = r"^[+-]?\.[0-9]*$"
+# Characters trimmed from both ends (U+0000..U+0020), and the
+# accepted number shape: sign, digits, optional fraction; or a bare fraction.
+_EDGE_CHARS = "".join(chr(i) for i in range(0x21))
+_NUMBER_SHAPE = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]*)$"
 
 
 def legacy_int(col: Column | str) -> Column:
+    """Lenient text -> int, as the rules above.
+
+    ``try_cast`` only ever sees a sign and digits (it is slow on text it cannot
+    parse), so invalid text costs one regex match and nothing more.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    # Plain integers (the common case) parse in the first branch: try_cast trims
-    # the same edge characters and accepts the same digits, without a regex.
-    plain = c.try_cast(T.IntegerType())
-    t = F.regexp_replace(c, _EDGES, "")
-    return F.coalesce(
-        plain,
-        F.when(t.rlike(_WITH_FRACTION),
-               F.substring_index(t, ".", 1).try_cast(T.IntegerType()))
-         .when(t.rlike(_ONLY_FRACTION), F.lit(0)),
-    )
-
-
-def legacy_int_sql(name: str) -> str:
-    """The same rule as a SQL expression over column ``name`` (for ``spark.sql``)."""
-    t = f"regexp_replace({name}, '^[\\\\x00-\\\\x20]+|[\\\\x00-\\\\x20]+$', '')"
-    return (f"coalesce(try_cast({name} AS INT), CASE WHEN {t} RLIKE '{_WITH_FRACTION}' "
-            f"THEN try_cast(substring_index({t}, '.', 1) AS INT) "
-            f"WHEN {t} RLIKE '{_ONLY_FRACTION}' THEN 0 END)")
+    t = F.trim(c, F.lit(_EDGE_CHARS))
+    whole = F.substring_index(t, ".", 1)
+    return F.when(
+        t.rlike(_NUMBER_SHAPE),
+        F.when(whole.isin("", "+", "-"), F.lit(0)).otherwise(whole.try_cast(T.IntegerType())))
 
 
 def cast_expr(col: str, data_type: T.DataType) -> Column:
