@@ -18,6 +18,8 @@ Rejections are reported, never raised.
 from __future__ import annotations
 
 import re
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +36,7 @@ REJECTED_MALFORMED = "rejected_malformed"
 
 # A field separator outside double quotes.
 _SEPARATOR_OUTSIDE_QUOTES = DELIMITER + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
-# Largest number of rejected objects filtered by a literal list; beyond it, a join.
+# Largest drop folder (in objects) decided on object names; beyond it, joins.
 MAX_LITERAL_REJECTS = 10_000
 
 
@@ -113,29 +115,41 @@ def expected_fields(dataset: Column) -> Column:
     return out
 
 
+def field_count(line: Column) -> Column:
+    """Fields in a delimited line, counting separators outside double quotes.
+
+    Lines without a quote (nearly all) are counted without a regex.
+    """
+    plain = F.length(line) - F.length(F.replace(line, F.lit(DELIMITER), F.lit(""))) + 1
+    quoted = F.size(F.split(line, _SEPARATOR_OUTSIDE_QUOTES, -1))
+    return F.when(F.instr(line, '"') == 0, plain).otherwise(quoted)
+
+
 def quality(spark: SparkSession, drop_dir: str) -> DataFrame:
     """Per object of a known dataset: data rows, long rows (surplus fields) and
     short rows (missing fields), from one text scan of the whole drop folder.
 
-    Fields are counted outside double quotes, as the CSV reader splits them;
-    blank lines are skipped and each file's first line is its header. The
-    aggregation is partial per task, so one huge object is no hot spot.
+    Blank lines are skipped and each file's first line is its header, as the
+    CSV reader does. Lines are first counted per (file, field count) — partial
+    aggregation in every task, so one huge file is no hot spot — and only that
+    small table is mapped to objects and datasets.
     """
-    lines = (spark.read.option("recursiveFileLookup", "true").text(drop_dir)
-             .select(F.col("value"), F.col("_metadata.file_path").alias("file"))
-             .where(F.col("value") != ""))
-    obj = object_name(F.col("file"), drop_dir)
-    n = expected_fields(dataset_token(obj))
-    fields = F.size(F.split(F.col("value"), _SEPARATOR_OUTSIDE_QUOTES, -1))
-    per_object = (lines.select(obj.alias("object"), "file", n.alias("n"), fields.alias("fields"))
-                  .where(F.col("n").isNotNull())
-                  .groupBy("object")
-                  .agg(F.count(F.lit(1)).alias("lines"),
-                       F.count_distinct("file").alias("files"),
-                       F.sum((F.col("fields") > F.col("n")).cast("long")).alias("long_rows"),
-                       F.sum((F.col("fields") < F.col("n")).cast("long")).alias("short_rows")))
-    return per_object.select("object", (F.col("lines") - F.col("files")).alias("rows"),
-                             "long_rows", "short_rows")
+    per_file = (spark.read.option("recursiveFileLookup", "true").text(drop_dir)
+                .where(F.col("value") != "")
+                .groupBy(F.col("_metadata.file_path").alias("file"),
+                         field_count(F.col("value")).alias("fields"))
+                .agg(F.count(F.lit(1)).alias("lines")))
+    n = F.col("n")
+    return (per_file
+            .withColumn("object", object_name(F.col("file"), drop_dir))
+            .withColumn("n", expected_fields(dataset_token(F.col("object"))))
+            .where(n.isNotNull())
+            .groupBy("object")
+            .agg((F.sum("lines") - F.count_distinct("file")).alias("rows"),
+                 F.sum(F.when(F.col("fields") > n, F.col("lines")).otherwise(0))
+                  .alias("long_rows"),
+                 F.sum(F.when(F.col("fields") < n, F.col("lines")).otherwise(0))
+                  .alias("short_rows")))
 
 
 def landing_report(spark: SparkSession, drop_dir: str, zone: Zone | None = None) -> DataFrame:
@@ -148,14 +162,19 @@ def landing_report(spark: SparkSession, drop_dir: str, zone: Zone | None = None)
     return report.withColumn("status", status).drop("name_status")
 
 
-def _accepted_rows(rows: DataFrame, report: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows of one dataset from objects the report accepts."""
-    rejected = report.where((F.col("dataset") == spec.name) & (F.col("status") != OK))
-    names = [r.object for r in rejected.select("object").limit(MAX_LITERAL_REJECTS + 1).collect()]
-    if len(names) <= MAX_LITERAL_REJECTS:
-        kept = rows.where(~F.col("object").isin(names)) if names else rows
+def _accepted_rows(rows: DataFrame, spec: TableSpec, rejected: list[str] | None,
+                   report: DataFrame) -> DataFrame:
+    """Rows of one dataset from objects the report accepts.
+
+    ``rejected`` is the literal list of rejected object names when the drop
+    folder is small enough to decide on names; otherwise the rejected objects
+    are removed by an anti join with the saved report.
+    """
+    if rejected is None:
+        bad = report.where((F.col("dataset") == spec.name) & (F.col("status") != OK))
+        kept = rows.join(bad.select("object"), "object", "left_anti")
     else:
-        kept = rows.join(rejected.select("object"), "object", "left_anti")
+        kept = rows.where(~F.col("object").isin(rejected)) if rejected else rows
     day = parse_batch_date(date_token(F.col("object")))
     return (kept.where(day.isNotNull())
             .select(*spec.columns,
@@ -164,24 +183,54 @@ def _accepted_rows(rows: DataFrame, report: DataFrame, spec: TableSpec) -> DataF
                     F.date_format(day, "dd").alias("day")))
 
 
+def save_report(spark: SparkSession, report: DataFrame, zone: Zone) -> DataFrame:
+    """Write the report once as a landing log under the raw root and read it back.
+
+    Every later decision reads this small table instead of listing and
+    scanning the drop folder again; it also records what landed and why
+    anything was rejected.
+    """
+    path = f"{zone.raw_root.rstrip('/')}/_landing/{uuid.uuid4().hex}"
+    report.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _write_dataset(rows: DataFrame, zone: Zone, spec: TableSpec) -> None:
+    (rows.write
+     .mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*PARTITION_COLUMNS)
+     .option("header", "true").option("delimiter", DELIMITER)
+     .csv(zone.raw_dataset_path(spec)))
+
+
 def land(spark: SparkSession, drop_dir: str, zone: Zone,
          report: DataFrame | None = None) -> DataFrame:
-    """Land every accepted object of a drop folder; returns the report.
+    """Land every accepted object of a drop folder; returns the saved report.
 
-    One distributed write per dataset; each landed day replaces its folder.
-    The report is computed once and reused for the writes.
+    One distributed write per dataset (run side by side); each landed day
+    replaces its folder, so landing a drop twice gives the same raw zone.
     """
     if report is None:
         report = landing_report(spark, drop_dir, zone)
-    ok = {r.dataset for r in report.where(F.col("status") == OK)
-          .select("dataset").distinct().collect()}
-    for spec in DATASETS.values():
-        if spec.name not in ok:
-            continue
+    report = save_report(spark, report, zone)
+    # One row per drop object: the same order of size as the file listing
+    # Spark's own file index keeps on the driver for the scans below.
+    manifest = (report.select("dataset", "object", "status")
+                .limit(MAX_LITERAL_REJECTS + 1).collect())
+    if len(manifest) <= MAX_LITERAL_REJECTS:
+        ok = {r.dataset for r in manifest if r.status == OK}
+        rejected = {name: [r.object for r in manifest if r.dataset == name and r.status != OK]
+                    for name in ok}
+    else:
+        ok = {r.dataset for r in report.where(F.col("status") == OK)
+              .select("dataset").distinct().collect()}
+        rejected = {name: None for name in ok}
+    specs = [spec for spec in DATASETS.values() if spec.name in ok]
+
+    def one(spec: TableSpec) -> None:
         rows = read_drop(spark, drop_dir, spec)
-        (_accepted_rows(rows, report, spec).write
-         .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*PARTITION_COLUMNS)
-         .option("header", "true").option("delimiter", DELIMITER)
-         .csv(zone.raw_dataset_path(spec)))
+        _write_dataset(_accepted_rows(rows, spec, rejected[spec.name], report), zone, spec)
+
+    with ThreadPoolExecutor(max_workers=max(1, len(specs))) as pool:
+        list(pool.map(one, specs))
     return report

@@ -69,3 +69,17 @@ def test_land_one_batch_date_only(spark, workdir):
     land_drop(spark, drop, zone, batch="20231205")
     days = {r.day for r in scan_raw_backfill(spark, zone, PROVIDERS).collect()}
     assert days == {"05"}
+
+
+def test_large_drop_path_uses_join(spark, workdir, monkeypatch):
+    from jornada.operators import landing
+    monkeypatch.setattr(landing, "MAX_LITERAL_REJECTS", 1)
+    drop = f"{workdir}/drop"
+    prov = "nombre_proveedor;tipo_energia\nacme;solar\n"
+    write_text(f"{drop}/Providers_20231204.csv", prov)
+    write_text(f"{drop}/Providers_20231205.csv", prov + "x;y;z\n")
+    write_text(f"{drop}/Providers_20231206.csv", prov)
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
+    land_drop(spark, drop, zone)
+    days = sorted(r.day for r in scan_raw_backfill(spark, zone, PROVIDERS).collect())
+    assert days == ["04", "06"]
