@@ -149,6 +149,7 @@ ORACLE_SQL: dict[str, str] = {
                        f"WHERE tipo_energia = 'hidroelectrica' AND tipo_transaccion = 'venta'",
     "filter_range": f"SELECT * FROM ({_CURATED_TX}) t WHERE precio > 1000",
     "partitioned_write": _DATED_CURATED,
+    "curate_incremental": _DATED_CURATED,
     "append_batch": "SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, "
                     "strftime(ts, '%d') AS day, count(*) AS rows_after_first, "
                     "2 * count(*) AS rows_after_second, count(*) AS rows_after_replace "

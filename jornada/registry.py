@@ -22,6 +22,7 @@ from .operators.filters import all_of, energy_is, kind_is, price_above
 from .plans import curate, curate_backfill, hydro_sales, hydro_sales_sql, land_drop
 from .session import scratch_dir
 from .sources import scan_curated, scan_raw, scan_raw_backfill
+from .streaming import curate_stream
 from .spec import CUSTOMERS, DATASETS, KEY_COLUMN, PARTITION_COLUMNS, PROVIDERS, TRANSACTIONS
 
 DAY = fx.FLAGSHIP_DATE
@@ -248,6 +249,26 @@ def _next_day(text: str) -> str:
     return (dt.datetime.strptime(text, "%Y%m%d") + dt.timedelta(days=1)).strftime("%Y%m%d")
 
 
+def q_curate_incremental(spark, sf_dir):
+    """Land the first half of the days, run the stream, land the rest, run it again."""
+    zone = _zone(spark, "incremental")
+    dated = fx.dated_transactions(spark, sf_dir)
+    day = F.concat(*PARTITION_COLUMNS)
+    middle = dated.agg(F.percentile_approx(day.cast("int"), 0.5).alias("m")).first().m
+    for part in (dated.where(day.cast("int") <= middle), dated.where(day.cast("int") > middle)):
+        stage_landed_days(part, zone)
+        curate_stream(spark, TRANSACTIONS, zone).awaitTermination()
+    return scan_curated(spark, zone.curated_path(TRANSACTIONS), TRANSACTIONS).drop(KEY_COLUMN)
+
+
+def stage_landed_days(df: DataFrame, zone: Zone) -> None:
+    """Add days to a raw zone the way landing does (other days untouched)."""
+    (df.select(*TRANSACTIONS.columns, *PARTITION_COLUMNS).write
+     .mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*PARTITION_COLUMNS).option("header", "true").option("delimiter", ";")
+     .csv(zone.raw_dataset_path(TRANSACTIONS)))
+
+
 def q_landing_parse_date(spark, sf_dir):
     routed = route(list_drop(spark, drop_folder(spark, sf_dir)))
     return routed.select("object", "dataset",
@@ -304,6 +325,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_batch": q_append_batch,
     "catalog_sync": q_catalog_sync,
     "empty_batch": q_empty_batch,
+    "curate_incremental": q_curate_incremental,
     "landing_parse_date": q_landing_parse_date,
     "landing_reject": q_landing_reject,
     "landing_route": q_landing_route,
