@@ -108,6 +108,22 @@ def stage_raw_zone(df: DataFrame, zone: Zone, spec: TableSpec) -> str:
     return path
 
 
+def stage_legacy_days(df: DataFrame, raw_root: str, spec: TableSpec) -> list[str]:
+    """Write each day's rows to the per-file layout
+    ``<Dataset>/yyyy/MM/dd/<Dataset>_yyyyMMdd.csv`` (one write per day, in parallel)."""
+    day = F.concat(*PARTITION_COLUMNS)
+    days = [r.d for r in df.select(day.alias("d")).distinct().collect()]
+    root = raw_root.rstrip("/")
+
+    def write(d: str) -> str:
+        path = f"{root}/{spec.name}/{d[:4]}/{d[4:6]}/{d[6:]}/{spec.name}_{d}.csv"
+        _csv_writer(df.where(day == d).select(*spec.columns)).mode("overwrite").csv(path)
+        return path
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return list(pool.map(write, days))
+
+
 def stage_object(df: DataFrame, drop_dir: str, name: str) -> str:
     """One drop object (a folder of part files, each with a header line)."""
     path = f"{drop_dir.rstrip('/')}/{name}"

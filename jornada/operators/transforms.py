@@ -3,7 +3,7 @@ no step shuffles, and Catalyst collapses them into one projection."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import BatchDate
@@ -70,12 +70,17 @@ def add_partition_columns(df: DataFrame, batch: BatchDate) -> DataFrame:
     })
 
 
-def curate_frame(raw: DataFrame, spec: TableSpec, batch: BatchDate | None = None) -> DataFrame:
+def curate_frame(raw: DataFrame, spec: TableSpec, batch: BatchDate | None = None,
+                 observation: Observation | None = None) -> DataFrame:
     """Raw text rows -> curated rows: key, date columns, casts, upper, zero fill.
 
     With ``batch`` the date columns are constants; without it they must already
     be on ``raw`` (a multi-date scan of the raw zone carries them as columns).
     Output order: raw columns, ``primary_key``, ``year``, ``month``, ``day``.
+
+    With ``observation``, the same pass records ``rows`` and, per int column,
+    ``unparsed_<c>`` (text present but not a number) and, per zero-filled
+    column, ``zero_filled_<c>``; only null tests are added, the cast runs once.
     """
     df = raw
     if batch is not None:
@@ -84,7 +89,13 @@ def curate_frame(raw: DataFrame, spec: TableSpec, batch: BatchDate | None = None
     df = add_surrogate_key(df)
     if batch is not None:
         df = add_partition_columns(df, batch)
+    flags = {f"__raw_null_{c}": F.col(c).isNull() for c in spec.int_columns}
+    if observation is not None and flags:
+        df = df.withColumns(flags)
     df = cast_columns(df, spec)
+    if observation is not None:
+        df = df.observe(observation, *_quality_metrics(spec))
+        df = df.drop(*flags)
     df = upper_columns(df, spec.upper)
     for c in spec.zero_fill:
         df = fill_zero(df, c)
@@ -93,14 +104,11 @@ def curate_frame(raw: DataFrame, spec: TableSpec, batch: BatchDate | None = None
     return df.select(*ordered)
 
 
-def quality_metrics(raw: DataFrame, spec: TableSpec) -> list[Column]:
-    """Aggregates for an ``Observation``: rows, and per int column the count of
-    text values that did not parse (they become null, then 0 if zero-filled)."""
+def _quality_metrics(spec: TableSpec) -> list[Column]:
     metrics = [F.count(F.lit(1)).alias("rows")]
     for c in spec.int_columns:
-        bad = F.col(c).isNotNull() & cast_expr(c, spec.curated_type(c)).isNull()
+        bad = F.col(c).isNull() & ~F.col(f"__raw_null_{c}")
         metrics.append(F.sum(bad.cast("long")).alias(f"unparsed_{c}"))
     for c in spec.zero_fill:
-        metrics.append(F.sum(cast_expr(c, spec.curated_type(c)).isNull().cast("long"))
-                       .alias(f"zero_filled_{c}"))
+        metrics.append(F.sum(F.col(c).isNull().cast("long")).alias(f"zero_filled_{c}"))
     return metrics

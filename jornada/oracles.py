@@ -129,6 +129,7 @@ ORACLE_SQL: dict[str, str] = {
     "query_hydro_sales_day": _HYDRO.format(inner=_MONTH_CURATED),
     "scan_raw_csv": _RAW_TX,
     "scan_raw_backfill": _DATED_RAW,
+    "scan_raw_legacy_backfill": _DATED_RAW,
     "cast_providers": _RAW_PROVIDERS,
     "cast_customers": _RAW_CUSTOMERS,
     "cast_transactions": _CAST_TX,

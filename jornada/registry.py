@@ -21,7 +21,7 @@ from .operators import (add_partition_columns, cast_columns, fill_zero, landing_
 from .operators.filters import all_of, energy_is, kind_is, price_above
 from .plans import curate, curate_backfill, hydro_sales, hydro_sales_sql, land_drop
 from .session import scratch_dir
-from .sources import scan_curated, scan_raw, scan_raw_backfill
+from .sources import scan_curated, scan_legacy_backfill, scan_raw, scan_raw_backfill
 from .streaming import curate_stream
 from .spec import CUSTOMERS, DATASETS, KEY_COLUMN, PARTITION_COLUMNS, PROVIDERS, TRANSACTIONS
 
@@ -122,6 +122,19 @@ def q_scan_raw_backfill(spark, sf_dir):
     return scan_raw_backfill(spark, backfill_zone(spark, sf_dir), TRANSACTIONS)
 
 
+def legacy_zone(spark: SparkSession, sf_dir: str) -> Zone:
+    """Raw zone in the per-file layout, one file per event day."""
+    def build():
+        zone = _zone(spark, "legacy")
+        fx.stage_legacy_days(fx.dated_transactions(spark, sf_dir), zone.raw_root, TRANSACTIONS)
+        return zone
+    return _once(spark, sf_dir, "legacy", build)
+
+
+def q_scan_raw_legacy_backfill(spark, sf_dir):
+    return scan_legacy_backfill(spark, legacy_zone(spark, sf_dir).raw_root, TRANSACTIONS)
+
+
 def q_cast_providers(spark, sf_dir):
     return cast_columns(_raw(spark, sf_dir, PROVIDERS), PROVIDERS)
 
@@ -309,6 +322,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "query_hydro_sales_day": q_query_hydro_sales_day,
     "scan_raw_csv": q_scan_raw_csv,
     "scan_raw_backfill": q_scan_raw_backfill,
+    "scan_raw_legacy_backfill": q_scan_raw_legacy_backfill,
     "cast_providers": q_cast_providers,
     "cast_customers": q_cast_customers,
     "cast_transactions": q_cast_transactions,

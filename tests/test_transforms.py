@@ -79,3 +79,15 @@ def test_surrogate_key_unique_across_partitions(spark):
     agg = out.agg(F.count("*").alias("n"), F.countDistinct("primary_key").alias("d"),
                   F.min("primary_key").alias("m")).first()
     assert (agg.n, agg.d, agg.m) == (10_000, 10_000, 1)
+
+
+def test_observed_metrics(spark):
+    from pyspark.sql import Observation
+    df = raw_tx(spark, [("venta", "a", "x", "abc", "solar"), ("venta", "b", "1", None, "solar"),
+                        ("venta", "c", None, "7.5", "solar")])
+    obs = Observation("m")
+    out = curate_frame(df, TRANSACTIONS, BatchDate("20231204"), observation=obs)
+    assert out.columns == list(TRANSACTIONS.columns) + ["primary_key", "year", "month", "day"]
+    assert sorted(r.precio for r in out.collect()) == [0, 0, 7]
+    assert obs.get == {"rows": 3, "unparsed_cantidad_comprada": 1, "unparsed_precio": 1,
+                       "zero_filled_precio": 2}
