@@ -103,3 +103,13 @@ def test_sync_catalog_add_partition(spark, workdir):
     assert (row.nombre, row.year, row.month, row.day) == ("ANA", "2023", "12", "04")
     types = dict(spark.table(name).dtypes)
     assert types["month"] == "string"
+
+
+def test_write_failure_names_dataset_and_date(spark, workdir):
+    zone = _zone(workdir, env="failtest")
+    b = BatchDate("20231204")
+    write_text(f"{zone.raw_day_path(PROVIDERS, b)}/part-0.csv",
+               "nombre_proveedor;tipo_energia\nacme;solar\n")
+    # No Hudi jar in this environment: the format cannot be found.
+    with pytest.raises(RuntimeError, match="Providers for 20231204"):
+        curate(spark, PROVIDERS, b, zone, fmt="hudi")
