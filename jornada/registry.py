@@ -20,7 +20,7 @@ from .operators import (add_partition_columns, cast_columns, fill_zero, landing_
                         list_drop, route, upper_column)
 from .operators.filters import all_of, energy_is, kind_is, price_above
 from .plans import curate, curate_backfill, hydro_sales, hydro_sales_sql, land_drop
-from .session import scratch_dir
+from .session import app_id, scratch_dir
 from .sources import scan_curated, scan_legacy_backfill, scan_raw, scan_raw_backfill
 from .streaming import curate_stream
 from .spec import CUSTOMERS, DATASETS, KEY_COLUMN, PARTITION_COLUMNS, PROVIDERS, TRANSACTIONS
@@ -33,7 +33,7 @@ _staged: dict = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, what: str, build: Callable):
-    key = (spark.sparkContext.applicationId, sf_dir, what)
+    key = (app_id(spark), sf_dir, what)
     with _lock:
         if key not in _staged:
             _staged[key] = build()

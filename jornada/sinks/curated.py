@@ -39,6 +39,21 @@ def _ddl_columns(spec: TableSpec) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.curated_schema())
 
 
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """Location of a catalog table (one metadata row, read on the driver)."""
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect():
+        if row.col_name == "Location":
+            return row.data_type
+    return None
+
+
+def _norm(path: str) -> str:
+    for prefix in ("file://", "file:"):
+        if path.startswith(prefix):
+            path = path[len(prefix):]
+    return path.rstrip("/")
+
+
 def sync_catalog(spark: SparkSession, database: str, spec: TableSpec, path: str,
                  batches: list[BatchDate] | None = None) -> str:
     """Register the curated folder as an external partitioned table.
@@ -52,6 +67,9 @@ def sync_catalog(spark: SparkSession, database: str, spec: TableSpec, path: str,
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({_ddl_columns(spec)}) USING parquet "
         f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) LOCATION '{path}'")
+    registered = table_location(spark, name)
+    if registered is not None and _norm(registered) != _norm(path):
+        raise ValueError(f"{name} is registered at {registered}, not at {path}")
     if batches is None:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     else:

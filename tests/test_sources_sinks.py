@@ -113,3 +113,14 @@ def test_write_failure_names_dataset_and_date(spark, workdir):
     # No Hudi jar in this environment: the format cannot be found.
     with pytest.raises(RuntimeError, match="Providers for 20231204"):
         curate(spark, PROVIDERS, b, zone, fmt="hudi")
+
+
+def test_sync_catalog_refuses_other_location(spark, workdir):
+    zone = _zone(workdir, env="locationtest")
+    b = BatchDate("20231204")
+    write_text(f"{zone.raw_day_path(PROVIDERS, b)}/part-0.csv",
+               "nombre_proveedor;tipo_energia\nacme;solar\n")
+    result = curate(spark, PROVIDERS, b, zone)
+    assert result.table is not None
+    with pytest.raises(ValueError, match="registered at"):
+        sync_catalog(spark, zone.database, PROVIDERS, f"{workdir}/elsewhere", [b])
