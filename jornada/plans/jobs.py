@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,7 +18,7 @@ from ..operators.landing import land, landing_report
 from ..operators.transforms import curate_frame
 from ..sinks.curated import sync_catalog, write_batch
 from ..sources.raw import scan_raw, scan_raw_backfill, scan_raw_day
-from ..spec import PARTITION_COLUMNS, TableSpec
+from ..spec import DATASETS, PARTITION_COLUMNS, TableSpec
 
 log = logging.getLogger(__name__)
 
@@ -69,6 +70,16 @@ def curate(spark: SparkSession, spec: TableSpec, batch: BatchDate | str, zone: Z
     return _run(spark, raw, spec, batch, zone, fmt, rerun, sync, batch.text, [batch])
 
 
+def curate_all(spark: SparkSession, batch: BatchDate | str, zone: Zone,
+               specs=None, **kwargs) -> dict[str, CurateResult]:
+    """Curate every dataset of one date; the jobs run side by side on the cluster."""
+    specs = list(DATASETS.values()) if specs is None else list(specs)
+    batch = batch if isinstance(batch, BatchDate) else BatchDate(batch)
+    with ThreadPoolExecutor(max_workers=max(1, len(specs))) as pool:
+        results = pool.map(lambda spec: curate(spark, spec, batch, zone, **kwargs), specs)
+        return {spec.name: r for spec, r in zip(specs, results)}
+
+
 def curate_backfill(spark: SparkSession, spec: TableSpec, zone: Zone,
                     start: BatchDate | str | None = None, end: BatchDate | str | None = None,
                     fmt: str = "parquet", rerun: str = "append",
