@@ -18,7 +18,7 @@ from ..operators.landing import land, landing_report
 from ..operators.transforms import curate_frame
 from ..sinks.curated import sync_catalog, write_batch
 from ..sources.raw import scan_raw, scan_raw_backfill, scan_raw_day
-from ..spec import DATASETS, PARTITION_COLUMNS, TableSpec
+from ..spec import DATASETS, TableSpec
 
 log = logging.getLogger(__name__)
 
@@ -108,7 +108,3 @@ def land_drop(spark: SparkSession, drop_dir: str, zone: Zone,
             "status", F.when(F.col("batch_date") == day, F.col("status"))
                        .otherwise(F.lit("skipped_other_date")))
     return land(spark, drop_dir, zone, report)
-
-
-def partition_columns() -> tuple[str, ...]:
-    return PARTITION_COLUMNS

@@ -83,3 +83,42 @@ def test_large_drop_path_uses_join(spark, workdir, monkeypatch):
     land_drop(spark, drop, zone)
     days = sorted(r.day for r in scan_raw_backfill(spark, zone, PROVIDERS).collect())
     assert days == ["04", "06"]
+
+
+def test_date_rule_agrees_with_strptime(spark):
+    """L1 on thousands of random tokens: Spark's rule equals Python's parser
+    restricted to exactly eight digits."""
+    import datetime as dt
+    import random
+    rng = random.Random(11)
+    tokens = [f"{rng.randint(1900, 2100):04d}{rng.randint(0, 13):02d}{rng.randint(0, 32):02d}"
+              for _ in range(4000)]
+    tokens += ["2023124", "202312041", "2023-1204", "", "abcdefgh", "20240229", "21000229"]
+
+    def expected(tok):
+        if len(tok) != 8 or not tok.isdigit():
+            return None
+        try:
+            return dt.datetime.strptime(tok, "%Y%m%d").date()
+        except ValueError:
+            return None
+
+    df = spark.createDataFrame([(i, f"Providers_{t}.csv") for i, t in enumerate(tokens)],
+                               "i int, object string")
+    got = [r.d for r in df.orderBy("i").select(
+        parse_batch_date(date_token(F.col("object"))).alias("d")).collect()]
+    assert got == [expected(t) for t in tokens]
+
+
+def test_gzip_objects_land(spark, workdir):
+    import gzip
+    import os
+    drop = f"{workdir}/drop"
+    os.makedirs(drop.replace("file:", ""), exist_ok=True)
+    with gzip.open(f"{drop}/Providers_20231204.csv.gz".replace("file:", ""), "wt") as fh:
+        fh.write("nombre_proveedor;tipo_energia\nacme;solar\nbeta;eolica\n")
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
+    report = land_drop(spark, drop, zone).collect()
+    assert [(r.object, r.status, r.rows) for r in report] == [
+        ("Providers_20231204.csv.gz", OK, 2)]
+    assert scan_raw_backfill(spark, zone, PROVIDERS).count() == 2
