@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..config import BatchDate
 from ..operators.filters import all_of, energy_is, kind_is, on_day, price_above
 
-# The query's output spelling and its default arguments.
+# The saved query's output spelling, default arguments and text
+# (identifiers in backticks for Spark SQL; ``{table}`` is the qualified name).
 HYDRO_COLUMNS = ("Tipo_transaccion", "Nombre", "Cantidad_comprada", "Precio", "Tipo_energia")
 HYDRO_ENERGY = "hidroelectrica"
 HYDRO_KIND = "venta"
