@@ -152,7 +152,8 @@ def stage_lines(lines: DataFrame, header: str, drop_dir: str, name: str) -> str:
 def stage_drop(spark: SparkSession, sf_dir: str, drop_dir: str) -> dict[str, str]:
     """A drop folder: one Transactions object per event day, providers and
     customers for 2023-12-04, objects with bad names, an unknown dataset, one
-    customers object with surplus fields and one with missing fields."""
+    customers object with surplus fields, one with missing fields and one
+    with its columns reordered."""
     dated = dated_transactions(spark, sf_dir)
     providers = raw_providers(spark, sf_dir)
     customers = raw_customers(spark, sf_dir)
@@ -165,6 +166,8 @@ def stage_drop(spark: SparkSession, sf_dir: str, drop_dir: str) -> dict[str, str
                  "Ventas_20231204.csv"):
         jobs[name] = providers
     jobs["Customers_20231204.csv"] = customers
+    # Same rows, columns in another order: rejected rather than landed by position.
+    jobs["Customers_20231207.csv"] = customers.select(*reversed(CUSTOMERS.columns))
     header = DELIMITER.join(CUSTOMERS.columns)
     cust = table(spark, sf_dir, "customer").select(
         (F.col("c_acctbal") < 0).alias("negative"), *_customer_columns())

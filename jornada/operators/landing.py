@@ -8,7 +8,9 @@ plain file, or a folder of part files). Landing:
    exactly 8 digits and a real day) and the destination folder;
 2. scans the folder's lines once and counts, per object, rows, short rows
    (missing fields, read as null) and long rows (surplus fields);
-3. rejects objects with a bad name, an unknown dataset, or any long row, and
+3. rejects objects with a bad name, an unknown dataset, a header line that is
+   not the dataset's columns in order (rows are read by position), or any
+   long row, and
    writes the rows of the others into ``<Dataset>/year=/month=/day=`` with a
    dynamic partition overwrite, so landing the same day again replaces it.
 
@@ -33,6 +35,7 @@ OK = "ok"
 REJECTED_NAME = "rejected_name"
 REJECTED_DATASET = "rejected_dataset"
 REJECTED_MALFORMED = "rejected_malformed"
+REJECTED_HEADER = "rejected_header"
 
 # A field separator outside double quotes.
 _SEPARATOR_OUTSIDE_QUOTES = DELIMITER + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
@@ -125,31 +128,60 @@ def field_count(line: Column) -> Column:
     return F.when(F.instr(line, '"') == 0, plain).otherwise(quoted)
 
 
+def expected_header(dataset: Column) -> Column:
+    """The header line of a known dataset (lower case); null otherwise."""
+    out = None
+    for spec in DATASETS.values():
+        line = F.lit(DELIMITER.join(spec.columns).lower())
+        out = F.when(dataset == spec.name, line) if out is None else out.when(
+            dataset == spec.name, line)
+    return out
+
+
+def _normal_header(line: Column) -> Column:
+    """Header text without a byte-order mark, quotes or case."""
+    return F.lower(F.trim(F.translate(F.regexp_replace(line, "^\uFEFF", ""), '"', "")))
+
+
 def quality(spark: SparkSession, drop_dir: str) -> DataFrame:
-    """Per object of a known dataset: data rows, long rows (surplus fields) and
-    short rows (missing fields), from one text scan of the whole drop folder.
+    """Per object of a known dataset: data rows, long rows (surplus fields),
+    short rows (missing fields) and files whose header line is not the
+    dataset's, from one text scan of the whole drop folder.
 
     Blank lines are skipped and each file's first line is its header, as the
-    CSV reader does. Lines are first counted per (file, field count) — partial
-    aggregation in every task, so one huge file is no hot spot — and only that
-    small table is mapped to objects and datasets.
+    CSV reader does; the first line is the earliest row of the split that
+    starts the file. Lines are first counted per (file, field count) —
+    partial aggregation in every task, so one huge file is no hot spot — and
+    only that small table is mapped to objects and datasets.
     """
-    per_file = (spark.read.option("recursiveFileLookup", "true").text(drop_dir)
-                .where(F.col("value") != "")
-                .groupBy(F.col("_metadata.file_path").alias("file"),
-                         field_count(F.col("value")).alias("fields"))
-                .agg(F.count(F.lit(1)).alias("lines")))
+    lines = (spark.read.option("recursiveFileLookup", "true").text(drop_dir)
+             .where(F.col("value") != "")
+             .select(F.col("_metadata.file_path").alias("file"),
+                     field_count(F.col("value")).alias("fields"),
+                     F.when(F.col("_metadata.file_block_start") == 0,
+                            F.struct(F.monotonically_increasing_id().alias("at"),
+                                     F.col("value").alias("line"))).alias("first")))
+    per_file_width = (lines.groupBy("file", "fields")
+                      .agg(F.count(F.lit(1)).alias("lines"), F.min("first").alias("first")))
     n = F.col("n")
-    return (per_file
-            .withColumn("object", object_name(F.col("file"), drop_dir))
-            .withColumn("n", expected_fields(dataset_token(F.col("object"))))
-            .where(n.isNotNull())
-            .groupBy("object")
-            .agg((F.sum("lines") - F.count_distinct("file")).alias("rows"),
-                 F.sum(F.when(F.col("fields") > n, F.col("lines")).otherwise(0))
-                  .alias("long_rows"),
-                 F.sum(F.when(F.col("fields") < n, F.col("lines")).otherwise(0))
-                  .alias("short_rows")))
+    per_file = (per_file_width
+                .withColumn("object", object_name(F.col("file"), drop_dir))
+                .withColumn("dataset", dataset_token(F.col("object")))
+                .withColumn("n", expected_fields(F.col("dataset")))
+                .where(n.isNotNull())
+                .groupBy("object", "dataset", "file")
+                .agg(F.sum("lines").alias("lines"),
+                     F.sum(F.when(F.col("fields") > n, F.col("lines")).otherwise(0))
+                      .alias("long_rows"),
+                     F.sum(F.when(F.col("fields") < n, F.col("lines")).otherwise(0))
+                      .alias("short_rows"),
+                     F.min("first").getField("line").alias("header")))
+    header_ok = _normal_header(F.col("header")) == expected_header(F.col("dataset"))
+    return (per_file.groupBy("object")
+            .agg((F.sum("lines") - F.count(F.lit(1))).alias("rows"),
+                 F.sum("long_rows").alias("long_rows"),
+                 F.sum("short_rows").alias("short_rows"),
+                 F.sum((~header_ok).cast("long")).alias("bad_headers")))
 
 
 def landing_report(spark: SparkSession, drop_dir: str, zone: Zone | None = None) -> DataFrame:
@@ -157,9 +189,10 @@ def landing_report(spark: SparkSession, drop_dir: str, zone: Zone | None = None)
     routed = route(list_drop(spark, drop_dir))
     report = routed.join(quality(spark, drop_dir), "object", "left")
     status = (F.when(F.col("name_status") != OK, F.col("name_status"))
+               .when(F.coalesce(F.col("bad_headers"), F.lit(0)) > 0, F.lit(REJECTED_HEADER))
                .when(F.coalesce(F.col("long_rows"), F.lit(0)) > 0, F.lit(REJECTED_MALFORMED))
                .otherwise(F.lit(OK)))
-    return report.withColumn("status", status).drop("name_status")
+    return report.withColumn("status", status).drop("name_status", "bad_headers")
 
 
 def _accepted_rows(rows: DataFrame, spec: TableSpec, rejected: list[str] | None,

@@ -97,7 +97,8 @@ SELECT * FROM (VALUES
   ('Ventas_20231204.csv',       NULL,        '2023-12-04'),
   ('Customers_20231204.csv',    'Customers', '2023-12-04'),
   ('Customers_20231205.csv',    'Customers', '2023-12-05'),
-  ('Customers_20231206.csv',    'Customers', '2023-12-06')
+  ('Customers_20231206.csv',    'Customers', '2023-12-06'),
+  ('Customers_20231207.csv',    'Customers', '2023-12-07')
 ) v(object, dataset, batch_date)"""
 
 _QUALITY = """
@@ -122,7 +123,9 @@ UNION ALL
 SELECT 'Customers_20231205.csv', cus.n, neg.n, 0,
        CASE WHEN neg.n > 0 THEN 'rejected_malformed' ELSE 'ok' END FROM cus, neg
 UNION ALL
-SELECT 'Customers_20231206.csv', cus.n, 0, neg.n, 'ok' FROM cus, neg"""
+SELECT 'Customers_20231206.csv', cus.n, 0, neg.n, 'ok' FROM cus, neg
+UNION ALL
+SELECT 'Customers_20231207.csv', cus.n, 0, 0, 'rejected_header' FROM cus"""
 
 ORACLE_SQL: dict[str, str] = {
     "query_hydro_sales": _HYDRO.format(inner=_CURATED_TX),

@@ -122,3 +122,36 @@ def test_gzip_objects_land(spark, workdir):
     assert [(r.object, r.status, r.rows) for r in report] == [
         ("Providers_20231204.csv.gz", OK, 2)]
     assert scan_raw_backfill(spark, zone, PROVIDERS).count() == 2
+
+
+def test_header_must_match_dataset_columns(spark, workdir):
+    from jornada.operators.landing import REJECTED_HEADER
+    drop = f"{workdir}/drop"
+    body = "acme;solar\nbeta;eolica\n"
+    write_text(f"{drop}/Providers_20231201.csv", "tipo_energia;nombre_proveedor\n" + body)
+    write_text(f"{drop}/Providers_20231202.csv", "proveedor;energia\n" + body)
+    write_text(f"{drop}/Providers_20231203.csv", '\ufeff"Nombre_Proveedor";"TIPO_ENERGIA"\n' + body)
+    write_text(f"{drop}/Providers_20231204.csv", "nombre_proveedor;tipo_energia\n" + body)
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
+    report = {r.object: r.status for r in land_drop(spark, drop, zone).collect()}
+    assert report == {"Providers_20231201.csv": REJECTED_HEADER,
+                      "Providers_20231202.csv": REJECTED_HEADER,
+                      "Providers_20231203.csv": OK, "Providers_20231204.csv": OK}
+    days = sorted(r.day for r in scan_raw_backfill(spark, zone, PROVIDERS).collect())
+    assert days == ["03", "03", "04", "04"]
+
+
+def test_header_found_when_a_file_spans_many_splits(spark, workdir):
+    from jornada.operators.landing import quality
+    drop = f"{workdir}/drop"
+    rows = "".join(f"prov {i};solar\n" for i in range(20000))
+    write_text(f"{drop}/Providers_20231204.csv", "nombre_proveedor;tipo_energia\n" + rows)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        lines = spark.read.text(f"{drop}/Providers_20231204.csv")
+        assert lines.rdd.getNumPartitions() > 5
+        q = quality(spark, drop).first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert (q.rows, q.long_rows, q.short_rows, q.bad_headers) == (20000, 0, 0, 0)
