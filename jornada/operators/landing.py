@@ -39,7 +39,8 @@ REJECTED_HEADER = "rejected_header"
 
 # A field separator outside double quotes.
 _SEPARATOR_OUTSIDE_QUOTES = DELIMITER + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
-# Largest drop folder (in objects) decided on object names; beyond it, joins.
+# Largest drop folder (in objects) whose accepted objects are read by name;
+# beyond it, every object is read and rejected ones are removed by a join.
 MAX_LITERAL_REJECTS = 10_000
 
 
@@ -102,9 +103,19 @@ def route(objects: DataFrame) -> DataFrame:
                                destination(F.col("dataset"), day))))
 
 
-def read_drop(spark: SparkSession, drop_dir: str, spec: TableSpec) -> DataFrame:
-    """Rows of one dataset's objects (raw schema, text), with their object name."""
-    df = csv_reader(spark, spec.raw_schema()).load(f"{drop_dir.rstrip('/')}/{spec.name}_*")
+def read_drop(spark: SparkSession, drop_dir: str, spec: TableSpec,
+              objects: list[str] | None = None) -> DataFrame:
+    """Rows of one dataset's objects (raw schema, text), with their object name.
+
+    With ``objects`` exactly those are read and their headers are checked
+    again by the reader; otherwise every ``<Dataset>_*`` object is read by
+    position and rejected ones must be removed afterwards.
+    """
+    root = drop_dir.rstrip("/")
+    if objects is None:
+        df = csv_reader(spark, spec.raw_schema(), check_header=False).load(f"{root}/{spec.name}_*")
+    else:
+        df = csv_reader(spark, spec.raw_schema()).load([f"{root}/{o}" for o in objects])
     return df.select(*spec.columns,
                      object_name(F.col("_metadata.file_path"), drop_dir).alias("object"))
 
@@ -195,27 +206,24 @@ def landing_report(spark: SparkSession, drop_dir: str, zone: Zone | None = None)
     return report.withColumn("status", status).drop("name_status", "bad_headers")
 
 
-def _accepted_rows(rows: DataFrame, spec: TableSpec, rejected: list[str] | None,
-                   report: DataFrame) -> DataFrame:
-    """Rows of one dataset from objects the report accepts.
-
-    ``rejected`` is the literal list of rejected object names when the drop
-    folder is small enough to decide on names; otherwise the rejected objects
-    are removed by an anti join with the saved report.
-    """
-    if rejected is None:
-        bad = report.where((F.col("dataset") == spec.name) & (F.col("status") != OK))
-        kept = rows.join(bad.select("object"), "object", "left_anti")
-    else:
-        kept = rows.where(~F.col("object").isin(rejected)) if rejected else rows
+def _dated(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Spec columns plus the date folders taken from each row's object name."""
     day = parse_batch_date(date_token(F.col("object")))
-    return (kept.where(day.isNotNull())
+    return (rows.where(day.isNotNull())
             .select(*spec.columns,
                     F.date_format(day, "yyyy").alias("year"),
                     F.date_format(day, "MM").alias("month"),
                     F.date_format(day, "dd").alias("day")))
 
 
+def _accepted_by_join(spark: SparkSession, drop_dir: str, spec: TableSpec,
+                      report: DataFrame) -> DataFrame:
+    """Large drop folders: read every object of the dataset, drop rejected ones by join."""
+    bad = report.where((F.col("dataset") == spec.name) & (F.col("status") != OK))
+    rows = read_drop(spark, drop_dir, spec).join(bad.select("object"), "object", "left_anti")
+    return _dated(rows, spec)
+
+
 def save_report(spark: SparkSession, report: DataFrame, zone: Zone) -> DataFrame:
     """Write the report once as a landing log under the raw root and read it back.
 
@@ -251,18 +259,22 @@ def land(spark: SparkSession, drop_dir: str, zone: Zone,
     manifest = (report.select("dataset", "object", "status")
                 .limit(MAX_LITERAL_REJECTS + 1).collect())
     if len(manifest) <= MAX_LITERAL_REJECTS:
-        ok = {r.dataset for r in manifest if r.status == OK}
-        rejected = {name: [r.object for r in manifest if r.dataset == name and r.status != OK]
-                    for name in ok}
+        accepted: dict = {}
+        for r in manifest:
+            if r.status == OK:
+                accepted.setdefault(r.dataset, []).append(r.object)
     else:
-        ok = {r.dataset for r in report.where(F.col("status") == OK)
-              .select("dataset").distinct().collect()}
-        rejected = {name: None for name in ok}
-    specs = [spec for spec in DATASETS.values() if spec.name in ok]
+        accepted = {r.dataset: None for r in report.where(F.col("status") == OK)
+                    .select("dataset").distinct().collect()}
+    specs = [spec for spec in DATASETS.values() if spec.name in accepted]
 
     def one(spec: TableSpec) -> None:
-        rows = read_drop(spark, drop_dir, spec)
-        _write_dataset(_accepted_rows(rows, spec, rejected[spec.name], report), zone, spec)
+        objects = accepted[spec.name]
+        if objects is None:
+            rows = _accepted_by_join(spark, drop_dir, spec, report)
+        else:
+            rows = _dated(read_drop(spark, drop_dir, spec, sorted(objects)), spec)
+        _write_dataset(rows, zone, spec)
 
     with ThreadPoolExecutor(max_workers=max(1, len(specs))) as pool:
         list(pool.map(one, specs))

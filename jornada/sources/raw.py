@@ -13,12 +13,16 @@ DELIMITER = ";"
 HEADER = "true"
 
 
-def csv_reader(spark: SparkSession, schema=None):
+def csv_reader(spark: SparkSession, schema=None, check_header: bool = True):
+    """Raw-file reader. With a schema, fields are taken by position; unless
+    ``check_header`` is off, each file's header line must then name the schema's
+    columns in order (case-insensitive), or the read fails instead of shifting
+    values into the wrong columns."""
     reader = (spark.read.format("csv")
               .option("header", HEADER)
               .option("delimiter", DELIMITER))
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("enforceSchema", str(not check_header).lower())
     return reader
 
 
@@ -26,8 +30,8 @@ def scan_raw(spark: SparkSession, path, spec: TableSpec | None = None) -> DataFr
     """Read one or more raw files/folders; every column is text.
 
     Without ``spec`` column names come from the header line (one small job reads
-    it). With ``spec`` the schema is given, so nothing is inferred: the header
-    line is skipped and fields are taken in file order.
+    it). With ``spec`` the schema is given, so nothing is inferred; each file's
+    header must list the spec's columns in order.
     A missing path raises ``AnalysisException`` at load.
     """
     paths = [path] if isinstance(path, str) else list(path)

@@ -124,3 +124,12 @@ def test_sync_catalog_refuses_other_location(spark, workdir):
     assert result.table is not None
     with pytest.raises(ValueError, match="registered at"):
         sync_catalog(spark, zone.database, PROVIDERS, f"{workdir}/elsewhere", [b])
+
+
+def test_reordered_raw_header_fails_loudly(spark, workdir):
+    zone = _zone(workdir, env="headertest")
+    b = BatchDate("20231204")
+    write_text(f"{zone.raw_day_path(PROVIDERS, b)}/part-0.csv",
+               "tipo_energia;nombre_proveedor\nsolar;acme\n")
+    with pytest.raises(RuntimeError):
+        curate(spark, PROVIDERS, b, zone)
