@@ -91,3 +91,9 @@ def test_observed_metrics(spark):
     assert sorted(r.precio for r in out.collect()) == [0, 0, 7]
     assert obs.get == {"rows": 3, "unparsed_cantidad_comprada": 1, "unparsed_precio": 1,
                        "zero_filled_precio": 2}
+
+
+def test_is_empty_guard(spark):
+    from jornada.operators import is_empty
+    assert is_empty(spark.range(0))
+    assert not is_empty(spark.range(3))
