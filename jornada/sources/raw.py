@@ -72,6 +72,18 @@ def scan_raw_backfill(spark: SparkSession, zone: Zone, spec: TableSpec,
     return df if cond is None else df.where(cond)
 
 
+def scan_raw_days(spark: SparkSession, zone: Zone, spec: TableSpec,
+                  days: list[BatchDate]) -> DataFrame:
+    """Exactly the given day folders (which must exist), with their date columns.
+
+    Only those folders are listed, so the cost does not grow with the length
+    of the raw history.
+    """
+    return (csv_reader(spark, spec.raw_partitioned_schema())
+            .option("basePath", zone.raw_dataset_path(spec))
+            .load([zone.raw_day_path(spec, d) for d in days]))
+
+
 def scan_legacy_backfill(spark: SparkSession, raw_root: str, spec: TableSpec) -> DataFrame:
     """Per-file raw layout ``<Dataset>/yyyy/MM/dd/<Dataset>_yyyyMMdd.csv``.
 

@@ -3,7 +3,7 @@
 The stream lists newly landed raw files (``binaryFile`` with the content
 column pruned, so no data is read by the stream itself) and turns each
 micro-batch into the set of days that changed. For those days the batch job
-scans the whole day folders (partition-pruned), runs the same curation as the
+scans exactly those day folders (nothing else is listed), runs the same curation as the
 daily job, and replaces exactly those date partitions.
 
 Replaying a micro-batch after a failure therefore rewrites the same days with
@@ -21,8 +21,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import BatchDate, Zone
 from ..operators.transforms import curate_frame
 from ..sinks.curated import sync_catalog, write_batch
-from ..sources.raw import scan_raw_backfill
-from ..spec import PARTITION_COLUMNS, TableSpec
+from ..sources.raw import scan_raw_days
+from ..spec import TableSpec
 
 _DAY_FOLDER = r"/year=([0-9]{4})/month=([0-9]{2})/day=([0-9]{2})/"
 # The binaryFile source's fixed columns (the content column is never read).
@@ -46,8 +46,7 @@ def curate_days(spark: SparkSession, spec: TableSpec, zone: Zone, days: list[Bat
     """Re-curate whole raw days and replace their curated partitions."""
     if not days:
         return
-    raw = scan_raw_backfill(spark, zone, spec).where(
-        F.concat(*(F.col(c) for c in PARTITION_COLUMNS)).isin([d.text for d in days]))
+    raw = scan_raw_days(spark, zone, spec, days)
     path = zone.curated_path(spec)
     write_batch(curate_frame(raw, spec), path, fmt=fmt, rerun="replace")
     if sync and fmt == "parquet":
