@@ -26,6 +26,7 @@ from jornada.config import BatchDate  # noqa: E402
 from jornada.plans import curate, curate_backfill, hydro_sales, hydro_sales_sql, land_drop  # noqa: E402
 from jornada.sources import scan_curated  # noqa: E402
 from jornada.spec import CUSTOMERS, PROVIDERS, TRANSACTIONS  # noqa: E402
+from jornada.streaming import curate_stream  # noqa: E402
 from jornada.testing import local_session  # noqa: E402
 
 
@@ -74,6 +75,11 @@ def main() -> None:
                                   day=BatchDate("19980601"))), repeat)
     q["curate_backfill"] = timed(
         lambda: curate_backfill(spark, TRANSACTIONS, backfill_zone, rerun="replace"), repeat)
+    def stream_once():
+        fresh = R._zone(spark, "bench-stream")
+        target = type(backfill_zone)(backfill_zone.raw_root, fresh.curated_root, fresh.env)
+        curate_stream(spark, TRANSACTIONS, target, sync=False).awaitTermination()
+    q["curate_stream"] = timed(stream_once, repeat)
     q["landing"] = timed(
         lambda: land_drop(spark, drop, R._zone(spark, "bench-landed")), repeat)
 
