@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import BatchDate, Zone, table_options
 from ..operators.landing import land, landing_report
 from ..operators.transforms import curate_frame
-from ..sinks.curated import sync_catalog, write_batch
+from ..sinks.curated import clustered, sync_catalog, write_batch
 from ..sources.raw import scan_raw, scan_raw_backfill, scan_raw_day
 from ..spec import DATASETS, TableSpec
 
@@ -41,7 +41,7 @@ def _run(spark: SparkSession, raw: DataFrame, spec: TableSpec, batch: BatchDate
          zone: Zone, fmt: str, rerun: str, sync: bool, label: str,
          batches: list[BatchDate] | None) -> CurateResult:
     obs = Observation(f"curate_{spec.name}_{label}_{uuid.uuid4().hex[:8]}")
-    curated = curate_frame(raw, spec, batch, observation=obs)
+    curated = clustered(curate_frame(raw, spec, batch, observation=obs), spec)
     path = zone.curated_path(spec)
     options = table_options(zone.database, spec.table) if fmt == "hudi" else None
     try:

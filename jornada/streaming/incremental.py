@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import BatchDate, Zone
 from ..operators.transforms import curate_frame
-from ..sinks.curated import sync_catalog, write_batch
+from ..sinks.curated import clustered, sync_catalog, write_batch
 from ..sources.raw import scan_raw_days
 from ..spec import TableSpec
 
@@ -48,7 +48,7 @@ def curate_days(spark: SparkSession, spec: TableSpec, zone: Zone, days: list[Bat
         return
     raw = scan_raw_days(spark, zone, spec, days)
     path = zone.curated_path(spec)
-    write_batch(curate_frame(raw, spec), path, fmt=fmt, rerun="replace")
+    write_batch(clustered(curate_frame(raw, spec), spec), path, fmt=fmt, rerun="replace")
     if sync and fmt == "parquet":
         sync_catalog(spark, zone.database, spec, path, days)
 

@@ -35,3 +35,17 @@ def test_curation_is_narrow(spark):
     plan = plan_of(df)
     assert "Exchange" not in plan and "Sort" not in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_clustered_backfill_sorts_once_without_shuffle(spark):
+    from jornada.sinks import clustered
+    from jornada.sources import scan_raw_backfill
+    zone = R.backfill_zone(spark, SF_SMALL)
+    df = clustered(curate_frame(scan_raw_backfill(spark, zone, TRANSACTIONS), TRANSACTIONS),
+                   TRANSACTIONS)
+    plan = plan_of(df)
+    assert "Exchange" not in plan
+    assert plan.count(") Sort [") == 1
+    args = plan.split(") Sort [")[1].split("Arguments: [")[1].split("]")[0]
+    keys = [k.split("#")[0] for k in args.split(", ")]
+    assert keys == ["year", "month", "day", "tipo_energia", "tipo_transaccion"]
