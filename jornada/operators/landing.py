@@ -41,7 +41,7 @@ REJECTED_HEADER = "rejected_header"
 _SEPARATOR_OUTSIDE_QUOTES = DELIMITER + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
 # Largest drop folder (in objects) whose accepted objects are read by name;
 # beyond it, every object is read and rejected ones are removed by a join.
-MAX_LITERAL_REJECTS = 10_000
+MAX_OBJECTS_BY_NAME = 10_000
 
 
 def object_name(path: Column, drop_dir: str) -> Column:
@@ -195,7 +195,7 @@ def quality(spark: SparkSession, drop_dir: str) -> DataFrame:
                  F.sum((~header_ok).cast("long")).alias("bad_headers")))
 
 
-def landing_report(spark: SparkSession, drop_dir: str, zone: Zone | None = None) -> DataFrame:
+def landing_report(spark: SparkSession, drop_dir: str) -> DataFrame:
     """Manifest of a drop folder: routing, quality counts and final status."""
     routed = route(list_drop(spark, drop_dir))
     report = routed.join(quality(spark, drop_dir), "object", "left")
@@ -252,13 +252,13 @@ def land(spark: SparkSession, drop_dir: str, zone: Zone,
     replaces its folder, so landing a drop twice gives the same raw zone.
     """
     if report is None:
-        report = landing_report(spark, drop_dir, zone)
+        report = landing_report(spark, drop_dir)
     report = save_report(spark, report, zone)
     # One row per drop object: the same order of size as the file listing
     # Spark's own file index keeps on the driver for the scans below.
     manifest = (report.select("dataset", "object", "status")
-                .limit(MAX_LITERAL_REJECTS + 1).collect())
-    if len(manifest) <= MAX_LITERAL_REJECTS:
+                .limit(MAX_OBJECTS_BY_NAME + 1).collect())
+    if len(manifest) <= MAX_OBJECTS_BY_NAME:
         accepted: dict = {}
         for r in manifest:
             if r.status == OK:

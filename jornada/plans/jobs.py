@@ -100,7 +100,7 @@ def curate_backfill(spark: SparkSession, spec: TableSpec, zone: Zone,
 def land_drop(spark: SparkSession, drop_dir: str, zone: Zone,
               batch: BatchDate | str | None = None) -> DataFrame:
     """Land a drop folder (all dates, or only objects of ``batch``); returns the report."""
-    report = landing_report(spark, drop_dir, zone)
+    report = landing_report(spark, drop_dir)
     if batch is not None:
         batch = batch if isinstance(batch, BatchDate) else BatchDate(batch)
         day = F.to_date(F.lit(batch.text), "yyyyMMdd")

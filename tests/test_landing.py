@@ -73,7 +73,7 @@ def test_land_one_batch_date_only(spark, workdir):
 
 def test_large_drop_path_uses_join(spark, workdir, monkeypatch):
     from jornada.operators import landing
-    monkeypatch.setattr(landing, "MAX_LITERAL_REJECTS", 1)
+    monkeypatch.setattr(landing, "MAX_OBJECTS_BY_NAME", 1)
     drop = f"{workdir}/drop"
     prov = "nombre_proveedor;tipo_energia\nacme;solar\n"
     write_text(f"{drop}/Providers_20231204.csv", prov)
