@@ -8,6 +8,7 @@ once per Spark application and shared by the queries that need them.
 
 from __future__ import annotations
 
+import re
 import threading
 from collections.abc import Callable
 
@@ -40,10 +41,16 @@ def _once(spark: SparkSession, sf_dir: str, what: str, build: Callable):
         return _staged[key]
 
 
-def _zone(spark: SparkSession, label: str, env: str | None = None) -> Zone:
-    """A fresh zone; its environment (hence catalog database) is ``label`` unless given."""
+def _zone(spark: SparkSession, label: str, sf_dir: str | None = None,
+          env: str | None = None) -> Zone:
+    """A fresh zone. Its environment (hence catalog database) is ``env`` or
+    ``label``, tagged with the scale, so one application can stage several
+    scales without two of them claiming the same catalog table."""
     root = scratch_dir(spark, label)
-    return Zone(raw_root=f"{root}/raw", curated_root=f"{root}/curated", env=env or label)
+    tag = re.sub(r"[^a-z0-9]", "", sf_dir.rstrip("/").rsplit("/", 1)[-1].lower()) if sf_dir else ""
+    name = env or label
+    return Zone(raw_root=f"{root}/raw", curated_root=f"{root}/curated",
+                env=f"{name}_{tag}" if tag else name)
 
 
 # ---- staged inputs -------------------------------------------------------------
@@ -51,7 +58,7 @@ def _zone(spark: SparkSession, label: str, env: str | None = None) -> Zone:
 def raw_day_zone(spark: SparkSession, sf_dir: str) -> Zone:
     """Raw zone holding one day (2023-12-04) of each of the three datasets."""
     def build():
-        zone = _zone(spark, "day", env="pdn")
+        zone = _zone(spark, "day", sf_dir, env="pdn")
         fx.stage_raw_day(fx.raw_transactions(spark, sf_dir), zone, TRANSACTIONS, DAY)
         fx.stage_raw_day(fx.raw_providers(spark, sf_dir), zone, PROVIDERS, DAY)
         fx.stage_raw_day(fx.raw_customers(spark, sf_dir), zone, CUSTOMERS, DAY)
@@ -70,7 +77,7 @@ def curated_day(spark: SparkSession, sf_dir: str, spec=TRANSACTIONS):
 def backfill_zone(spark: SparkSession, sf_dir: str) -> Zone:
     """Raw zone of event-dated transactions: one folder per day, one write."""
     def build():
-        zone = _zone(spark, "backfill")
+        zone = _zone(spark, "backfill", sf_dir)
         fx.stage_raw_zone(fx.dated_transactions(spark, sf_dir), zone, TRANSACTIONS)
         return zone
     return _once(spark, sf_dir, "backfill", build)
@@ -86,7 +93,7 @@ def curated_backfill(spark: SparkSession, sf_dir: str):
 def curated_months(spark: SparkSession, sf_dir: str):
     """Line-item transactions landed by ship month and curated in one job."""
     def build():
-        zone = _zone(spark, "monthly")
+        zone = _zone(spark, "monthly", sf_dir)
         fx.stage_raw_zone(fx.monthly_transactions(spark, sf_dir), zone, TRANSACTIONS)
         return zone, curate_backfill(spark, TRANSACTIONS, zone, sync=False)
     return _once(spark, sf_dir, "curated_months", build)
@@ -102,7 +109,7 @@ def drop_folder(spark: SparkSession, sf_dir: str) -> str:
 
 def landed(spark: SparkSession, sf_dir: str):
     def build():
-        zone = _zone(spark, "landed")
+        zone = _zone(spark, "landed", sf_dir)
         report = land_drop(spark, drop_folder(spark, sf_dir), zone)
         return zone, report
     return _once(spark, sf_dir, "landed", build)
@@ -125,7 +132,7 @@ def q_scan_raw_backfill(spark, sf_dir):
 def legacy_zone(spark: SparkSession, sf_dir: str) -> Zone:
     """Raw zone in the per-file layout, one file per event day."""
     def build():
-        zone = _zone(spark, "legacy")
+        zone = _zone(spark, "legacy", sf_dir)
         fx.stage_legacy_days(fx.dated_transactions(spark, sf_dir), zone.raw_root, TRANSACTIONS)
         return zone
     return _once(spark, sf_dir, "legacy", build)
@@ -219,7 +226,7 @@ def q_append_batch(spark, sf_dir):
     changes the data, then the three are joined on the date.
     """
     zone = backfill_zone(spark, sf_dir)
-    target = _zone(spark, "append")
+    target = _zone(spark, "append", sf_dir)
     target = Zone(zone.raw_root, target.curated_root, zone.env)
     snaps = scratch_dir(spark, "append-counts")
     names = ("rows_after_first", "rows_after_second", "rows_after_replace")
@@ -264,7 +271,7 @@ def _next_day(text: str) -> str:
 
 def q_curate_incremental(spark, sf_dir):
     """Land the first half of the days, run the stream, land the rest, run it again."""
-    zone = _zone(spark, "incremental")
+    zone = _zone(spark, "incremental", sf_dir)
     dated = fx.dated_transactions(spark, sf_dir)
     day = F.concat(*PARTITION_COLUMNS)
     middle = dated.agg(F.percentile_approx(day.cast("int"), 0.5).alias("m")).first().m

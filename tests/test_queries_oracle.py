@@ -50,3 +50,13 @@ def test_entry_smoke(spark):
     assert df.columns == ["Tipo_transaccion", "Nombre", "Cantidad_comprada", "Precio",
                           "Tipo_energia"]
     assert df.count() >= 0
+
+
+def test_two_scales_in_one_application(spark):
+    """entry() at one scale, then the queries at another, in the same session."""
+    from jornada import registry as R
+    a = R.curated_day(spark, SF_SMALL)[1]
+    b = R.curated_day(spark, "/root/testdata/sf0.01")[1]
+    assert a.table != b.table
+    assert spark.table(a.table).count() > 0
+    assert spark.table(b.table).count() == 60_000
