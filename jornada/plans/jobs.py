@@ -71,13 +71,32 @@ def curate(spark: SparkSession, spec: TableSpec, batch: BatchDate | str, zone: Z
 
 
 def curate_all(spark: SparkSession, batch: BatchDate | str, zone: Zone,
-               specs=None, **kwargs) -> dict[str, CurateResult]:
-    """Curate every dataset of one date; the jobs run side by side on the cluster."""
+               specs=None, raise_errors: bool = True,
+               **kwargs) -> dict[str, CurateResult | Exception]:
+    """Curate every dataset of one date; the jobs run side by side on the cluster.
+
+    Each dataset is its own job, as separate daily jobs would be: one failing
+    (e.g. its raw day is missing) does not stop the others. With
+    ``raise_errors`` the first failure is raised once all have finished;
+    otherwise failures are returned in place of results.
+    """
     specs = list(DATASETS.values()) if specs is None else list(specs)
     batch = batch if isinstance(batch, BatchDate) else BatchDate(batch)
+
+    def one(spec: TableSpec):
+        try:
+            return curate(spark, spec, batch, zone, **kwargs)
+        except Exception as exc:  # noqa: BLE001 - reported per dataset
+            log.error("curating %s for %s failed: %s", spec.name, batch, exc)
+            return exc
+
     with ThreadPoolExecutor(max_workers=max(1, len(specs))) as pool:
-        results = pool.map(lambda spec: curate(spark, spec, batch, zone, **kwargs), specs)
-        return {spec.name: r for spec, r in zip(specs, results)}
+        results = dict(zip((s.name for s in specs), pool.map(one, specs)))
+    if raise_errors:
+        for r in results.values():
+            if isinstance(r, Exception):
+                raise r
+    return results
 
 
 def curate_backfill(spark: SparkSession, spec: TableSpec, zone: Zone,
