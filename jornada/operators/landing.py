@@ -44,10 +44,15 @@ _SEPARATOR_OUTSIDE_QUOTES = DELIMITER + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
 MAX_OBJECTS_BY_NAME = 10_000
 
 
+def _path_only(uri: str) -> str:
+    """``scheme://authority/p`` or ``scheme:/p`` -> ``/p`` (plain paths unchanged)."""
+    m = re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", uri)
+    return (uri[m.end():] if m else uri).rstrip("/")
+
+
 def object_name(path: Column, drop_dir: str) -> Column:
     """The element directly under the drop folder that a file belongs to."""
-    base = re.escape(drop_dir.rstrip("/").rsplit("/", 1)[-1])
-    return F.regexp_extract(path, rf"/{base}/([^/]+)", 1)
+    return F.regexp_extract(path, re.escape(_path_only(drop_dir)) + r"/([^/]+)", 1)
 
 
 def dataset_token(name: Column) -> Column:

@@ -155,3 +155,15 @@ def test_header_found_when_a_file_spans_many_splits(spark, workdir):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert (q.rows, q.long_rows, q.short_rows, q.bad_headers) == (20000, 0, 0, 0)
+
+
+def test_object_names_under_nested_folders_of_the_same_name(spark, workdir):
+    from jornada.operators.landing import _path_only
+    assert _path_only("file:///tmp/a/drop/") == "/tmp/a/drop"
+    assert _path_only("s3a://bucket/x/drop") == "/x/drop"
+    assert _path_only("/tmp/a") == "/tmp/a"
+    drop = f"{workdir}/drop/inner/drop"
+    write_text(f"{drop}/Providers_20231204.csv", "nombre_proveedor;tipo_energia\nacme;solar\n")
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
+    report = [(r.object, r.status) for r in land_drop(spark, drop, zone).collect()]
+    assert report == [("Providers_20231204.csv", OK)]
