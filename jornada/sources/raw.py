@@ -14,24 +14,27 @@ HEADER = "true"
 
 
 def csv_reader(spark: SparkSession, schema=None, check_header: bool = True):
-    """Raw-file reader. With a schema, fields are taken by position; unless
-    ``check_header`` is off, each file's header line must then name the schema's
-    columns in order (case-insensitive), or the read fails instead of shifting
-    values into the wrong columns."""
+    """Raw-file reader. Fields are taken by position, so unless ``check_header``
+    is off every file's header line must name the columns in order
+    (case-insensitive): the given schema's, or the first file's when the names
+    come from the header. A mismatch fails the read instead of shifting values
+    into the wrong columns."""
     reader = (spark.read.format("csv")
               .option("header", HEADER)
-              .option("delimiter", DELIMITER))
+              .option("delimiter", DELIMITER)
+              .option("enforceSchema", str(not check_header).lower()))
     if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", str(not check_header).lower())
+        reader = reader.schema(schema)
     return reader
 
 
 def scan_raw(spark: SparkSession, path, spec: TableSpec | None = None) -> DataFrame:
     """Read one or more raw files/folders; every column is text.
 
-    Without ``spec`` column names come from the header line (one small job reads
-    it). With ``spec`` the schema is given, so nothing is inferred; each file's
-    header must list the spec's columns in order.
+    Without ``spec`` column names come from the first file's header line (one
+    small job reads it). With ``spec`` the schema is given, so nothing is
+    inferred. Either way every file's header must list the same columns in
+    order.
     A missing path raises ``AnalysisException`` at load.
     """
     paths = [path] if isinstance(path, str) else list(path)

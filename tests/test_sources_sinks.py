@@ -133,3 +133,11 @@ def test_reordered_raw_header_fails_loudly(spark, workdir):
                "tipo_energia;nombre_proveedor\nsolar;acme\n")
     with pytest.raises(RuntimeError):
         curate(spark, PROVIDERS, b, zone)
+
+
+def test_header_inferred_scan_checks_every_file(spark, workdir):
+    a = write_text(f"{workdir}/h/a.csv", "nombre_proveedor;tipo_energia\nacme;solar\n")
+    b = write_text(f"{workdir}/h/b.csv", "tipo_energia;nombre_proveedor\nsolar;beta\n")
+    assert scan_raw(spark, a).collect()[0].nombre_proveedor == "acme"
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_raw(spark, [a, b]).collect()
