@@ -8,9 +8,9 @@ plain file, or a folder of part files). Landing:
    exactly 8 digits and a real day) and the destination folder;
 2. scans the folder's lines once and counts, per object, rows, short rows
    (missing fields, read as null) and long rows (surplus fields);
-3. rejects objects with a bad name, an unknown dataset, a header line that is
-   not the dataset's columns in order (rows are read by position), or any
-   long row, and
+3. rejects objects with a bad name, an unknown dataset, a file without a
+   header line naming the dataset's columns in order (rows are read by
+   position), or any long row, and
    writes the rows of the others into ``<Dataset>/year=/month=/day=`` with a
    dynamic partition overwrite, so landing the same day again replaces it.
 
@@ -144,41 +144,57 @@ def field_count(line: Column) -> Column:
     return F.when(F.instr(line, '"') == 0, plain).otherwise(quoted)
 
 
-def expected_header(dataset: Column) -> Column:
-    """The header line of a known dataset (lower case); null otherwise."""
+def header_forms(spec: TableSpec) -> list[str]:
+    """Lower-case spellings of a dataset's header line the CSV reader accepts:
+    plain or fully quoted names, with or without a byte-order mark."""
+    plain = DELIMITER.join(spec.columns).lower()
+    quoted = DELIMITER.join(f'"{c}"' for c in spec.columns).lower()
+    return [plain, quoted, "\ufeff" + plain, "\ufeff" + quoted]
+
+
+def _dataset_bits() -> dict[str, int]:
+    return {spec.name: 1 << i for i, spec in enumerate(DATASETS.values())}
+
+
+def header_code(line: Column) -> Column:
+    """Bit of the dataset whose header this line is (0 for any other line)."""
+    low = F.lower(line)
     out = None
     for spec in DATASETS.values():
-        line = F.lit(DELIMITER.join(spec.columns).lower())
-        out = F.when(dataset == spec.name, line) if out is None else out.when(
-            dataset == spec.name, line)
-    return out
+        bit = F.lit(_dataset_bits()[spec.name]).cast("long")
+        cond = low.isin(*header_forms(spec))
+        out = F.when(cond, bit) if out is None else out.when(cond, bit)
+    return out.otherwise(F.lit(0).cast("long"))
 
 
-def _normal_header(line: Column) -> Column:
-    """Header text without a byte-order mark, quotes or case."""
-    return F.lower(F.trim(F.translate(F.regexp_replace(line, "^\uFEFF", ""), '"', "")))
+def dataset_bit(dataset: Column) -> Column:
+    out = None
+    for name, bit in _dataset_bits().items():
+        out = (F.when(dataset == name, F.lit(bit).cast("long")) if out is None
+               else out.when(dataset == name, F.lit(bit).cast("long")))
+    return out
 
 
 def quality(spark: SparkSession, drop_dir: str) -> DataFrame:
     """Per object of a known dataset: data rows, long rows (surplus fields),
-    short rows (missing fields) and files whose header line is not the
-    dataset's, from one text scan of the whole drop folder.
-
-    Blank lines are skipped and each file's first line is its header, as the
-    CSV reader does; the first line is the earliest row of the split that
-    starts the file. Lines are first counted per (file, field count) —
-    partial aggregation in every task, so one huge file is no hot spot — and
-    only that small table is mapped to objects and datasets.
+    short rows (missing fields) and files without the dataset's header line,
+    from one text scan of the whole drop folder.
+
+    Blank lines are skipped and each file has one header line, as the CSV
+    reader expects. Lines are first counted per (file, field count) with
+    aggregates whose buffers are fixed-width (counts and a bit set of header
+    kinds seen), so every task pre-aggregates in a hash map — one huge file is
+    no hot spot and no line is sorted — and only that small table is mapped to
+    objects and datasets.
     """
     lines = (spark.read.option("recursiveFileLookup", "true").text(drop_dir)
              .where(F.col("value") != "")
              .select(F.col("_metadata.file_path").alias("file"),
                      field_count(F.col("value")).alias("fields"),
-                     F.when(F.col("_metadata.file_block_start") == 0,
-                            F.struct(F.monotonically_increasing_id().alias("at"),
-                                     F.col("value").alias("line"))).alias("first")))
+                     header_code(F.col("value")).alias("header_bits")))
     per_file_width = (lines.groupBy("file", "fields")
-                      .agg(F.count(F.lit(1)).alias("lines"), F.min("first").alias("first")))
+                      .agg(F.count(F.lit(1)).alias("lines"),
+                           F.bit_or("header_bits").alias("header_bits")))
     n = F.col("n")
     per_file = (per_file_width
                 .withColumn("object", object_name(F.col("file"), drop_dir))
@@ -191,8 +207,8 @@ def quality(spark: SparkSession, drop_dir: str) -> DataFrame:
                       .alias("long_rows"),
                      F.sum(F.when(F.col("fields") < n, F.col("lines")).otherwise(0))
                       .alias("short_rows"),
-                     F.min("first").getField("line").alias("header")))
-    header_ok = _normal_header(F.col("header")) == expected_header(F.col("dataset"))
+                     F.bit_or("header_bits").alias("header_bits")))
+    header_ok = (F.col("header_bits").bitwiseAND(dataset_bit(F.col("dataset")))) != 0
     return (per_file.groupBy("object")
             .agg((F.sum("lines") - F.count(F.lit(1))).alias("rows"),
                  F.sum("long_rows").alias("long_rows"),

@@ -49,3 +49,11 @@ def test_clustered_backfill_sorts_once_without_shuffle(spark):
     args = plan.split(") Sort [")[1].split("Arguments: [")[1].split("]")[0]
     keys = [k.split("#")[0] for k in args.split(", ")]
     assert keys == ["year", "month", "day", "tipo_energia", "tipo_transaccion"]
+
+
+def test_landing_aggregates_in_hash_maps(spark):
+    """No aggregation buffer holds a string, so no line is ever sorted."""
+    from jornada.operators.landing import landing_report
+    plan = plan_of(landing_report(spark, R.drop_folder(spark, SF_SMALL)))
+    assert "HashAggregate" in plan
+    assert "SortAggregate" not in plan and ") Sort " not in plan
