@@ -42,3 +42,19 @@ def test_replaying_days_is_idempotent(spark, workdir):
     curate_days(spark, PROVIDERS, zone, days, sync=False)
     curate_days(spark, PROVIDERS, zone, days[:1], sync=False)
     assert _per_day(spark, zone) == {"01": 1, "02": 1}
+
+
+def test_relanded_day_replaces_its_curated_rows(spark, workdir):
+    from jornada.plans import land_drop
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur", env="relandtest")
+    drop1, drop2 = f"{workdir}/drop1", f"{workdir}/drop2"
+    write_text(f"{drop1}/Providers_20240101.csv", HEADER + "a;solar\nb;solar\n")
+    land_drop(spark, drop1, zone)
+    curate_stream(spark, PROVIDERS, zone).awaitTermination()
+    assert _per_day(spark, zone) == {"01": 2}
+    # A corrected file for the same day arrives: landing replaces the raw day,
+    # the stream sees new files and re-curates the whole day.
+    write_text(f"{drop2}/Providers_20240101.csv", HEADER + "a;solar\nb;solar\nc;eolica\n")
+    land_drop(spark, drop2, zone)
+    curate_stream(spark, PROVIDERS, zone).awaitTermination()
+    assert _per_day(spark, zone) == {"01": 3}
