@@ -19,6 +19,7 @@ Rejections are reported, never raised.
 
 from __future__ import annotations
 
+import logging
 import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -30,6 +31,8 @@ from ..config import Zone
 from ..sources.raw import DELIMITER, csv_reader
 from ..spec import DATASETS, PARTITION_COLUMNS, TableSpec
 
+log = logging.getLogger(__name__)
+
 # Landing statuses.
 OK = "ok"
 REJECTED_NAME = "rejected_name"
@@ -270,7 +273,9 @@ def land(spark: SparkSession, drop_dir: str, zone: Zone,
     """Land every accepted object of a drop folder; returns the saved report.
 
     One distributed write per dataset (run side by side); each landed day
-    replaces its folder, so landing a drop twice gives the same raw zone.
+    replaces its folder, so landing a drop twice gives the same raw zone. A
+    dataset whose write fails does not stop the others; the failure is raised
+    once all have finished.
     """
     if report is None:
         report = landing_report(spark, drop_dir)
@@ -297,6 +302,17 @@ def land(spark: SparkSession, drop_dir: str, zone: Zone,
             rows = _dated(read_drop(spark, drop_dir, spec, sorted(objects)), spec)
         _write_dataset(rows, zone, spec)
 
+    def attempt(spec: TableSpec) -> tuple[str, Exception | None]:
+        try:
+            one(spec)
+            return spec.name, None
+        except Exception as exc:  # noqa: BLE001 - the other datasets still land
+            log.error("landing %s failed: %s", spec.name, exc)
+            return spec.name, exc
+
     with ThreadPoolExecutor(max_workers=max(1, len(specs))) as pool:
-        list(pool.map(one, specs))
+        failed = [(name, exc) for name, exc in pool.map(attempt, specs) if exc is not None]
+    if failed:
+        names = ", ".join(name for name, _ in failed)
+        raise RuntimeError(f"landing failed for {names}; other datasets landed") from failed[0][1]
     return report

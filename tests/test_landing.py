@@ -167,3 +167,23 @@ def test_object_names_under_nested_folders_of_the_same_name(spark, workdir):
     zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
     report = [(r.object, r.status) for r in land_drop(spark, drop, zone).collect()]
     assert report == [("Providers_20231204.csv", OK)]
+
+
+def test_one_failing_dataset_does_not_stop_the_others(spark, workdir, monkeypatch):
+    import pytest
+    from jornada.operators import landing
+    real = landing._write_dataset
+
+    def flaky(rows, zone, spec):
+        if spec.name == "Customers":
+            raise OSError("disk full")
+        real(rows, zone, spec)
+    monkeypatch.setattr(landing, "_write_dataset", flaky)
+    drop = f"{workdir}/drop"
+    write_text(f"{drop}/Providers_20231204.csv", "nombre_proveedor;tipo_energia\nacme;solar\n")
+    write_text(f"{drop}/Customers_20231204.csv",
+               "tipo_identificacion;identificacion;nombre;ciudad\nCC;1;ana;cali\n")
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
+    with pytest.raises(RuntimeError, match="Customers"):
+        land_drop(spark, drop, zone)
+    assert scan_raw_backfill(spark, zone, PROVIDERS).count() == 1
