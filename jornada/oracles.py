@@ -142,6 +142,11 @@ ORACLE_SQL: dict[str, str] = {
                       f"coalesce(precio, 0) AS precio, tipo_energia FROM ({_CAST_TX}) t",
     "surrogate_key": "SELECT count(*) AS n_rows, count(*) AS n_keys, "
                      "count(*) AS n_distinct_keys, CAST(1 AS BIGINT) AS min_key FROM lineitem",
+    "row_key": "SELECT tipo_transaccion, nombre, cantidad_comprada, precio, tipo_energia, "
+               "sha256(concat_ws('|', coalesce(tipo_transaccion, chr(0)), "
+               "coalesce(nombre, chr(0)), coalesce(CAST(cantidad_comprada AS VARCHAR), chr(0)), "
+               "coalesce(CAST(precio AS VARCHAR), chr(0)), coalesce(tipo_energia, chr(0)))) "
+               f"AS row_key FROM ({_CURATED_TX}) t",
     "partition_columns": f"SELECT *, '2023' AS year, '12' AS month, '04' AS day FROM ({_RAW_TX}) t",
     "curate_providers": f"SELECT upper(nombre_proveedor) AS nombre_proveedor, tipo_energia, "
                         f"'2023' AS year, '12' AS month, '04' AS day FROM ({_RAW_PROVIDERS}) t",

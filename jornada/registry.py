@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from . import fixtures as fx
 from .config import BatchDate, Zone
 from .operators import (add_partition_columns, cast_columns, fill_zero, landing_report,
-                        list_drop, route, upper_column)
+                        list_drop, route, row_key, upper_column)
 from .operators.filters import all_of, energy_is, kind_is, price_above
 from .plans import curate, curate_backfill, hydro_sales, hydro_sales_sql, land_drop
 from .session import app_id, scratch_dir
@@ -179,6 +179,12 @@ def q_surrogate_key(spark, sf_dir):
                   F.min(KEY_COLUMN).alias("min_key"))
 
 
+def q_row_key(spark, sf_dir):
+    """Repeatable content key over the natural columns of the curated rows."""
+    df = _curated(spark, sf_dir, TRANSACTIONS)
+    return df.select(*TRANSACTIONS.columns, row_key(TRANSACTIONS.columns).alias("row_key"))
+
+
 def q_curate_providers(spark, sf_dir):
     return _curated(spark, sf_dir, PROVIDERS).drop(KEY_COLUMN)
 
@@ -336,6 +342,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upper_name": q_upper_name,
     "fill_null_zero": q_fill_null_zero,
     "surrogate_key": q_surrogate_key,
+    "row_key": q_row_key,
     "partition_columns": q_partition_columns,
     "curate_providers": q_curate_providers,
     "curate_customers": q_curate_customers,
