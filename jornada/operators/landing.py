@@ -39,6 +39,7 @@ REJECTED_NAME = "rejected_name"
 REJECTED_DATASET = "rejected_dataset"
 REJECTED_MALFORMED = "rejected_malformed"
 REJECTED_HEADER = "rejected_header"
+REJECTED_UNREADABLE = "rejected_unreadable"
 
 # A field separator outside double quotes.
 _SEPARATOR_OUTSIDE_QUOTES = DELIMITER + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
@@ -47,6 +48,12 @@ _SEPARATOR_OUTSIDE_QUOTES = DELIMITER + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
 MAX_OBJECTS_BY_NAME = 10_000
 
 
+def source_file() -> Column:
+    """The row's source file as a plain path. ``_metadata.file_path`` is
+    URL-encoded, while file listings are not; object names must agree."""
+    return F.url_decode(F.col("_metadata.file_path"))
+
+
 def _path_only(uri: str) -> str:
     """``scheme://authority/p`` or ``scheme:/p`` -> ``/p`` (plain paths unchanged)."""
     m = re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", uri)
@@ -111,6 +118,11 @@ def route(objects: DataFrame) -> DataFrame:
                                destination(F.col("dataset"), day))))
 
 
+def _glob_escape(name: str) -> str:
+    """Object name as a literal path: glob characters are escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", name)
+
+
 def read_drop(spark: SparkSession, drop_dir: str, spec: TableSpec,
               objects: list[str] | None = None) -> DataFrame:
     """Rows of one dataset's objects (raw schema, text), with their object name.
@@ -123,9 +135,10 @@ def read_drop(spark: SparkSession, drop_dir: str, spec: TableSpec,
     if objects is None:
         df = csv_reader(spark, spec.raw_schema(), check_header=False).load(f"{root}/{spec.name}_*")
     else:
-        df = csv_reader(spark, spec.raw_schema()).load([f"{root}/{o}" for o in objects])
+        df = csv_reader(spark, spec.raw_schema()).load([f"{root}/{_glob_escape(o)}"
+                                                        for o in objects])
     return df.select(*spec.columns,
-                     object_name(F.col("_metadata.file_path"), drop_dir).alias("object"))
+                     object_name(source_file(), drop_dir).alias("object"))
 
 
 def expected_fields(dataset: Column) -> Column:
@@ -192,7 +205,7 @@ def quality(spark: SparkSession, drop_dir: str) -> DataFrame:
     """
     lines = (spark.read.option("recursiveFileLookup", "true").text(drop_dir)
              .where(F.col("value") != "")
-             .select(F.col("_metadata.file_path").alias("file"),
+             .select(source_file().alias("file"),
                      field_count(F.col("value")).alias("fields"),
                      header_code(F.col("value")).alias("header_bits")))
     per_file_width = (lines.groupBy("file", "fields")
@@ -224,6 +237,8 @@ def landing_report(spark: SparkSession, drop_dir: str) -> DataFrame:
     routed = route(list_drop(spark, drop_dir))
     report = routed.join(quality(spark, drop_dir), "object", "left")
     status = (F.when(F.col("name_status") != OK, F.col("name_status"))
+               # Bytes but not one line counted: nothing the reader could use.
+               .when(F.col("rows").isNull() & (F.col("bytes") > 0), F.lit(REJECTED_UNREADABLE))
                .when(F.coalesce(F.col("bad_headers"), F.lit(0)) > 0, F.lit(REJECTED_HEADER))
                .when(F.coalesce(F.col("long_rows"), F.lit(0)) > 0, F.lit(REJECTED_MALFORMED))
                .otherwise(F.lit(OK)))

@@ -187,3 +187,26 @@ def test_one_failing_dataset_does_not_stop_the_others(spark, workdir, monkeypatc
     with pytest.raises(RuntimeError, match="Customers"):
         land_drop(spark, drop, zone)
     assert scan_raw_backfill(spark, zone, PROVIDERS).count() == 1
+
+
+def test_object_names_with_glob_characters(spark, workdir):
+    from jornada.operators.landing import _glob_escape
+    assert _glob_escape("a[1]*{x}?.csv") == r"a\[1\]\*\{x\}\?.csv"
+    drop = f"{workdir}/drop"
+    prov = "nombre_proveedor;tipo_energia\n"
+    write_text(f"{drop}/Providers_20231204_[1].csv", prov + "acme;solar\n")
+    write_text(f"{drop}/Providers_20231204_1.csv", prov + "beta;solar\ngamma;solar\n")
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
+    report = {r.object: (r.status, r.rows) for r in land_drop(spark, drop, zone).collect()}
+    assert report == {"Providers_20231204_[1].csv": (OK, 1), "Providers_20231204_1.csv": (OK, 2)}
+    assert scan_raw_backfill(spark, zone, PROVIDERS).count() == 3
+
+
+def test_blank_file_is_unreadable(spark, workdir):
+    from jornada.operators.landing import REJECTED_UNREADABLE, landing_report
+    drop = f"{workdir}/drop"
+    write_text(f"{drop}/Providers_20231204.csv", "\n\n\n")
+    write_text(f"{drop}/Providers_20231205.csv", "")
+    report = {r.object: r.status for r in landing_report(spark, drop).collect()}
+    # Zero-byte files are skipped by Spark's file scans: nothing to report or land.
+    assert report == {"Providers_20231204.csv": REJECTED_UNREADABLE}
