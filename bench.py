@@ -30,13 +30,21 @@ from jornada.streaming import curate_stream  # noqa: E402
 from jornada.testing import local_session  # noqa: E402
 
 
-def timed(fn, repeat: int) -> float:
-    fn()  # warm-up
-    runs = []
-    for _ in range(repeat):
-        t0 = time.perf_counter()
-        fn()
-        runs.append(time.perf_counter() - t0)
+ERRORS: dict[str, str] = {}
+
+
+def timed(fn, repeat: int, name: str = "") -> float | None:
+    """Median seconds of ``repeat`` runs after a warm-up; None if the job fails."""
+    try:
+        fn()  # warm-up
+        runs = []
+        for _ in range(repeat):
+            t0 = time.perf_counter()
+            fn()
+            runs.append(time.perf_counter() - t0)
+    except Exception as exc:  # noqa: BLE001 - report, keep the other timings
+        ERRORS[name or getattr(fn, "__name__", "job")] = repr(exc)[:300]
+        return None
     return round(statistics.median(runs), 3)
 
 
@@ -64,29 +72,30 @@ def main() -> None:
 
     q = {}
     q["curate_transactions"] = timed(
-        lambda: curate(spark, TRANSACTIONS, day, day_zone, rerun="replace"), repeat)
+        lambda: curate(spark, TRANSACTIONS, day, day_zone, rerun="replace"), repeat, "curate_transactions")
     q["curate_providers"] = timed(
-        lambda: curate(spark, PROVIDERS, day, day_zone, rerun="replace"), repeat)
+        lambda: curate(spark, PROVIDERS, day, day_zone, rerun="replace"), repeat, "curate_providers")
     q["curate_customers"] = timed(
-        lambda: curate(spark, CUSTOMERS, day, day_zone, rerun="replace"), repeat)
-    q["query_hydro_sales"] = timed(lambda: drain(hydro_sales_sql(spark, tx.table)), repeat)
+        lambda: curate(spark, CUSTOMERS, day, day_zone, rerun="replace"), repeat, "curate_customers")
+    q["query_hydro_sales"] = timed(lambda: drain(hydro_sales_sql(spark, tx.table)), repeat,
+                                   "query_hydro_sales")
     q["query_hydro_sales_day"] = timed(
         lambda: drain(hydro_sales(scan_curated(spark, months.path, TRANSACTIONS),
-                                  day=BatchDate("19980601"))), repeat)
+                                  day=BatchDate("19980601"))), repeat, "query_hydro_sales_day")
     q["curate_backfill"] = timed(
-        lambda: curate_backfill(spark, TRANSACTIONS, backfill_zone, rerun="replace"), repeat)
+        lambda: curate_backfill(spark, TRANSACTIONS, backfill_zone, rerun="replace"), repeat, "curate_backfill")
     def stream_once():
         fresh = R._zone(spark, "bench-stream")
         target = type(backfill_zone)(backfill_zone.raw_root, fresh.curated_root, fresh.env)
         curate_stream(spark, TRANSACTIONS, target, sync=False).awaitTermination()
-    q["curate_stream"] = timed(stream_once, repeat)
+    q["curate_stream"] = timed(stream_once, repeat, "curate_stream")
     q["landing"] = timed(
-        lambda: land_drop(spark, drop, R._zone(spark, "bench-landed")), repeat)
+        lambda: land_drop(spark, drop, R._zone(spark, "bench-landed")), repeat, "landing")
 
     raw_rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     print(json.dumps({
         "metric": "total_median_sec",
-        "value": round(sum(q.values()), 3),
+        "value": round(sum(v for v in q.values() if v is not None), 3),
         "unit": "sec",
         "queries": q,
         "sf": sf,
@@ -94,6 +103,7 @@ def main() -> None:
         "spark": spark.version,
         "transactions_rows": raw_rows,
         "staging_sec": stage_sec,
+        **({"errors": ERRORS} if ERRORS else {}),
     }))
 
 
