@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from jornada import fixtures as fx  # noqa: E402
 from jornada import registry as R  # noqa: E402
-from jornada.config import BatchDate  # noqa: E402
+from jornada.config import BatchDate, Zone  # noqa: E402
 from jornada.plans import curate, curate_backfill, hydro_sales, hydro_sales_sql, land_drop  # noqa: E402
 from jornada.sources import scan_curated  # noqa: E402
 from jornada.spec import CUSTOMERS, PROVIDERS, TRANSACTIONS  # noqa: E402
@@ -70,27 +70,26 @@ def main() -> None:
     stage_sec = round(time.perf_counter() - t0, 3)
     day = fx.FLAGSHIP_DATE
 
-    q = {}
-    q["curate_transactions"] = timed(
-        lambda: curate(spark, TRANSACTIONS, day, day_zone, rerun="replace"), repeat, "curate_transactions")
-    q["curate_providers"] = timed(
-        lambda: curate(spark, PROVIDERS, day, day_zone, rerun="replace"), repeat, "curate_providers")
-    q["curate_customers"] = timed(
-        lambda: curate(spark, CUSTOMERS, day, day_zone, rerun="replace"), repeat, "curate_customers")
-    q["query_hydro_sales"] = timed(lambda: drain(hydro_sales_sql(spark, tx.table)), repeat,
-                                   "query_hydro_sales")
-    q["query_hydro_sales_day"] = timed(
-        lambda: drain(hydro_sales(scan_curated(spark, months.path, TRANSACTIONS),
-                                  day=BatchDate("19980601"))), repeat, "query_hydro_sales_day")
-    q["curate_backfill"] = timed(
-        lambda: curate_backfill(spark, TRANSACTIONS, backfill_zone, rerun="replace"), repeat, "curate_backfill")
     def stream_once():
         fresh = R._zone(spark, "bench-stream")
-        target = type(backfill_zone)(backfill_zone.raw_root, fresh.curated_root, fresh.env)
+        target = Zone(backfill_zone.raw_root, fresh.curated_root, fresh.env)
         curate_stream(spark, TRANSACTIONS, target, sync=False).awaitTermination()
-    q["curate_stream"] = timed(stream_once, repeat, "curate_stream")
-    q["landing"] = timed(
-        lambda: land_drop(spark, drop, R._zone(spark, "bench-landed")), repeat, "landing")
+
+    jobs = {
+        "curate_transactions":
+            lambda: curate(spark, TRANSACTIONS, day, day_zone, rerun="replace"),
+        "curate_providers": lambda: curate(spark, PROVIDERS, day, day_zone, rerun="replace"),
+        "curate_customers": lambda: curate(spark, CUSTOMERS, day, day_zone, rerun="replace"),
+        "query_hydro_sales": lambda: drain(hydro_sales_sql(spark, tx.table)),
+        "query_hydro_sales_day":
+            lambda: drain(hydro_sales(scan_curated(spark, months.path, TRANSACTIONS),
+                                      day=BatchDate("19980601"))),
+        "curate_backfill":
+            lambda: curate_backfill(spark, TRANSACTIONS, backfill_zone, rerun="replace"),
+        "curate_stream": stream_once,
+        "landing": lambda: land_drop(spark, drop, R._zone(spark, "bench-landed")),
+    }
+    q = {name: timed(fn, repeat, name) for name, fn in jobs.items()}
 
     raw_rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     print(json.dumps({
