@@ -210,3 +210,11 @@ def test_blank_file_is_unreadable(spark, workdir):
     report = {r.object: r.status for r in landing_report(spark, drop).collect()}
     # Zero-byte files are skipped by Spark's file scans: nothing to report or land.
     assert report == {"Providers_20231204.csv": REJECTED_UNREADABLE}
+
+
+def test_field_count(spark):
+    from jornada.operators.landing import field_count
+    lines = ["a;b;c", 'a;"x;y";b', '"a;b"', 'a;"say ""hi;"" now";c', "", "a;;", '"";""']
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, v string")
+    got = [r.n for r in df.orderBy("i").select(field_count(F.col("v")).alias("n")).collect()]
+    assert got == [3, 3, 1, 3, 1, 3, 2]
