@@ -74,10 +74,12 @@ def sync_catalog(spark: SparkSession, database: str, spec: TableSpec, path: str,
     Returns the qualified table name.
     """
     name = f"`{database}`.`{spec.table}`"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({_ddl_columns(spec)}) USING parquet "
-        f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) LOCATION '{path}'")
+    if not spark.catalog.tableExists(f"{database}.{spec.table}"):
+        # First run only; later runs go straight to their partitions.
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({_ddl_columns(spec)}) USING parquet "
+            f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) LOCATION '{path}'")
     registered = table_location(spark, name)
     if registered is not None and _norm(registered) != _norm(path):
         raise ValueError(f"{name} is registered at {registered}, not at {path}")
