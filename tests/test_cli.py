@@ -31,3 +31,10 @@ def test_land_then_curate_then_query(spark, workdir, capsys):
     zone = Zone(f"{workdir}/raw", f"{workdir}/cur", "clitest")
     assert spark.table(zone.table_name(PROVIDERS)).where(
         f"day = '{BatchDate('20231204').day}'").count() == 1
+
+
+def test_missing_job_arguments_exit_2(spark, capsys):
+    assert main(["land", "--raw-root", "/nowhere/raw", "--curated-root", "/nowhere/cur"]) == 2
+    assert main(["query", "--raw-root", "/nowhere/raw", "--curated-root", "/nowhere/cur"]) == 2
+    err = capsys.readouterr().err
+    assert "--drop is required" in err and "--output is required" in err
