@@ -60,7 +60,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE,
               - F.coalesce(F.sum("_limit").over(before), F.lit(0.0))) / F.sum("_w").over(on))
     per = per.withColumn("_level", level).withColumn(
         "_fits", F.when(F.col("_level") * F.col("_w") <= F.col("_limit"), F.col("_level")))
-    common = F.min("_fits").over(everything)
+    # Levels rise up to the first that fits and fall after it: that one is the largest.
+    common = F.max("_fits").over(everything)
     return per.withColumn("target", F.least(
         F.col("_limit"), F.coalesce(common * F.col("_w"), F.col("_limit")))).select(
         "source", "source_size", "source_docs", "target")

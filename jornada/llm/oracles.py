@@ -43,7 +43,7 @@ s3 AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE
                   - coalesce(sum(lim) OVER (ORDER BY lim / w, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
                  / sum(w) OVER (ORDER BY lim / w, n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev
        FROM s2),
-s4 AS (SELECT *, min(CASE WHEN lev * w <= lim THEN lev END) OVER () AS common FROM s3),
+s4 AS (SELECT *, max(CASE WHEN lev * w <= lim THEN lev END) OVER () AS common FROM s3),
 t AS (SELECT source, source_size, least(lim, coalesce(common * w, lim)) AS target,
              CAST('0x' || substr(md5(coalesce('mix:' || source, '')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
       FROM s4),

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules
+from ..session import scratch_dir
+from . import decontaminate, mixing, quality_rules, token_store
 from .common import table
 
 
@@ -23,7 +24,22 @@ def op8_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token store of every document, written and read back."""
+    path = scratch_dir(spark, "tokens")
+    token_store.write_tokens(table(spark, sf_dir, "documents"), path)
+    return token_store.read_documents(spark, path)
+
+
+def op1_edit_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) pair within the item's edit budget."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_edit_matches": op1_edit_matches,
+    "op2_token_store": op2_token_store,
     "op8_systematic_mix": op8_systematic_mix,
     "op10_quality_rules": op10_quality_rules,
 }
