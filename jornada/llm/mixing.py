@@ -79,7 +79,9 @@ def offset(source: Column) -> Column:
 
 def plan(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken."""
-    narrow = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    # Written first: range partitioning reads its input twice, once for the bounds.
+    narrow = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")),
+                     "mix-sizes")
     order = ["source", "size", "_key", "doc_id"]
     placed = written(
         narrow.withColumn("_key", _key(F.col("doc_id")))

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontaminate, mixing, quality_rules, token_store
-from .common import table
+from . import (decontaminate, language_id, mixing, near_dup, quality_rules, rule_ensemble,
+               token_store)
+from .common import id_bucket, table, written
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,9 +38,36 @@ def op1_edit_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  table(spark, sf_dir, "benchmark"))
 
 
+def op5_setsketch_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; learns from the rows that are not held out."""
+    held_out = id_bucket(F.col("doc_id"), 5) == 0
+    stats = written(rule_ensemble.statistics(table(spark, sf_dir, "documents")), "quality-stats")
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    model = rule_ensemble.train(stats.where(~held_out), labels)
+    return rule_ensemble.predict(stats, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learns from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_bucket(F.col("doc_id"), 4) == 2
+    model = language_id.train(docs.where(~held_out).select("doc_id", "text", "lang"))
+    return language_id.predict(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_edit_matches": op1_edit_matches,
     "op2_token_store": op2_token_store,
+    "op4_rule_ensemble": op4_rule_ensemble,
+    "op5_setsketch_near_dup": op5_setsketch_near_dup,
     "op8_systematic_mix": op8_systematic_mix,
+    "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ END_ID = 0
 #: A block closes once it holds this many ids.
 BLOCK_IDS = 1 << 16
 #: Entries of a worker's piece cache; it is emptied when full (results don't depend on it).
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 800_000
 
 _BLOCKS = ("shard int, block int, first bigint, n_ids bigint, doc_ids array<bigint>, "
            "counts array<bigint>, words binary")
@@ -49,6 +50,7 @@ def default_vocabulary() -> str:
 # signs, a single line break. Anything else sends the piece whole to the tokenizer.
 _UNIT = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[^\\w\\s']+|\n)")
 _INNER = re.compile(r"(?<=\S) (?=\S)")
+_UNSURE = re.compile(r"\s\s|\A\s|\s\Z")
 
 
 class PieceEncoder:
@@ -64,7 +66,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(vocabulary)
         self._tok.encode_special_tokens = True
-        self.dtype = np.dtype("<u2" if self._tok.get_vocab_size() <= 1 << 16 else "<u4")
+        self.dtype = np.dtype("H" if self._tok.get_vocab_size() <= 1 << 16 else "I")
         self._pieces: dict[str, bytes] = {}
         self._units: dict[str, bytes] = {}
 
@@ -73,20 +75,22 @@ class PieceEncoder:
         texts = list(texts)
         if texts:
             for text, found in zip(texts, self._tok.encode_batch(texts, add_special_tokens=False)):
-                cache[text] = np.array(found.ids, dtype=self.dtype).tobytes()
+                cache[text] = array(self.dtype.char, found.ids).tobytes()
 
     def _learn(self, pieces: set[str]) -> None:
-        """Encode pieces (leading space included) by way of their units."""
+        """Encode pieces (without the space before them) by way of their units."""
         cut: dict[str, list[str]] = {}
         whole = []
         for piece in pieces:
-            units = _UNIT.findall(piece)
-            if sum(map(len, units)) == len(piece) and "\n\n" not in piece and piece[-1] != "\n":
+            units = _UNIT.findall(" " + piece)
+            if sum(map(len, units)) == len(piece) + 1 and "\n\n" not in piece and piece[-1] != "\n":
                 cut[piece] = units
             else:
                 whole.append(piece)
-        self._fill(self._pieces, whole)
-        self._fill(self._units, {u for units in cut.values() for u in units if u not in self._units})
+        found: dict[str, bytes] = {}
+        self._fill(found, [" " + piece for piece in whole])
+        self._pieces.update((piece, found[" " + piece]) for piece in whole)
+        self._fill(self._units, {u for units in cut.values() for u in units} - self._units.keys())
         for piece, units in cut.items():
             self._pieces[piece] = b"".join([self._units[u] for u in units])
 
@@ -95,19 +99,16 @@ class PieceEncoder:
         for cache in (self._pieces, self._units):
             if len(cache) > CACHE_ENTRIES:
                 cache.clear()
-        split = []
-        for text in texts:
-            # A piece that is empty or ends in white space marks an unsure split.
-            parts = text.split(" ")
-            for p in parts:
-                if not p or p[0].isspace() or p[-1].isspace():
-                    parts = _INNER.split(text)
-                    break
-            split.append([parts[0], *[" " + p for p in parts[1:]]])
         have = self._pieces
-        self._learn({p for parts in split for p in parts if p not in have and p})
-        have[""] = b""
-        return [np.frombuffer(b"".join([have[p] for p in parts]), dtype=self.dtype) for parts in split]
+        # Where white space meets white space or a text's end, a split at a space isn't sure.
+        split = [(_INNER.split(t) if _UNSURE.search(t) else t.split(" ")) for t in texts]
+        missing = set().union(*(parts[1:] for parts in split)) - have.keys()
+        self._learn(missing)
+        firsts: dict[str, bytes] = {"": b""}
+        self._fill(firsts, {parts[0] for parts in split if parts[0]})
+        get = have.__getitem__
+        return [np.frombuffer(firsts[parts[0]] + b"".join(map(get, parts[1:])), dtype=self.dtype)
+                for parts in split]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -133,62 +134,53 @@ def _texts(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[s
         yield first, held
 
 
-def encode_documents(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """Per document its number of ids (end id included) and the ids as raw bytes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary or default_vocabulary())
-        end = np.array([end_id], dtype=encode.dtype).tobytes()
-        for batch in batches:
-            for first, texts in _texts(batch.column(1)):
-                ids = encode(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(ids)),
-                     pa.array([len(x) + 1 for x in ids], pa.int64()),
-                     pa.array([x.tobytes() + end for x in ids], pa.binary())],
-                    ["doc_id", "n_ids", "ids"])
-
-    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return narrow.mapInArrow(run, "doc_id bigint, n_ids bigint, ids binary")
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Consecutive documents of a sorted partition, gathered and packed into blocks."""
-    shard = TaskContext.get().partitionId()
+def _encoded_blocks(vocabulary: str | None, end_id: int):
+    """Task function: a sorted partition of (doc_id, text) as packed blocks."""
     schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first", pa.int64()),
                         ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                         ("counts", pa.list_(pa.int64())), ("words", pa.binary())])
-    block = first = total = 0
-    docs, counts, data = [], [], []
-
-    def close():
-        nonlocal block, first, total
-        width = np.dtype(f"<u{sum(map(len, data)) // total}")
-        words = simple8b.encode(np.frombuffer(b"".join(data), dtype=width))
-        out = pa.RecordBatch.from_pylist([dict(
-            shard=shard, block=block, first=first, n_ids=total, doc_ids=list(docs),
-            counts=list(counts), words=words.astype("<u8").tobytes())], schema)
-        block, first, total = block + 1, first + total, 0
-        docs.clear(), counts.clear(), data.clear()
-        return out
 
-    for batch in batches:
-        for doc, n, ids in zip(*(batch.column(i) for i in range(3))):
-            docs.append(doc.as_py())
-            counts.append(n.as_py())
-            data.append(ids.as_py())
-            total += counts[-1]
-            if total >= BLOCK_IDS:
-                yield close()
-    if docs:
-        yield close()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = TaskContext.get().partitionId()
+        encode = encoder(vocabulary or default_vocabulary())
+        end = np.array([end_id], dtype=encode.dtype)
+        block = first = total = 0
+        docs, counts, data = [], [], []
+
+        def close():
+            nonlocal block, first, total
+            words = simple8b.encode(np.concatenate(data))
+            out = pa.RecordBatch.from_pylist([dict(
+                shard=shard, block=block, first=first, n_ids=total, doc_ids=list(docs),
+                counts=list(counts), words=words.astype("<u8").tobytes())], schema)
+            block, first, total = block + 1, first + total, 0
+            docs.clear(), counts.clear(), data.clear()
+            return out
+
+        for batch in batches:
+            for row, texts in _texts(batch.column(1)):
+                for doc, ids in zip(batch.column(0).slice(row, len(texts)), encode(texts)):
+                    docs.append(doc.as_py())
+                    counts.append(len(ids) + 1)
+                    data += (ids, end)
+                    total += counts[-1]
+                    if total >= BLOCK_IDS:
+                        yield close()
+        if docs:
+            yield close()
+    return run
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None,
                  end_id: int = END_ID) -> None:
-    """Write the token store of ``docs`` at ``path`` (one job, committed by Spark)."""
-    (encode_documents(docs, vocabulary, end_id)
+    """Write the token store of ``docs`` at ``path`` (one job, committed by Spark).
+
+    Texts are range-partitioned before they are encoded: the bounds come from a pass
+    that encodes nothing, and every text is encoded once.
+    """
+    (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
      .repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-     .mapInArrow(_blocks, _BLOCKS)
+     .mapInArrow(_encoded_blocks(vocabulary, end_id), _BLOCKS)
      .write.option("compression", "uncompressed").parquet(path))
 
 
