@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import text_slices
 
 DIMENSIONS = 2048
-PER_LANGUAGE = 1500
+PER_LANGUAGE = 1000
 
 # Families of ISO 639-1 codes; a code not listed is its own family.
 FAMILIES = {
@@ -67,17 +67,18 @@ def features(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
     return out / np.maximum(length, 1e-9)
 
 
-def train_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, steps: int = 150) -> np.ndarray:
+def train_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, steps: int = 200) -> np.ndarray:
     """Linear SVM (L2-regularised squared hinge, last weight the bias), y in -1, 1.
 
     Accelerated gradient descent with a fixed step from the largest curvature.
     """
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    y = y.astype(x.dtype)
     weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)) * c
     rate = 1.0 / (1e-2 + 2 * (weight * (x * x).sum(axis=1)).sum())
-    w = z = np.zeros(x.shape[1])
+    w = z = np.zeros(x.shape[1], x.dtype)
     t = 1.0
-    for _ in range(steps * 4):
+    for _ in range(steps):
         slack = np.maximum(0, 1 - y * (x @ z))
         step = z - rate * (1e-2 * z - 2 * x.T @ (weight * slack * y))
         t_next = (1 + (1 + 4 * t * t) ** 0.5) / 2
