@@ -14,7 +14,8 @@
    becomes a link if the full sets confirm ``100 * intersection >= 80 * union``.
 4. Components are found by min-label propagation with pointer jumping. Buckets that
    still hold several components are then compared across their components, block
-   by block, so a link that no leader takes part in is not lost.
+   by block: each member is verified against the most similar member of every other
+   component, again and again until no further link turns up.
 
 With 32 bands of 5 rows a pair at similarity exactly 0.8 shares no band with
 probability 3e-6, less above it.
@@ -44,8 +45,8 @@ BANDS, ROWS = 32, 5
 M = BANDS * ROWS
 #: Sketch base, rate and register limit: x from 1 down to b**-4000 (1e-34) in steps of 2 %.
 BASE, RATE, LIMIT = 1.02, 20.0, 4000
-#: Pairs whose estimate is below this are not verified; six standard deviations under 0.8.
-MIN_ESTIMATE = 0.6
+#: Pairs whose estimate is below this are not verified; nearly five standard deviations under 0.8.
+MIN_ESTIMATE = 0.65
 #: Members of one comparison block of an unresolved bucket.
 BLOCK = 512
 
@@ -115,33 +116,34 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np
     return j[np.arange(len(j)), score.argmax(axis=1)]
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo, hi, offsets, data in text_slices(batch.column(1)):
-            sizes, digests, regs = [], [], []
-            for s in shingle_sets(offsets, data):
-                sizes.append(len(s))
-                digests.append(blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                regs.append(registers(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, hi - lo), pa.array(sizes, pa.int64()),
-                 pa.array(digests, pa.binary()), pa.array(regs, pa.binary())],
-                ["doc_id", "n_shingles", "digest", "regs"])
-
-
-def sketch(docs: DataFrame) -> DataFrame:
+def sketch(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, digest of the set and its registers (null for an empty set)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, offsets, data in text_slices(batch.column(1)):
+                sizes, digests, regs = [], [], []
+                for s in shingle_sets(offsets, data, shingle):
+                    sizes.append(len(s))
+                    digests.append(blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                    regs.append(registers(s).tobytes() if len(s) else None)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), pa.array(sizes, pa.int64()),
+                     pa.array(digests, pa.binary()), pa.array(regs, pa.binary())],
+                    ["doc_id", "n_shingles", "digest", "regs"])
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        _sketches, "doc_id bigint, n_shingles bigint, digest binary, regs binary")
+        run, "doc_id bigint, n_shingles bigint, digest binary, regs binary")
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo, hi, offsets, data in text_slices(batch.column(1)):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, hi - lo),
-                 pa.array([s.tobytes() for s in shingle_sets(offsets, data)], pa.binary())],
-                ["id", "members"])
+def member_sets(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(id, members): the whole set of each (id, text) row, as packed hashes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, offsets, data in text_slices(batch.column(1)):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo),
+                     pa.array([s.tobytes() for s in shingle_sets(offsets, data, shingle)], pa.binary())],
+                    ["id", "members"])
+    return texts.select("id", "text").mapInArrow(run, "id bigint, members binary")
 
 
 def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +189,7 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _PAIR = "a bigint, b bigint"
 
 
-def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The links among distinct candidate pairs (a < b): estimated, then confirmed."""
     side = lambda n: reps.select(F.col("id").alias(n), F.col("regs").alias(f"r{n}"),
                                  F.col("n_shingles").alias(f"n{n}"))
@@ -195,7 +197,7 @@ def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
                      .select("a", "b", "ra", "rb", "na", "nb").mapInArrow(_estimated, _PAIR), "near-likely")
     wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(wanted, "id", "left_semi")
-    sets = written(texts.mapInArrow(_sets, "id bigint, members binary"), "near-sets")
+    sets = written(member_sets(texts, shingle), "near-sets")
     both = (likely.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
             .select("a", "b", "sa", "sb"))
     return written(both.mapInArrow(_confirmed, _PAIR), "near-links")
@@ -233,21 +235,25 @@ def _label(ids: DataFrame, column: str, labels: DataFrame, name: str) -> DataFra
 
 
 def _across(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components between two blocks of one bucket."""
-    found = []
+    """Between two blocks of one bucket: each member's most similar one of every other component."""
     right = right.rename(columns=lambda c: c.removesuffix("_r"))
+    found = []
     if len(left) and len(right):
-        regs = [np.frombuffer(b"".join(x["regs"]), np.uint16).reshape(-1, M) for x in (left, right)]
-        for i in range(len(left)):
-            own = left.iloc[i]
-            n = right["n_shingles"].to_numpy()
-            near = ((right["comp"] != own["comp"]) & (right["id"] > own["id"])).to_numpy()
-            near &= 10 * np.minimum(n, own["n_shingles"]) >= 8 * np.maximum(n, own["n_shingles"]) - 2
-            at = np.flatnonzero(near)
-            # Cheap bound before the estimate: equal registers.
-            at = at[(regs[1][at] == regs[0][i]).mean(axis=1) >= MIN_ESTIMATE - 0.1]
-            found += [(own["id"], x) for x in right["id"].to_numpy()[at]]
-    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+        a, b = (np.frombuffer(b"".join(x["regs"]), np.uint16).reshape(-1, M) for x in (left, right))
+        ids, comps, sizes = (right[c].to_numpy() for c in ("id", "comp", "n_shingles"))
+        order = np.argsort(comps, kind="stable")
+        b, ids, comps, sizes = b[order], ids[order], comps[order], sizes[order]
+        starts = np.flatnonzero(np.concatenate(([True], comps[1:] != comps[:-1])))
+        for regs, own, comp, size in zip(a, left["id"], left["comp"], left["n_shingles"]):
+            same = (b == regs).mean(axis=1)
+            possible = (comps != comp) & (10 * np.minimum(sizes, size) >= 8 * np.maximum(sizes, size) - 2)
+            same[~possible] = 0
+            best = np.maximum.reduceat(same, starts)
+            for s in starts[best >= MIN_ESTIMATE]:
+                end = s + np.searchsorted(comps[s:], comps[s], side="right")
+                other = ids[s + same[s:end].argmax()]
+                found.append((min(own, other), max(own, other)))
+    return pd.DataFrame(found, columns=["a", "b"]).astype("int64").drop_duplicates()
 
 
 def _residual(buckets: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
@@ -272,9 +278,9 @@ def _residual(buckets: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFra
             .applyInPandas(_across, _PAIR).distinct())
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, class_id, component_id and kept, one row per document."""
-    base = written(sketch(docs), "near-sketch")
+    base = written(sketch(docs, shingle), "near-sketch")
     rep = base.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id"))
     reps = written(base.join(rep, "digest").where("doc_id = class_id")
                    .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "n_shingles", "regs"), "near-reps")
@@ -285,15 +291,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = written(keys.join(lead, "key"), "near-buckets")
     stars = written(buckets.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b"))
                     .distinct(), "near-stars")
-    links = verify(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), reps, docs)
+    links = verify(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), reps, docs, shingle)
     labels = components(links)
     more = _label(_label(stars, "a", labels, "ca"), "b", labels, "cb").where("ca <> cb").select("a", "b")
-    links = links.unionByName(verify(more, reps, docs))
+    links = links.unionByName(verify(more, reps, docs, shingle))
     labels = components(links)
-    rest = _residual(buckets.select("key", "id"), labels, reps).join(stars, ["a", "b"], "left_anti")
-    rest = written(rest, "near-residual")
-    if not rest.isEmpty():
-        links = links.unionByName(verify(rest, reps, docs))
+    tried = stars
+    while True:  # until the buckets that span components yield no further link
+        rest = written(_residual(buckets.select("key", "id"), labels, reps)
+                       .join(tried, ["a", "b"], "left_anti"), "near-residual")
+        if rest.isEmpty():
+            break
+        found = verify(rest, reps, docs, shingle)
+        if found.isEmpty():
+            break
+        links, tried = links.unionByName(found), tried.unionByName(rest)
         labels = components(links)
     out = base.join(rep, "digest", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
     out = _label(out, "class_id", labels, "component_id")
@@ -301,7 +313,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                       (F.col("doc_id") == F.col("component_id")).alias("kept"), "class_id")
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One document of each component (the smallest id; one row of a repeated id)."""
-    keep = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_keep")).distinct()
+    keep = near_duplicates(docs, shingle).where("kept").select(F.col("doc_id").alias("_keep")).distinct()
     return docs.dropDuplicates(["doc_id"]).join(keep, F.col("doc_id").cast("bigint") == F.col("_keep"), "left_semi")

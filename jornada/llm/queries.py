@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import (decontaminate, language_id, mixing, near_dup, quality_rules, rule_ensemble,
-               token_store)
+from . import (decontaminate, html_extract, katz, language_id, mixing, near_dup, pii,
+               quality_rules, rule_ensemble, token_store)
 from .common import id_bucket, table, written
 
 
@@ -62,11 +62,33 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_max_subsequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, with weights counted on the labelled pages."""
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract_pages(pages, html_extract.train(pages))
+
+
+def op7_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, with potentials counted on all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
+def op3_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Katz log-probability of every document; learns from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_bucket(F.col("doc_id"), 10) == 0
+    return katz.score(docs.select("doc_id", "text", held_out.alias("held_out")))
+
+
 QUERIES = {
     "op1_edit_matches": op1_edit_matches,
     "op2_token_store": op2_token_store,
+    "op3_katz_backoff": op3_katz_backoff,
     "op4_rule_ensemble": op4_rule_ensemble,
     "op5_setsketch_near_dup": op5_setsketch_near_dup,
+    "op6_max_subsequence": op6_max_subsequence,
+    "op7_skip_chain_pii": op7_skip_chain_pii,
     "op8_systematic_mix": op8_systematic_mix,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,

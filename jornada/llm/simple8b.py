@@ -56,11 +56,11 @@ def _selectors(width: np.ndarray) -> np.ndarray:
 
 def encode(values: np.ndarray) -> np.ndarray:
     """Values (unsigned integers) as 64-bit words."""
-    values = np.ascontiguousarray(values, dtype=np.uint64)
     n = len(values)
     if not n:
         return np.zeros(0, np.uint64)
-    width = _bits(values)
+    # 16-bit ids stay narrow until they are shifted into their words.
+    width = _SHORT[values] if values.dtype == np.uint16 else _bits(values.astype(np.uint64))
     selector = _selectors(width)
     escaped = width > 60
     step = _COUNT[selector].astype(np.uint8).tobytes()
@@ -80,9 +80,10 @@ def encode(values: np.ndarray) -> np.ndarray:
         rows = np.flatnonzero(chosen == s)
         if not bits:
             continue
+        begin = starts[rows]
         packed = np.zeros(len(rows), dtype=np.uint64)
         for i in range(count):
-            packed |= values[starts[rows] + i] << np.uint64(i * bits)
+            packed |= values[begin + i].astype(np.uint64) << np.uint64(i * bits)
         data[rows] |= packed & ESCAPE
     words[place] = np.where(raw, ESCAPE, data)
     words[place[raw] + 1] = values[starts[raw]]
