@@ -19,9 +19,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Characters trimmed from both ends (U+0000..U+0020), and the
+# Characters trimmed from both ends (U+0000..U+0020, U+007F), and the
 # accepted number shape: sign, digits, optional fraction; or a bare fraction.
-_EDGE_CHARS = "".join(chr(i) for i in range(0x21))
+_EDGE_CHARS = "".join(chr(i) for i in (*range(0x21), 0x7F))
 _NUMBER_SHAPE = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]*)$"
 
 

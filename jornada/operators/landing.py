@@ -12,7 +12,9 @@ plain file, or a folder of part files). Landing:
    header line naming the dataset's columns in order (rows are read by
    position), or any long row, and
    writes the rows of the others into ``<Dataset>/year=/month=/day=`` with a
-   dynamic partition overwrite, so landing the same day again replaces it.
+   dynamic partition overwrite, so landing the same objects again replaces their
+   days. A day that holds rows of an object outside the drop is left alone and the
+   new object reported (``rejected_day_taken``).
 
 Rejections are reported, never raised.
 """
@@ -24,7 +26,8 @@ import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Zone
@@ -40,12 +43,12 @@ REJECTED_DATASET = "rejected_dataset"
 REJECTED_MALFORMED = "rejected_malformed"
 REJECTED_HEADER = "rejected_header"
 REJECTED_UNREADABLE = "rejected_unreadable"
+REJECTED_DAY_TAKEN = "rejected_day_taken"
 
 # A double-quoted segment of a line.
 _QUOTED_SEGMENT = r'"[^"]*"'
-# Largest drop folder (in objects) whose accepted objects are read by name;
-# beyond it, every object is read and rejected ones are removed by a join.
-MAX_OBJECTS_BY_NAME = 10_000
+# Objects that one scan reads by name; longer lists are read batch by batch.
+OBJECTS_PER_SCAN = 1_000
 
 
 def source_file() -> Column:
@@ -124,21 +127,19 @@ def _glob_escape(name: str) -> str:
 
 
 def read_drop(spark: SparkSession, drop_dir: str, spec: TableSpec,
-              objects: list[str] | None = None) -> DataFrame:
-    """Rows of one dataset's objects (raw schema, text), with their object name.
+              objects: list[str]) -> DataFrame:
+    """Rows of exactly the given objects (raw schema, text), with their object name.
 
-    With ``objects`` exactly those are read and their headers are checked
-    again by the reader; otherwise every ``<Dataset>_*`` object is read by
-    position and rejected ones must be removed afterwards.
+    Headers are always checked again by the reader.
     """
     root = drop_dir.rstrip("/")
-    if objects is None:
-        df = csv_reader(spark, spec.raw_schema(), check_header=False).load(f"{root}/{spec.name}_*")
-    else:
-        df = csv_reader(spark, spec.raw_schema()).load([f"{root}/{_glob_escape(o)}"
-                                                        for o in objects])
-    return df.select(*spec.columns,
-                     object_name(source_file(), drop_dir).alias("object"))
+    out = None
+    for at in range(0, len(objects), OBJECTS_PER_SCAN):
+        df = csv_reader(spark, spec.raw_schema()).load(
+            [f"{root}/{_glob_escape(o)}" for o in objects[at:at + OBJECTS_PER_SCAN]]).select(
+            *spec.columns, object_name(source_file(), drop_dir).alias("object"))
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
 def expected_fields(dataset: Column) -> Column:
@@ -260,12 +261,28 @@ def _dated(rows: DataFrame, spec: TableSpec) -> DataFrame:
                     F.date_format(day, "dd").alias("day")))
 
 
-def _accepted_by_join(spark: SparkSession, drop_dir: str, spec: TableSpec,
-                      report: DataFrame) -> DataFrame:
-    """Large drop folders: read every object of the dataset, drop rejected ones by join."""
-    bad = report.where((F.col("dataset") == spec.name) & (F.col("status") != OK))
-    rows = read_drop(spark, drop_dir, spec).join(bad.select("object"), "object", "left_anti")
-    return _dated(rows, spec)
+def refuse_taken_days(spark: SparkSession, report: DataFrame, zone: Zone) -> DataFrame:
+    """Refuse objects whose day holds rows of an object that is not in this drop.
+
+    A landed day replaces its folder, so landing such an object would erase those
+    rows; it is reported instead and the day stays as it is. What a day holds is read
+    from the landing logs (one row per object).
+    """
+    try:
+        logs = spark.read.parquet(f"{zone.raw_root.rstrip('/')}/_landing/*")
+    except AnalysisException:  # no log yet: the zone's first landing
+        return report
+    newest = Window.partitionBy("destination").orderBy(F.col("landed_at").desc())
+    held = (logs.where(F.col("status") == OK).withColumn("_n", F.dense_rank().over(newest))
+            .where("_n = 1").select("destination", F.col("object").alias("_held")))
+    here = report.where(F.col("status") == OK).select(
+        "destination", F.col("object").alias("_held"))
+    missing = (held.join(here, ["destination", "_held"], "left_anti")
+               .select("destination", F.lit(True).alias("_taken")).distinct())
+    return (report.join(missing, "destination", "left")
+            .withColumn("status", F.when((F.col("status") == OK) & F.col("_taken").isNotNull(),
+                                         F.lit(REJECTED_DAY_TAKEN)).otherwise(F.col("status")))
+            .select(*report.columns))
 
 
 def save_report(spark: SparkSession, report: DataFrame, zone: Zone) -> DataFrame:
@@ -276,8 +293,8 @@ def save_report(spark: SparkSession, report: DataFrame, zone: Zone) -> DataFrame
     anything was rejected.
     """
     path = f"{zone.raw_root.rstrip('/')}/_landing/{uuid.uuid4().hex}"
-    report.write.parquet(path)
-    return spark.read.parquet(path)
+    report.withColumn("landed_at", F.current_timestamp()).write.parquet(path)
+    return spark.read.parquet(path).drop("landed_at")
 
 
 def _write_dataset(rows: DataFrame, zone: Zone, spec: TableSpec) -> None:
@@ -299,27 +316,16 @@ def land(spark: SparkSession, drop_dir: str, zone: Zone,
     """
     if report is None:
         report = landing_report(spark, drop_dir)
-    report = save_report(spark, report, zone)
-    # One row per drop object: the same order of size as the file listing
-    # Spark's own file index keeps on the driver for the scans below.
-    manifest = (report.select("dataset", "object", "status")
-                .limit(MAX_OBJECTS_BY_NAME + 1).collect())
-    if len(manifest) <= MAX_OBJECTS_BY_NAME:
-        accepted: dict = {}
-        for r in manifest:
-            if r.status == OK:
-                accepted.setdefault(r.dataset, []).append(r.object)
-    else:
-        accepted = {r.dataset: None for r in report.where(F.col("status") == OK)
-                    .select("dataset").distinct().collect()}
+    report = save_report(spark, refuse_taken_days(spark, report, zone), zone)
+    # One row per drop object: the same order of size as the file listing Spark's own
+    # file index keeps on the driver for the scans below.
+    accepted: dict[str, list[str]] = {}
+    for r in report.where(F.col("status") == OK).select("dataset", "object").toLocalIterator():
+        accepted.setdefault(r.dataset, []).append(r.object)
     specs = [spec for spec in DATASETS.values() if spec.name in accepted]
 
     def one(spec: TableSpec) -> None:
-        objects = accepted[spec.name]
-        if objects is None:
-            rows = _accepted_by_join(spark, drop_dir, spec, report)
-        else:
-            rows = _dated(read_drop(spark, drop_dir, spec, sorted(objects)), spec)
+        rows = _dated(read_drop(spark, drop_dir, spec, sorted(accepted[spec.name])), spec)
         _write_dataset(rows, zone, spec)
 
     def attempt(spec: TableSpec) -> tuple[str, Exception | None]:

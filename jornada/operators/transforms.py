@@ -56,9 +56,15 @@ def add_surrogate_key(df: DataFrame) -> DataFrame:
 
 
 def row_key(columns) -> Column:
-    """Repeatable content key: SHA-256 of the natural columns (nulls marked)."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    """Repeatable content key: SHA-256 of the natural columns.
+
+    Each value is preceded by its length (nulls by ``n``), so no two different rows
+    spell the same text.
+    """
+    def part(c: str) -> Column:
+        text = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("n"))
+    return F.sha2(F.concat_ws("|", *map(part, columns)), 256)
 
 
 def add_partition_columns(df: DataFrame, batch: BatchDate) -> DataFrame:

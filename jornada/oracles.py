@@ -143,9 +143,12 @@ ORACLE_SQL: dict[str, str] = {
     "surrogate_key": "SELECT count(*) AS n_rows, count(*) AS n_keys, "
                      "count(*) AS n_distinct_keys, CAST(1 AS BIGINT) AS min_key FROM lineitem",
     "row_key": "SELECT tipo_transaccion, nombre, cantidad_comprada, precio, tipo_energia, "
-               "sha256(concat_ws('|', coalesce(tipo_transaccion, chr(0)), "
-               "coalesce(nombre, chr(0)), coalesce(CAST(cantidad_comprada AS VARCHAR), chr(0)), "
-               "coalesce(CAST(precio AS VARCHAR), chr(0)), coalesce(tipo_energia, chr(0)))) "
+               "sha256(concat_ws('|', "
+               "coalesce(length(tipo_transaccion)::VARCHAR || ':' || tipo_transaccion, 'n'), "
+               "coalesce(length(nombre)::VARCHAR || ':' || nombre, 'n'), "
+               "coalesce(length(CAST(cantidad_comprada AS VARCHAR))::VARCHAR || ':' || CAST(cantidad_comprada AS VARCHAR), 'n'), "
+               "coalesce(length(CAST(precio AS VARCHAR))::VARCHAR || ':' || CAST(precio AS VARCHAR), 'n'), "
+               "coalesce(length(tipo_energia)::VARCHAR || ':' || tipo_energia, 'n'))) "
                f"AS row_key FROM ({_CURATED_TX}) t",
     "partition_columns": f"SELECT *, '2023' AS year, '12' AS month, '04' AS day FROM ({_RAW_TX}) t",
     "curate_providers": f"SELECT upper(nombre_proveedor) AS nombre_proveedor, tipo_energia, "

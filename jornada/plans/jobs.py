@@ -105,9 +105,9 @@ def curate_backfill(spark: SparkSession, spec: TableSpec, zone: Zone,
                     sync: bool = True) -> CurateResult:
     """Curate every raw day of a dataset in a date range in one job.
 
-    Each input split belongs to one day folder, so each task writes into one
-    date partition: no shuffle, and a day holding most of the rows is simply
-    spread over more tasks.
+    No shuffle: each task writes the dates of its own input (small day folders are
+    packed several to a task), and a day holding most of the rows is simply spread
+    over more tasks.
     """
     start = BatchDate(start) if isinstance(start, str) else start
     end = BatchDate(end) if isinstance(end, str) else end

@@ -256,6 +256,8 @@ def q_catalog_sync(spark, sf_dir):
 def q_empty_batch(spark, sf_dir):
     """Curate a day with no raw rows (the day after the last event day)."""
     zone, result = curated_backfill(spark, sf_dir)
+    # Its own raw zone: later queries of the run must not see the empty day.
+    zone = Zone(_zone(spark, "empty", sf_dir).raw_root, zone.curated_root, zone.env)
     before = result.rows
     last = (fx.dated_transactions(spark, sf_dir)
             .agg(F.max(F.concat(*PARTITION_COLUMNS)).alias("d")).first().d)

@@ -21,6 +21,9 @@ def write_batch(df: DataFrame, path: str, fmt: str = "parquet", rerun: str = "ap
     """
     if rerun not in RERUN_MODES:
         raise ValueError(f"rerun must be one of {RERUN_MODES}, got {rerun!r}")
+    if fmt == "hudi" and rerun == "replace":
+        # With bulk-insert options an overwrite recreates the table: other dates would go.
+        raise ValueError("rerun='replace' is not supported for hudi tables")
     writer = df.write.format(fmt).partitionBy(*PARTITION_COLUMNS)
     if options and fmt != "parquet":
         writer = writer.options(**options)
@@ -42,10 +45,6 @@ def clustered(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.sortWithinPartitions(*PARTITION_COLUMNS, *spec.cluster_by)
 
 
-def hudi_options(database: str, table: str) -> dict[str, str]:
-    return table_options(database, table)
-
-
 def _ddl_columns(spec: TableSpec) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.curated_schema())
 
@@ -65,6 +64,15 @@ def _norm(path: str) -> str:
     return path.rstrip("/")
 
 
+def quoted(identifier: str) -> str:
+    return "`" + identifier.replace("`", "``") + "`"
+
+
+def qualified_name(database: str, spec: TableSpec) -> str:
+    """Quoted catalog name of a curated table."""
+    return f"{quoted(database)}.{quoted(spec.table)}"
+
+
 def sync_catalog(spark: SparkSession, database: str, spec: TableSpec, path: str,
                  batches: list[BatchDate] | None = None) -> str:
     """Register the curated folder as an external partitioned table.
@@ -73,20 +81,21 @@ def sync_catalog(spark: SparkSession, database: str, spec: TableSpec, path: str,
     daily run); without, every date folder under ``path`` is discovered.
     Returns the qualified table name.
     """
-    name = f"`{database}`.`{spec.table}`"
-    if not spark.catalog.tableExists(f"{database}.{spec.table}"):
+    name = qualified_name(database, spec)
+    if not spark.catalog.tableExists(name):
         # First run only; later runs go straight to their partitions.
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
+        escaped = path.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({_ddl_columns(spec)}) USING parquet "
-            f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) LOCATION '{path}'")
+            f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) LOCATION '{escaped}'")
     registered = table_location(spark, name)
     if registered is not None and _norm(registered) != _norm(path):
         raise ValueError(f"{name} is registered at {registered}, not at {path}")
     if batches is None:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-    else:
-        for b in batches:
-            spec_sql = ", ".join(f"{k}='{v}'" for k, v in b.partition().items())
-            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec_sql})")
+    elif batches:
+        days = " ".join("PARTITION (" + ", ".join(f"{k}='{v}'" for k, v in b.partition().items())
+                        + ")" for b in batches)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {days}")
     return name

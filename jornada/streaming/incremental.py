@@ -34,6 +34,10 @@ _FILE_SCHEMA = T.StructType([
 ])
 
 
+#: A hundred years: the file source must not skip files by age.
+MAX_FILE_AGE = "36500d"
+
+
 def changed_days(files: DataFrame) -> DataFrame:
     """Distinct ``yyyyMMdd`` of the day folders that the listed files sit in."""
     path = F.col("path")
@@ -48,6 +52,8 @@ def curate_days(spark: SparkSession, spec: TableSpec, zone: Zone, days: list[Bat
         return
     raw = scan_raw_days(spark, zone, spec, days)
     path = zone.curated_path(spec)
+    if fmt != "parquet":
+        raise ValueError(f"the stream replaces dates, which is not supported for {fmt}")
     write_batch(clustered(curate_frame(raw, spec), spec), path, fmt=fmt, rerun="replace")
     if sync and fmt == "parquet":
         sync_catalog(spark, zone.database, spec, path, days)
@@ -64,7 +70,9 @@ def curate_stream(spark: SparkSession, spec: TableSpec, zone: Zone,
     """
     checkpoint = checkpoint or f"{zone.curated_root.rstrip('/')}/_checkpoints/{spec.table}"
     reader = (spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
-              .option("recursiveFileLookup", "true"))
+              .option("recursiveFileLookup", "true")
+              # Days may be copied in with old file times: none is too old to be curated.
+              .option("maxFileAge", MAX_FILE_AGE))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     files = reader.load(zone.raw_dataset_path(spec)).select("path")

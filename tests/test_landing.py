@@ -71,9 +71,10 @@ def test_land_one_batch_date_only(spark, workdir):
     assert days == {"05"}
 
 
-def test_large_drop_path_uses_join(spark, workdir, monkeypatch):
+def test_objects_are_read_in_batches(spark, workdir, monkeypatch):
+    """The same rows land whatever the number of objects per scan."""
     from jornada.operators import landing
-    monkeypatch.setattr(landing, "MAX_OBJECTS_BY_NAME", 1)
+    monkeypatch.setattr(landing, "OBJECTS_PER_SCAN", 1)
     drop = f"{workdir}/drop"
     prov = "nombre_proveedor;tipo_energia\nacme;solar\n"
     write_text(f"{drop}/Providers_20231204.csv", prov)
@@ -85,6 +86,20 @@ def test_large_drop_path_uses_join(spark, workdir, monkeypatch):
     assert days == ["04", "06"]
 
 
+def test_second_drop_does_not_erase_the_first(spark, workdir):
+    """Another object for a landed day is refused and reported; the day keeps its rows."""
+    prov = "nombre_proveedor;tipo_energia\n"
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
+    write_text(f"{workdir}/a/Providers_20231204.csv", prov + "acme;solar\nbeta;eolica\n")
+    write_text(f"{workdir}/b/Providers_20231204_v2.csv", prov + "other;solar\n")
+    land_drop(spark, f"{workdir}/a", zone)
+    second = land_drop(spark, f"{workdir}/b", zone).collect()
+    assert [r.status for r in second] == ["rejected_day_taken"]
+    assert scan_raw_backfill(spark, zone, PROVIDERS).count() == 2
+    again = land_drop(spark, f"{workdir}/a", zone).collect()
+    assert [r.status for r in again] == ["ok"]
+
+
 def test_date_rule_agrees_with_strptime(spark):
     """L1 on thousands of random tokens: Spark's rule equals Python's parser
     restricted to exactly eight digits."""

@@ -7,7 +7,8 @@ import duckdb
 import pytest
 
 from conftest import SF_SMALL
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from jornada.registry import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -33,12 +34,12 @@ def _canon(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
     rel = con.sql(oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
