@@ -32,7 +32,6 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +47,7 @@ BASE, RATE, LIMIT = 1.02, 20.0, 4000
 #: Pairs whose estimate is below this are not verified; nearly five standard deviations under 0.8.
 MIN_ESTIMATE = 0.65
 #: Members of one comparison block of an unresolved bucket.
-BLOCK = 512
+BLOCK = 64
 
 _rng = np.random.default_rng(20240229)
 _FACTOR = _rng.integers(1, 1 << 63, M, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -234,48 +233,66 @@ def _label(ids: DataFrame, column: str, labels: DataFrame, name: str) -> DataFra
     return out.withColumn(name, F.coalesce("_c", column)).drop("_c")
 
 
-def _across(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Between two blocks of one bucket: each member's most similar one of every other component."""
-    right = right.rename(columns=lambda c: c.removesuffix("_r"))
-    found = []
-    if len(left) and len(right):
-        a, b = (np.frombuffer(b"".join(x["regs"]), np.uint16).reshape(-1, M) for x in (left, right))
-        ids, comps, sizes = (right[c].to_numpy() for c in ("id", "comp", "n_shingles"))
-        order = np.argsort(comps, kind="stable")
-        b, ids, comps, sizes = b[order], ids[order], comps[order], sizes[order]
-        starts = np.flatnonzero(np.concatenate(([True], comps[1:] != comps[:-1])))
-        for regs, own, comp, size in zip(a, left["id"], left["comp"], left["n_shingles"]):
-            same = (b == regs).mean(axis=1)
-            possible = (comps != comp) & (10 * np.minimum(sizes, size) >= 8 * np.maximum(sizes, size) - 2)
-            same[~possible] = 0
-            best = np.maximum.reduceat(same, starts)
-            for s in starts[best >= MIN_ESTIMATE]:
-                end = s + np.searchsorted(comps[s:], comps[s], side="right")
-                other = ids[s + same[s:end].argmax()]
-                found.append((min(own, other), max(own, other)))
-    return pd.DataFrame(found, columns=["a", "b"]).astype("int64").drop_duplicates()
+def _unpacked(members: pa.ListScalar):
+    """Ids, components, set sizes and register matrix of one packed block."""
+    ids, comps, sizes, regs = members.values.flatten()
+    return (np.asarray(ids), np.asarray(comps), np.asarray(sizes),
+            np.frombuffer(b"".join(regs.to_pylist()), np.uint16).reshape(-1, M))
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of each row's two blocks (one block with itself where the second is null):
+    each member with its most similar one of every other component, if likely enough."""
+    for batch in batches:
+        for own, others in zip(batch.column(0), batch.column(1)):
+            left = _unpacked(own)
+            right = _unpacked(others) if others.is_valid else left
+            order = np.argsort(right[1], kind="stable")
+            ids, comps, sizes, regs = (x[order] for x in right)
+            starts = np.flatnonzero(np.concatenate(([True], comps[1:] != comps[:-1])))
+            ends = np.append(starts[1:], len(comps))
+            # Equal registers, counted for one member at a time where blocks are large.
+            step = max(1, (1 << 22) // (len(ids) * M))
+            same = np.concatenate([(left[3][i:i + step, None] == regs).sum(axis=2, dtype=np.int16)
+                                   for i in range(0, len(left[0]), step)])
+            small, large = (f(left[2][:, None], sizes) for f in (np.minimum, np.maximum))
+            same[(left[1][:, None] == comps) | (10 * small < 8 * large - 2)] = 0
+            best = np.maximum.reduceat(same, starts, axis=1)
+            row, part = np.nonzero(best >= MIN_ESTIMATE * M)
+            if not len(row):
+                continue
+            col = np.array([s + same[r, s:e].argmax() for r, s, e in zip(row, starts[part], ends[part])])
+            likely = estimate(left[3][row], regs[col], left[2][row], sizes[col]) >= MIN_ESTIMATE
+            pair = np.stack((left[0][row], ids[col]))[:, likely]
+            pair = np.unique(np.sort(pair, axis=0), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
 
 
 def _residual(buckets: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Candidate pairs across the components that still share a bucket.
+    """Likely pairs across the components that still share a bucket.
 
-    Members are dealt into blocks of about BLOCK by a hash; each pair of blocks is a
-    group of its own, so a bucket of any size is spread over tasks.
+    Leaders stay out: each was compared with all its members. Buckets with the same
+    members are looked at once. Members are dealt into blocks of about BLOCK by a hash;
+    each pair of blocks is a row of its own, so a bucket of any size is spread over
+    tasks.
     """
-    placed = _label(buckets, "id", labels, "comp")
-    mixed = (placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"),
-                                       F.max("comp").alias("hi"))
-             .where("lo <> hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    members = placed.join(mixed, "key").join(reps.select("id", "regs", "n_shingles"), "id")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    members = members.withColumn("own", own)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    cols = ["key", "i", "j", "id", "comp", "regs", "n_shingles"]
-    left = members.withColumn("j", other).withColumn("i", F.col("own")).select(*cols)
-    right = (members.withColumn("i", other).withColumn("j", F.col("own")).select(*cols)
-             .toDF(*(f"{c}_r" for c in cols)))
-    return (left.groupBy("key", "i", "j").cogroup(right.groupBy("key_r", "i_r", "j_r"))
-            .applyInPandas(_across, _PAIR).distinct())
+    placed = _label(buckets.where("id <> leader").select("key", "id"), "id", labels, "comp")
+    mixed = (placed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+        F.bit_xor(F.xxhash64("id")).alias("h1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("h2"))
+        .where("lo <> hi").groupBy("n", "h1", "h2").agg(F.min("key").alias("key"))
+        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    own = F.pmod(F.xxhash64("id", F.lit(2)), F.col("blocks")).cast("int")
+    packed = written(
+        placed.join(mixed, "key").join(reps.select("id", "regs", "n_shingles"), "id")
+        .groupBy("key", "blocks", own.alias("own"))
+        .agg(F.collect_list(F.struct("id", "comp", "n_shingles", "regs")).alias("members")), "near-blocks")
+    later = F.explode(F.sequence(F.col("own") + 1, F.col("blocks") - 1)).alias("own")
+    between = (packed.where("own + 1 < blocks").select("key", later, "members")
+               .join(packed.where("blocks > 1").select("key", "own", F.col("members").alias("others")),
+                     ["key", "own"]).select("members", "others"))
+    within = packed.select("members", F.lit(None).cast(packed.schema["members"].dataType).alias("others"))
+    return within.unionByName(between).mapInArrow(_across, _PAIR).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -298,7 +315,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     labels = components(links)
     tried = stars
     while True:  # until the buckets that span components yield no further link
-        rest = written(_residual(buckets.select("key", "id"), labels, reps)
+        rest = written(_residual(buckets, labels, reps)
                        .join(tried, ["a", "b"], "left_anti"), "near-residual")
         if rest.isEmpty():
             break
