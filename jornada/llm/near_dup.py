@@ -188,12 +188,16 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _PAIR = "a bigint, b bigint"
 
 
-def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The links among distinct candidate pairs (a < b): estimated, then confirmed."""
+def likely_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The candidate pairs (a < b) whose estimated similarity is not clearly too low."""
     side = lambda n: reps.select(F.col("id").alias(n), F.col("regs").alias(f"r{n}"),
                                  F.col("n_shingles").alias(f"n{n}"))
-    likely = written(pairs.join(side("a"), "a").join(side("b"), "b")
-                     .select("a", "b", "ra", "rb", "na", "nb").mapInArrow(_estimated, _PAIR), "near-likely")
+    return written(pairs.join(side("a"), "a").join(side("b"), "b")
+                   .select("a", "b", "ra", "rb", "na", "nb").mapInArrow(_estimated, _PAIR), "near-likely")
+
+
+def confirm(likely: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The links among distinct likely pairs, by their full sets."""
     wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(wanted, "id", "left_semi")
     sets = written(member_sets(texts, shingle), "near-sets")
@@ -308,10 +312,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     buckets = written(keys.join(lead, "key"), "near-buckets")
     stars = written(buckets.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b"))
                     .distinct(), "near-stars")
-    links = verify(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), reps, docs, shingle)
+    first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = confirm(likely_pairs(first, reps), docs, shingle)
     labels = components(links)
     more = _label(_label(stars, "a", labels, "ca"), "b", labels, "cb").where("ca <> cb").select("a", "b")
-    links = links.unionByName(verify(more, reps, docs, shingle))
+    links = links.unionByName(confirm(likely_pairs(more, reps), docs, shingle))
     labels = components(links)
     tried = stars
     while True:  # until the buckets that span components yield no further link
@@ -319,7 +324,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                        .join(tried, ["a", "b"], "left_anti"), "near-residual")
         if rest.isEmpty():
             break
-        found = verify(rest, reps, docs, shingle)
+        found = confirm(rest, docs, shingle)
         if found.isEmpty():
             break
         links, tried = links.unionByName(found), tried.unionByName(rest)
