@@ -34,6 +34,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--scheme", default="s3a")
     p.add_argument("--raw-root")
     p.add_argument("--curated-root")
+    p.add_argument("--raw-layout", default="folders", choices=("folders", "files"),
+                   help="raw zone of day folders, or one file per dataset and day under "
+                        "<Dataset>/yyyy/MM/dd (curate)")
     p.add_argument("--type-process", default="INC", help="accepted for compatibility; unused")
     p.add_argument("--rerun", default="append", choices=("append", "replace"))
     p.add_argument("--format", default="parquet")
@@ -69,10 +72,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "curate":
         if args.dataset == "all":
             results = curate_all(spark, batch, zone, raise_errors=False, rerun=args.rerun,
-                                 fmt=args.format)
+                                 fmt=args.format, per_file=args.raw_layout == "files")
         else:
             r = curate(spark, spec_for(args.dataset), batch, zone, rerun=args.rerun,
-                       fmt=args.format)
+                       fmt=args.format, per_file=args.raw_layout == "files")
             results = {r.dataset: r}
         print(json.dumps({k: ({"error": str(v).splitlines()[0]} if isinstance(v, Exception)
                               else {"rows": v.rows, "table": v.table, **v.metrics})

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import BatchDate, Zone, table_options
 from ..operators.landing import land, landing_report
 from ..operators.transforms import curate_frame
-from ..sinks.curated import clustered, sync_catalog, write_batch
+from ..sinks.curated import clear_days, clustered, sync_catalog, write_batch
 from ..sources.raw import scan_raw, scan_raw_backfill, scan_raw_day
 from ..spec import DATASETS, TableSpec
 
@@ -49,7 +49,10 @@ def _run(spark: SparkSession, raw: DataFrame, spec: TableSpec, batch: BatchDate
     except Exception as exc:
         raise RuntimeError(f"writing {spec.name} for {label} to {path} failed") from exc
     result = CurateResult(spec.name, path, dict(obs.get))
-    if result.rows == 0:
+    if result.rows == 0 and rerun == "replace" and batches:
+        clear_days(spark, spec, path, batches)
+        log.info("empty batch for %s %s: its dates cleared", spec.name, label)
+    elif result.rows == 0:
         log.info("empty batch for %s %s: nothing written", spec.name, label)
     elif sync and fmt == "parquet":
         result.table = sync_catalog(spark, zone.database, spec, path, batches)
@@ -59,13 +62,17 @@ def _run(spark: SparkSession, raw: DataFrame, spec: TableSpec, batch: BatchDate
 
 def curate(spark: SparkSession, spec: TableSpec, batch: BatchDate | str, zone: Zone,
            fmt: str = "parquet", rerun: str = "append", sync: bool = True,
-           raw_path: str | list[str] | None = None) -> CurateResult:
+           raw_path: str | list[str] | None = None, per_file: bool = False) -> CurateResult:
     """Curate one dataset for one process date (raw zone -> curated table).
 
     ``raw_path`` overrides the raw-zone folder (e.g. a per-file legacy path); its
-    column names then come from the header line.
+    column names then come from the header line. ``per_file`` names the dataset's one
+    file of the layout ``<Dataset>/yyyy/MM/dd/<Dataset>_yyyyMMdd.csv`` that way.
+    ``rerun="replace"`` with an empty batch leaves the date without rows.
     """
     batch = batch if isinstance(batch, BatchDate) else BatchDate(batch)
+    if per_file and not raw_path:
+        raw_path = zone.legacy_raw_file(spec, batch)
     raw = scan_raw(spark, raw_path) if raw_path else scan_raw_day(spark, zone, spec, batch)
     return _run(spark, raw, spec, batch, zone, fmt, rerun, sync, batch.text, [batch])
 

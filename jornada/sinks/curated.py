@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..config import BatchDate, table_options
 from ..spec import PARTITION_COLUMNS, TableSpec
@@ -34,6 +35,19 @@ def write_batch(df: DataFrame, path: str, fmt: str = "parquet", rerun: str = "ap
     writer.save(path)
 
 
+def clear_days(spark: SparkSession, spec: TableSpec, path: str, batches: list[BatchDate]) -> None:
+    """Empty the given date folders: what replacing a date by an empty batch leaves.
+
+    A dynamic overwrite without rows touches nothing, so each day is overwritten by
+    path with a file that holds the schema and no row.
+    """
+    schema = T.StructType([f for f in spec.curated_schema() if f.name not in PARTITION_COLUMNS])
+    none = spark.createDataFrame([], schema)
+    for b in batches:
+        day = "/".join(f"{k}={v}" for k, v in b.partition().items())
+        none.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{day}")
+
+
 def clustered(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Sort each task's rows by date, then by the spec's cluster columns.
 

@@ -38,3 +38,17 @@ def test_missing_job_arguments_exit_2(spark, capsys):
     assert main(["query", "--raw-root", "/nowhere/raw", "--curated-root", "/nowhere/cur"]) == 2
     err = capsys.readouterr().err
     assert "--drop is required" in err and "--output is required" in err
+
+
+def test_curate_reads_one_file_a_day_layout(spark, workdir, capsys):
+    zone = Zone(f"{workdir}/raw", f"{workdir}/cur", "clifiles")
+    path = zone.legacy_raw_file(PROVIDERS, BatchDate("20231204"))
+    # Columns go by the header line, so their order is free in this layout.
+    write_text(path, "tipo_energia;nombre_proveedor\nsolar;acme\n")
+    write_text(path.replace(".csv", "_v2.csv"), "tipo_energia;nombre_proveedor\neolica;other\n")
+    args = ["curate", "--process-date", "20231204", "--dataset", "Providers", "--raw-layout", "files",
+            "--raw-root", zone.raw_root, "--curated-root", zone.curated_root, "--env", "clifiles"]
+    assert main(args) == 0
+    assert '"rows": 1' in capsys.readouterr().out
+    rows = spark.table(zone.table_name(PROVIDERS)).select("nombre_proveedor", "tipo_energia").collect()
+    assert [tuple(r) for r in rows] == [("ACME", "solar")]

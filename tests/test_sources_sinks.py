@@ -141,3 +141,19 @@ def test_header_inferred_scan_checks_every_file(spark, workdir):
     assert scan_raw(spark, a).collect()[0].nombre_proveedor == "acme"
     with pytest.raises(Exception, match="(?i)header"):
         scan_raw(spark, [a, b]).collect()
+
+
+def test_replacing_a_date_with_an_empty_batch_clears_it(spark, workdir):
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur", env="cleartest")
+    header = "nombre_proveedor;tipo_energia\n"
+    days = [BatchDate("20240101"), BatchDate("20240102")]
+    for b in days:
+        write_text(f"{zone.raw_day_path(PROVIDERS, b)}/part.csv", header + "a;solar\n")
+        curate(spark, PROVIDERS, b, zone)
+    write_text(f"{zone.raw_day_path(PROVIDERS, days[0])}/part.csv", header)
+    assert curate(spark, PROVIDERS, days[0], zone).rows == 0
+    per_day = lambda: {r.day: r["count"] for r in scan_curated(
+        spark, zone.curated_path(PROVIDERS), PROVIDERS).groupBy("day").count().collect()}
+    assert per_day() == {"01": 1, "02": 1}          # append: an empty batch writes nothing
+    assert curate(spark, PROVIDERS, days[0], zone, rerun="replace").rows == 0
+    assert per_day() == {"02": 1}
