@@ -14,6 +14,7 @@ a very long text is one block of its own. Extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
@@ -50,7 +51,24 @@ def default_vocabulary() -> str:
 # signs, a single line break. Anything else sends the piece whole to the tokenizer.
 _UNIT = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[^\\w\\s']+|\n)")
 _INNER = re.compile(r"(?<=\S) (?=\S)")
-_UNSURE = re.compile(r"\s\s|\A\s|\s\Z")
+_MARKS = frozenset(",.;:!?")
+
+
+def _units(piece: str) -> list[str]:
+    """Units of a piece with the space before it; empty where they don't cover it safely."""
+    if piece.isascii():  # plain words, most often with one mark behind them
+        if piece.isalpha():
+            return [" " + piece]
+        if piece[-1] in _MARKS and piece[:-1].isalpha():
+            return [" " + piece[:-1], piece[-1]]
+    units = _UNIT.findall(" " + piece)
+    safe = sum(map(len, units)) == len(piece) + 1 and "\n\n" not in piece and piece[-1] != "\n"
+    return units if safe else []
+
+
+def _spaced(piece: str) -> bool:
+    """Whether a piece is empty or has white space at an end (its cuts aren't sure)."""
+    return not piece or piece[0].isspace() or piece[-1].isspace()
 
 
 class PieceEncoder:
@@ -74,25 +92,19 @@ class PieceEncoder:
         """Encode ``texts`` into a cache."""
         texts = list(texts)
         if texts:
-            for text, found in zip(texts, self._tok.encode_batch(texts, add_special_tokens=False)):
+            for text, found in zip(texts, self._tok.encode_batch_fast(texts, add_special_tokens=False)):
                 cache[text] = array(self.dtype.char, found.ids).tobytes()
 
     def _learn(self, pieces: set[str]) -> None:
         """Encode pieces (without the space before them) by way of their units."""
-        cut: dict[str, list[str]] = {}
-        whole = []
-        for piece in pieces:
-            units = _UNIT.findall(" " + piece)
-            if sum(map(len, units)) == len(piece) + 1 and "\n\n" not in piece and piece[-1] != "\n":
-                cut[piece] = units
-            else:
-                whole.append(piece)
+        cut = {piece: _units(piece) for piece in pieces}
+        whole = [piece for piece, units in cut.items() if not units]
         found: dict[str, bytes] = {}
         self._fill(found, [" " + piece for piece in whole])
         self._pieces.update((piece, found[" " + piece]) for piece in whole)
         self._fill(self._units, {u for units in cut.values() for u in units} - self._units.keys())
-        for piece, units in cut.items():
-            self._pieces[piece] = b"".join([self._units[u] for u in units])
+        get = self._units.__getitem__
+        self._pieces.update((piece, b"".join(map(get, units))) for piece, units in cut.items() if units)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
@@ -100,15 +112,27 @@ class PieceEncoder:
             if len(cache) > CACHE_ENTRIES:
                 cache.clear()
         have = self._pieces
-        # Where white space meets white space or a text's end, a split at a space isn't sure.
-        split = [(_INNER.split(t) if _UNSURE.search(t) else t.split(" ")) for t in texts]
+        split = [t.split(" ") for t in texts]
         missing = set().union(*(parts[1:] for parts in split)) - have.keys()
+        # Where white space meets white space or a text's end, a split at a space isn't
+        # sure: such pieces never enter the cache, and their texts are split with care.
+        odd = {piece for piece in missing if _spaced(piece)}
+        missing -= odd
+        for row, parts in enumerate(split):
+            if parts[0][-1:].isspace() or (odd and not odd.isdisjoint(parts[1:])):
+                split[row] = parts = _INNER.split(texts[row])
+                missing.update(piece for piece in parts[1:] if not _spaced(piece) and piece not in have)
         self._learn(missing)
-        firsts: dict[str, bytes] = {"": b""}
-        self._fill(firsts, {parts[0] for parts in split if parts[0]})
+        ends = {parts[-1] for parts in split if len(parts) > 1 and _spaced(parts[-1])}
+        once: dict[str, bytes] = {"": b""}
+        self._fill(once, {parts[0] for parts in split if parts[0]} | {" " + piece for piece in ends})
         get = have.__getitem__
-        return [np.frombuffer(firsts[parts[0]] + b"".join(map(get, parts[1:])), dtype=self.dtype)
-                for parts in split]
+        out = []
+        for parts in split:
+            body = parts[1:]
+            tail = once[" " + body.pop()] if body and body[-1] in ends else b""
+            out.append(np.frombuffer(once[parts[0]] + b"".join(map(get, body)) + tail, dtype=self.dtype))
+        return out
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -117,6 +141,7 @@ _ENCODERS: dict[str, PieceEncoder] = {}
 def encoder(vocabulary: str) -> PieceEncoder:
     """The worker's encoder for a vocabulary file (kept between tasks)."""
     if vocabulary not in _ENCODERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         _ENCODERS[vocabulary] = PieceEncoder(vocabulary)
     return _ENCODERS[vocabulary]
 
