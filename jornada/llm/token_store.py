@@ -53,6 +53,11 @@ def default_vocabulary() -> str:
 _UNIT = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[^\\w\\s']+|\n)")
 _INNER = re.compile(r"(?<=\S) (?=\S)")
 _MARKS = frozenset(",.;:!?")
+# A byte-level vocabulary spells these bytes as themselves, and the others,
+# in ascending order, as the characters from 256 on.
+_AS_THEMSELVES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_OTHERS = [b for b in range(256) if b not in _AS_THEMSELVES]
+_BYTE_SIGNS = {**{b: b for b in _AS_THEMSELVES}, **{b: 256 + i for i, b in enumerate(_OTHERS)}}
 
 
 def _units(piece: str) -> list[str]:
@@ -96,6 +101,16 @@ class PieceEncoder:
             for text, found in zip(texts, self._tok.encode_batch_fast(texts, add_special_tokens=False)):
                 cache[text] = array(self.dtype.char, found.ids).tobytes()
 
+    def _fill_units(self, units: set[str]) -> None:
+        """Encode units; words and ASCII signs, single pre-tokens, by the model alone."""
+        plain = [u for u in units if u != "\n" and (u.isascii() or u[1:].isalpha())]
+        self._fill(self._units, units.difference(plain))
+        if plain:
+            signs = "\n".join(plain).encode().decode("latin-1").translate(_BYTE_SIGNS)
+            model = self._tok.model  # one fetch: each access makes a new wrapper
+            for unit, text in zip(plain, signs.split(chr(_BYTE_SIGNS[10]))):
+                self._units[unit] = array(self.dtype.char, [t.id for t in model.tokenize(text)]).tobytes()
+
     def _learn(self, pieces: set[str]) -> None:
         """Encode pieces (without the space before them) by way of their units."""
         cut = {piece: _units(piece) for piece in pieces}
@@ -103,7 +118,7 @@ class PieceEncoder:
         found: dict[str, bytes] = {}
         self._fill(found, [" " + piece for piece in whole])
         self._pieces.update((piece, found[" " + piece]) for piece in whole)
-        self._fill(self._units, {u for units in cut.values() for u in units} - self._units.keys())
+        self._fill_units({u for units in cut.values() for u in units}.difference(self._units))
         get = self._units.__getitem__
         self._pieces.update((piece, b"".join(map(get, units))) for piece, units in cut.items() if units)
 
@@ -123,7 +138,7 @@ class PieceEncoder:
                 cache.clear()
         have = self._pieces
         split = [t.split(" ") for t in texts]
-        missing = set().union(*(parts[1:] for parts in split)) - have.keys()
+        missing = set().union(*(parts[1:] for parts in split)).difference(have)
         # Where white space meets white space or a text's end, a split at a space isn't
         # sure: such pieces never enter the cache, and their texts are split with care.
         odd = {piece for piece in missing if _spaced(piece)}
