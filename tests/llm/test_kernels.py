@@ -172,3 +172,28 @@ def test_language_features_ignore_signs_and_case():
         return language_id.features(o, d)[0]
     assert np.allclose(vec("the house is élan"), vec("THE#HOUSE IS ÉLAN"))
     assert not vec("12 !!").any()
+
+
+def test_packed_keys_and_counts():
+    rng = np.random.default_rng(3)
+    top = np.iinfo(np.uint64).max
+    for keys in ([], [0], [top], [0, top], rng.integers(0, top, 5000, dtype=np.uint64), range(300)):
+        keys = np.unique(np.array(list(keys), dtype=np.uint64))
+        assert (katz.unpack_keys(katz.pack_keys(keys)) == keys).all()
+    for counts in ([], [0], [255, 256], [1 << 40, 3]):
+        assert katz.unpack_counts(katz.pack_counts(np.array(counts, dtype=np.int64))).tolist() == counts
+
+
+def test_encoder_equals_the_plain_tokenizer():
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(token_store.default_vocabulary())
+    plain.encode_special_tokens = True
+    parts = [" ", "  ", "\n", "\n\n", "\t", "a", "foo", "Bär", "ñó", "'s", "can't", ".", "!?", "##", "\x00",
+             "12", "3a", "_", "<|endoftext|>", "ª", "你"]
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(4000)]
+    encode = token_store.PieceEncoder(token_store.default_vocabulary())
+    for at in range(0, len(texts), 200):
+        some = texts[at:at + 200]
+        for ids, text in zip(encode(some), some):
+            assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids

@@ -229,6 +229,22 @@ def test_katz_equals_brute_force(spark, empty):
     assert katz.score(empty.select("doc_id", "text", F.lit(False).alias("held_out"))).count() == 0
 
 
+def test_katz_over_many_blocks_and_buckets(spark, monkeypatch):
+    rows = [(r.doc_id, r.text, r.doc_id % 10 == 0)
+            for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    # "qu ack" always follow each other, often: a context that no discount frees
+    rows += [(-10 - i, "qu ack " * 8, False) for i in range(6)] + [(-30, "qu ack qu unknown", True)]
+    monkeypatch.setattr(katz, "BUCKET_BYTES", 30_000)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, held_out boolean").repartition(5)
+    got = katz.score(docs).collect()
+    expected = _katz_brute(rows)
+    assert len(got) == len(rows)
+    for r in got:
+        e = expected[r.doc_id]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == e[:3]
+        assert r.base_score == pytest.approx(e[3]) and r.score == pytest.approx(e[4])
+
+
 def test_html_pages(spark):
     pages = spark.createDataFrame(
         [(1, "u", "<body><nav>menu</nav><main><p>kept text</p></main></body>"), (2, "v", None), (3, "w", "")],
