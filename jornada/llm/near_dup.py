@@ -15,7 +15,8 @@
 4. Components are found by min-label propagation with pointer jumping. Buckets that
    still hold several components are then compared across their components, block
    by block: each member is verified against the most similar member of every other
-   component, again and again until no further link turns up.
+   component, until that gives no further link. What is left, every likely pair of
+   two components in a bucket, is then checked inside the blocks with the full sets.
 
 With 32 bands of 5 rows a pair at similarity exactly 0.8 shares no band with
 probability 3e-6, less above it.
@@ -196,11 +197,15 @@ def likely_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
                    .select("a", "b", "ra", "rb", "na", "nb").mapInArrow(_estimated, _PAIR), "near-likely")
 
 
+def full_sets(wanted: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(id, members) of the wanted ids, written."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(wanted, "id", "left_semi")
+    return written(member_sets(texts, shingle), "near-sets")
+
+
 def confirm(likely: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The links among distinct likely pairs, by their full sets."""
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(wanted, "id", "left_semi")
-    sets = written(member_sets(texts, shingle), "near-sets")
+    sets = full_sets(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, shingle)
     both = (likely.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
             .select("a", "b", "sa", "sb"))
     return written(both.mapInArrow(_confirmed, _PAIR), "near-links")
@@ -239,7 +244,7 @@ def _label(ids: DataFrame, column: str, labels: DataFrame, name: str) -> DataFra
 
 def _unpacked(members: pa.ListScalar):
     """Ids, components, set sizes and register matrix of one packed block."""
-    ids, comps, sizes, regs = members.values.flatten()
+    ids, comps, sizes, regs = members.values.flatten()[:4]
     return (np.asarray(ids), np.asarray(comps), np.asarray(sizes),
             np.frombuffer(b"".join(regs.to_pylist()), np.uint16).reshape(-1, M))
 
@@ -272,13 +277,73 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
 
 
-def _residual(buckets: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Likely pairs across the components that still share a bucket.
+def _likely(left, right) -> tuple[np.ndarray, np.ndarray]:
+    """(row, col) of all likely pairs of different components, the most similar first."""
+    rows, cols, scores = [], [], []
+    step = max(1, (1 << 22) // (len(right[0]) * M))
+    for i in range(0, len(left[0]), step):
+        same = (left[3][i:i + step, None] == right[3]).sum(axis=2, dtype=np.int16)
+        small, large = (f(left[2][i:i + step, None], right[2]) for f in (np.minimum, np.maximum))
+        same[(left[1][i:i + step, None] == right[1]) | (10 * small < 8 * large - 2)] = 0
+        row, col = np.nonzero(same >= MIN_ESTIMATE * M)
+        for at in range(0, len(row), 4096):
+            r, c = row[at:at + 4096] + i, col[at:at + 4096]
+            keep = estimate(left[3][r], right[3][c], left[2][r], right[2][c]) >= MIN_ESTIMATE
+            rows.append(r[keep]), cols.append(c[keep]), scores.append(same[r[keep] - i, c[keep]])
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order = np.argsort(-np.concatenate(scores), kind="stable")
+    return np.concatenate(rows)[order], np.concatenate(cols)[order]
+
+
+def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, id) of the members of each row's two blocks that are in a likely pair."""
+    for batch in batches:
+        for key, own, others in zip(*(batch.column(i) for i in range(3))):
+            left = _unpacked(own)
+            right = _unpacked(others) if others.is_valid else left
+            row, col = _likely(left, right)
+            ids = np.unique(np.concatenate((left[0][row], right[0][col])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(ids), key.as_py(), np.int64)), pa.array(ids)], ["key", "id"])
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links among the members of each row's two blocks, by their full sets. Pairs of
+    components that earlier links of the same row already join are skipped."""
+    least, of = THRESHOLD
+    for batch in batches:
+        for own, others in zip(batch.column(1), batch.column(2)):
+            left = _unpacked(own)
+            right = _unpacked(others) if others.is_valid else left
+            sets = [[np.frombuffer(v.as_buffer(), np.uint64) for v in b.values.field("set")]
+                    for b in (own, others if others.is_valid else own)]
+            above: dict[int, int] = {}
+
+            def top(c):
+                while c in above:
+                    c = above[c]
+                return c
+
+            links = []
+            for r, c in zip(*(x.tolist() for x in _likely(left, right))):
+                p, q = top(int(left[1][r])), top(int(right[1][c]))
+                if p == q or (r > c and not others.is_valid):
+                    continue
+                x, y = sets[0][r], sets[1][c]
+                union = len(np.union1d(x, y))
+                if of * (len(x) + len(y) - union) >= least * union:
+                    above[max(p, q)] = min(p, q)
+                    links.append(sorted((int(left[0][r]), int(right[0][c]))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
+
+
+def _mixed(buckets: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
+    """Members, with registers and component, of the buckets that hold several components.
 
     Leaders stay out: each was compared with all its members. Buckets with the same
-    members are looked at once. Members are dealt into blocks of about BLOCK by a hash;
-    each pair of blocks is a row of its own, so a bucket of any size is spread over
-    tasks.
+    members are looked at once.
     """
     placed = _label(buckets.where("id <> leader").select("key", "id"), "id", labels, "comp")
     mixed = (placed.groupBy("key").agg(
@@ -286,17 +351,47 @@ def _residual(buckets: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFra
         F.bit_xor(F.xxhash64("id")).alias("h1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("h2"))
         .where("lo <> hi").groupBy("n", "h1", "h2").agg(F.min("key").alias("key"))
         .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    return placed.join(mixed, "key").join(reps.select("id", "regs", "n_shingles"), "id")
+
+
+def _packed(members: DataFrame) -> DataFrame:
+    """Members dealt into written blocks of about BLOCK by a hash."""
     own = F.pmod(F.xxhash64("id", F.lit(2)), F.col("blocks")).cast("int")
-    packed = written(
-        placed.join(mixed, "key").join(reps.select("id", "regs", "n_shingles"), "id")
-        .groupBy("key", "blocks", own.alias("own"))
-        .agg(F.collect_list(F.struct("id", "comp", "n_shingles", "regs")).alias("members")), "near-blocks")
+    parts = [c for c in ("id", "comp", "n_shingles", "regs", "set") if c in members.columns]
+    return written(members.groupBy("key", "blocks", own.alias("own"))
+                   .agg(F.collect_list(F.struct(*parts)).alias("members")), "near-blocks")
+
+
+def _block_pairs(packed: DataFrame) -> DataFrame:
+    """(key, members, others): all pairs of a bucket's blocks, and each block by itself.
+
+    Each pair of blocks is a row of its own, so a bucket of any size is spread over tasks.
+    """
     later = F.explode(F.sequence(F.col("own") + 1, F.col("blocks") - 1)).alias("own")
     between = (packed.where("own + 1 < blocks").select("key", later, "members")
                .join(packed.where("blocks > 1").select("key", "own", F.col("members").alias("others")),
-                     ["key", "own"]).select("members", "others"))
-    within = packed.select("members", F.lit(None).cast(packed.schema["members"].dataType).alias("others"))
-    return within.unionByName(between).mapInArrow(_across, _PAIR).distinct()
+                     ["key", "own"]).select("key", "members", "others"))
+    within = packed.select("key", "members", F.lit(None).cast(packed.schema["members"].dataType).alias("others"))
+    return within.unionByName(between)
+
+
+def _residual(packed: DataFrame) -> DataFrame:
+    """The likeliest pairs across the components that still share a bucket."""
+    return _block_pairs(packed).select("members", "others").mapInArrow(_across, _PAIR).distinct()
+
+
+def _remaining(packed: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """Links among all likely pairs across the components that still share a bucket.
+
+    Only members that are in such a pair take their sets along, and the sets meet in
+    blocks, so no row is made for a pair that is no link.
+    """
+    still = written(_block_pairs(packed).mapInArrow(_open, "key bigint, id bigint").distinct(), "near-open")
+    sets = full_sets(still.select("id").distinct(), docs, shingle)
+    counts = still.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    members = (packed.select("key", F.inline("members")).join(still, ["key", "id"]).join(counts, "key")
+               .join(sets.withColumnRenamed("members", "set"), "id"))
+    return written(_block_pairs(_packed(members)).mapInArrow(_verified, _PAIR).distinct(), "near-links")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -319,9 +414,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     links = links.unionByName(confirm(likely_pairs(more, reps), docs, shingle))
     labels = components(links)
     tried = stars
-    while True:  # until the buckets that span components yield no further link
-        rest = written(_residual(buckets, labels, reps)
-                       .join(tried, ["a", "b"], "left_anti"), "near-residual")
+    while True:  # until the likeliest pairs across components yield no further link
+        packed = _packed(_mixed(buckets, labels, reps))
+        rest = written(_residual(packed).join(tried, ["a", "b"], "left_anti"), "near-residual")
         if rest.isEmpty():
             break
         found = confirm(rest, docs, shingle)
@@ -329,6 +424,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             break
         links, tried = links.unionByName(found), tried.unionByName(rest)
         labels = components(links)
+    found = _remaining(packed, docs, shingle)
+    if not found.isEmpty():
+        labels = components(links.unionByName(found))
     out = base.join(rep, "digest", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
     out = _label(out, "class_id", labels, "component_id")
     return out.select("doc_id", "n_shingles", "component_id",

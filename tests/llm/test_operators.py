@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,6 +175,27 @@ def test_near_duplicates_equal_brute_force(spark, docs, empty, size):
         assert near_dup.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_beyond_the_likeliest_pairs(spark, monkeypatch):
+    # 4, 5 and 6, 7 are linked, and so are 4 and 6; but in sketches 4 is likest 7 and
+    # 5 is likest 6, which are below 0.8. 1 leads their buckets and is like none.
+    w = [f"w{i}" for i in range(200)]
+    y, u, v = ([f"{c}{i}" for i in range(18)] for c in "yuv")
+    rows = [(1, " ".join(f"o{i}" for i in range(2500))), (4, " ".join(w)), (5, " ".join(w[:-10] + u[:10])),
+            (6, " ".join(y + w[18:])), (7, " ".join(y + w[18:-10] + v[:10]))]
+    base = np.arange(1000, 1000 + near_dup.M, dtype=np.uint16)
+    other = base.reshape(near_dup.BANDS, -1).copy()
+    other[16:, 0] += np.where(np.arange(16) % 2, 2, -2).astype(np.uint16)
+    regs = {4: base.copy(), 5: other.reshape(-1).copy(), 6: other.reshape(-1), 7: base, 1: base.copy()}
+    regs[4][:5] = regs[5][:5] = np.array([900, 1100, 900, 1100, 900])
+    regs[1][:5] = regs[1][80:] = 50
+    regs = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, r in regs.items()], "doc_id bigint, regs binary")
+    real = near_dup.sketch
+    monkeypatch.setattr(near_dup, "sketch", lambda *a: real(*a).drop("regs").join(regs, "doc_id"))
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _components(rows, 2)
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 4: 4, 5: 4, 6: 4, 7: 4}
+
+
 def _katz_brute(rows):
     """score per text, from dictionaries."""
     train = [words(t) for _, t, held in rows if not held]
