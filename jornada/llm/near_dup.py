@@ -4,10 +4,10 @@
    the smallest of the set's j-th hash values, read as an exponential variate, on an
    exponential scale (``floor(1 - log_b x)``, truncated). Registers of a union are
    the register-wise maxima, and equal registers grow likelier with similarity.
-2. Documents with equal sets (by a 128-bit digest) form one class; only a class's
-   smallest id goes on.
+2. Documents with equal sets (by a 128-bit digest) form one class; only one row of a
+   class goes on, under a number of the class's own that is written with it.
 3. Bands of ``ROWS`` registers are the candidate keys. In each band bucket the
-   smallest id leads: members are compared with leaders first (no pairs among the
+   smallest number leads: members are compared with leaders first (no pairs among the
    members), the smallest leader before the others. A candidate pair passes if its
    jointly estimated similarity (maximum likelihood over greater, smaller and equal
    registers, given the exact set sizes) is not clearly below the threshold, and
@@ -22,9 +22,13 @@ With 32 bands of 5 rows a pair at similarity exactly 0.8 shares no band with
 probability 3e-6, less above it.
 
 Defined cases: a null text or one without words has an empty set, n_shingles 0 and
-is its own component; exact copies and repeated rows of one id share a class; rows
-with a null id keep a null component; extra columns are ignored; empty tables give
-no rows. Texts are read whole, whatever their length.
+is its own component; texts with equal sets share a class, whatever their ids; the
+texts of a repeated id are compared each on their own. A component is named by its
+smallest id, so it has a null name where all its rows have a null id, and the different
+texts of one id may name two components alike. ``kept`` marks the row of a component
+with the smallest id (of one id's texts, the smallest digest of the text) and its exact
+repeats. Extra columns are ignored; empty tables give no rows. Texts are read whole,
+whatever their length.
 """
 
 from __future__ import annotations
@@ -34,10 +38,10 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, text_slices, word_hashes, written
+from .common import WORD, mix64, text_slices, word_hashes, written
 
 THRESHOLD = (80, 100)
 SHINGLE = 2
@@ -116,22 +120,28 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np
     return j[np.arange(len(j)), score.argmax(axis=1)]
 
 
+def _row_key() -> Column:
+    """Digest of a row's id and text: rows that share it are exact repeats."""
+    named = F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("none"))
+    return F.unhex(F.sha2(F.concat(named, F.lit(":"), F.coalesce("text", F.lit(""))).cast("binary"), 256))
+
+
 def sketch(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, digest of the set and its registers (null for an empty set)."""
+    """doc_id, row key, n_shingles, digest of the set and its registers (null for an empty set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, offsets, data in text_slices(batch.column(1)):
+            for lo, hi, offsets, data in text_slices(batch.column(2)):
                 sizes, digests, regs = [], [], []
                 for s in shingle_sets(offsets, data, shingle):
                     sizes.append(len(s))
                     digests.append(blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     regs.append(registers(s).tobytes() if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(sizes, pa.int64()),
-                     pa.array(digests, pa.binary()), pa.array(regs, pa.binary())],
-                    ["doc_id", "n_shingles", "digest", "regs"])
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, digest binary, regs binary")
+                    [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
+                     pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(regs, pa.binary())],
+                    ["doc_id", "row_key", "n_shingles", "digest", "regs"])
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _row_key().alias("row_key"), "text").mapInArrow(
+        run, "doc_id bigint, row_key binary, n_shingles bigint, digest binary, regs binary")
 
 
 def member_sets(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -197,15 +207,17 @@ def likely_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
                    .select("a", "b", "ra", "rb", "na", "nb").mapInArrow(_estimated, _PAIR), "near-likely")
 
 
-def full_sets(wanted: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(id, members) of the wanted ids, written."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(wanted, "id", "left_semi")
+def full_sets(wanted: DataFrame, docs: DataFrame, reps: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(id, members) of the wanted classes, written; one row of exact repeats is read."""
+    wanted = wanted.join(reps.select("id", "row_key"), "id")
+    texts = (docs.select(_row_key().alias("row_key"), "text").join(wanted, "row_key")
+             .dropDuplicates(["row_key"]).select("id", "text"))
     return written(member_sets(texts, shingle), "near-sets")
 
 
-def confirm(likely: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def confirm(likely: DataFrame, docs: DataFrame, reps: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The links among distinct likely pairs, by their full sets."""
-    sets = full_sets(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, shingle)
+    sets = full_sets(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, reps, shingle)
     both = (likely.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
             .select("a", "b", "sa", "sb"))
     return written(both.mapInArrow(_confirmed, _PAIR), "near-links")
@@ -380,26 +392,29 @@ def _residual(packed: DataFrame) -> DataFrame:
     return _block_pairs(packed).select("members", "others").mapInArrow(_across, _PAIR).distinct()
 
 
-def _remaining(packed: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+def _remaining(packed: DataFrame, docs: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
     """Links among all likely pairs across the components that still share a bucket.
 
     Only members that are in such a pair take their sets along, and the sets meet in
     blocks, so no row is made for a pair that is no link.
     """
     still = written(_block_pairs(packed).mapInArrow(_open, "key bigint, id bigint").distinct(), "near-open")
-    sets = full_sets(still.select("id").distinct(), docs, shingle)
+    sets = full_sets(still.select("id").distinct(), docs, reps, shingle)
     counts = still.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     members = (packed.select("key", F.inline("members")).join(still, ["key", "id"]).join(counts, "key")
                .join(sets.withColumnRenamed("members", "set"), "id"))
     return written(_block_pairs(_packed(members)).mapInArrow(_verified, _PAIR).distinct(), "near-links")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, class_id, component_id and kept, one row per document."""
+def _keyed_duplicates(docs: DataFrame, shingle: int) -> DataFrame:
+    """near_duplicates with the row key."""
     base = written(sketch(docs, shingle), "near-sketch")
-    rep = base.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id"))
-    reps = written(base.join(rep, "digest").where("doc_id = class_id")
-                   .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "n_shingles", "regs"), "near-reps")
+    # The first row of a class: the smallest id, then the smallest key.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key"))
+    classes = (base.where("digest is not null").groupBy("digest")
+               .agg(first.alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs")))
+    classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "near-reps")
+    reps = classes.select("id", "n_shingles", "regs", F.col("first.row_key").alias("row_key"))
     keys = reps.select("id", "regs").mapInArrow(_band_keys, "key bigint, id bigint")
     keys = written(keys, "near-keys")
     lead = (keys.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n"))
@@ -408,10 +423,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     stars = written(buckets.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b"))
                     .distinct(), "near-stars")
     first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = confirm(likely_pairs(first, reps), docs, shingle)
+    links = confirm(likely_pairs(first, reps), docs, reps, shingle)
     labels = components(links)
     more = _label(_label(stars, "a", labels, "ca"), "b", labels, "cb").where("ca <> cb").select("a", "b")
-    links = links.unionByName(confirm(likely_pairs(more, reps), docs, shingle))
+    links = links.unionByName(confirm(likely_pairs(more, reps), docs, reps, shingle))
     labels = components(links)
     tried = stars
     while True:  # until the likeliest pairs across components yield no further link
@@ -419,21 +434,35 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         rest = written(_residual(packed).join(tried, ["a", "b"], "left_anti"), "near-residual")
         if rest.isEmpty():
             break
-        found = confirm(rest, docs, shingle)
+        found = confirm(rest, docs, reps, shingle)
         if found.isEmpty():
             break
         links, tried = links.unionByName(found), tried.unionByName(rest)
         labels = components(links)
-    found = _remaining(packed, docs, shingle)
+    found = _remaining(packed, docs, reps, shingle)
     if not found.isEmpty():
         labels = components(links.unionByName(found))
-    out = base.join(rep, "digest", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
-    out = _label(out, "class_id", labels, "component_id")
-    return out.select("doc_id", "n_shingles", "component_id",
-                      (F.col("doc_id") == F.col("component_id")).alias("kept"), "class_id")
+    classes = _label(classes.select("digest", "id", "first"), "id", labels, "comp")
+    top = classes.groupBy("comp").agg(F.min("first").alias("top"))
+    classes = classes.join(top, "comp").select(
+        "digest", F.col("first.doc_id").alias("class_id"), F.col("top.doc_id").alias("component_id"),
+        F.col("top.row_key").alias("top"))
+    own = F.col("digest").isNull()
+    return base.drop("regs").join(classes, "digest", "left").select(
+        "doc_id", "n_shingles", F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        (own | (F.col("row_key") == F.col("top"))).alias("kept"),
+        F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "row_key")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept and class_id, one row per document."""
+    return _keyed_duplicates(docs, shingle).drop("row_key")
 
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """One document of each component (the smallest id; one row of a repeated id)."""
-    keep = near_duplicates(docs, shingle).where("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.dropDuplicates(["doc_id"]).join(keep, F.col("doc_id").cast("bigint") == F.col("_keep"), "left_semi")
+    """One row of each component, its text that of the smallest id. Of rows without
+    words, only the repeats of a known id are dropped."""
+    keep = _keyed_duplicates(docs, shingle).where("kept").select("row_key").distinct()
+    blank = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    rows = docs.where(~blank).withColumn("row_key", _row_key()).dropDuplicates(["row_key"])
+    return rows.join(keep, "row_key", "left_semi").drop("row_key").unionByName(docs.where(blank))

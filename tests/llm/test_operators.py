@@ -196,6 +196,21 @@ def test_near_duplicates_beyond_the_likeliest_pairs(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == {1: 1, 4: 4, 5: 4, 6: 4, 7: 4}
 
 
+def test_deduplicate_drops_only_copies(spark):
+    text = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcdefg"]
+    near = text[0] + " more"
+    rows = [(None, text[1]), (None, text[2]), (None, text[2]), (None, near), (1, text[0]),
+            (7, text[3]), (7, text[4]), (7, text[4].upper()), (7, text[4]), (8, text[4] + " x"), (9, text[5]),
+            (None, None), (None, None), (None, ""), (2, ""), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = Counter((r.doc_id, (r.text or "").lower()) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert got == Counter([(None, text[1]), (None, text[2]), (1, text[0]), (7, text[3]), (7, text[4]), (9, text[5]),
+                           (None, ""), (None, ""), (None, ""), (2, "")])
+    rows = near_dup.near_duplicates(docs, 5).collect()
+    assert {(r.doc_id, r.component_id) for r in rows} == {
+        (None, None), (None, 1), (1, 1), (7, 7), (8, 7), (9, 9), (2, 2)}
+
+
 def _katz_brute(rows):
     """score per text, from dictionaries."""
     train = [words(t) for _, t, held in rows if not held]
