@@ -6,8 +6,10 @@ ip, card and phone: node potentials by token shape, chain edges between successi
 candidates, and skip edges between distant tokens with the same content (equal
 digits, equal folded address). Loopy max-marginal messages along the edges make
 labels consistent across a document, so a number that is plainly personal data in
-one place is also found where it is written another way. Potentials are log-odds
-counted over all documents, the base spans serving as labels.
+one place is also found where it is written another way. Potentials are counted over
+all documents, the base spans serving as labels. A token that no base pattern matches
+is unlabelled and counts neither for nor against a label, and rates are mixed with even
+ones, so no potential grows with the number of documents.
 
 Skip edges form a ring over equal tokens, not all pairs, so work is linear in the
 number of candidates. Base spans are never removed; added spans never overlap them.
@@ -143,15 +145,17 @@ def _skip_edges(nodes) -> list[tuple[int, int]]:
 
 
 def count_features(text: str) -> Counter:
-    """Counts of (feature, label or label pair) in one text."""
+    """Counts of (feature, label or label pair) in one text; pairs only where both are labelled."""
     found: Counter = Counter()
     nodes = candidates(text, base_spans(text))
     for *_, shape, _key, label in nodes:
         found[f"n:{shape}", label] += 1
     for x, y in zip(nodes, nodes[1:]):
-        found["c", x[4] * 8 + y[4]] += 1
+        if x[4] and y[4]:
+            found["c", x[4] * 8 + y[4]] += 1
     for i, j in _skip_edges(nodes):
-        found["s", int(nodes[i][4] == nodes[j][4])] += 1
+        if nodes[i][4] and nodes[j][4]:
+            found["s", int(nodes[i][4] == nodes[j][4])] += 1
     return found
 
 
@@ -161,20 +165,25 @@ class Crf:
     def __init__(self, counts: dict[tuple[str, int], int]):
         k = len(LABELS)
         shapes = {f[2:] for f, _ in counts if f.startswith("n:")}
-        self.node = {s: self._logs([counts.get((f"n:{s}", v), 0) for v in range(k)]) for s in shapes}
-        # A spelt-out form never is a base span: nothing was counted for or against it.
-        self.node["address-spelt"] = np.zeros(k)
-        self.unseen = self._logs([1] + [0] * (k - 1))
-        chain = np.array([[counts.get(("c", a * 8 + b), 0) + 1.0 for b in range(k)] for a in range(k)])
-        joint = chain / chain.sum()
-        self.chain = 0.3 * np.log(joint / joint.sum(1, keepdims=True) / joint.sum(0, keepdims=True))
-        agree = (counts.get(("s", 1), 0) + 5.0) / (counts.get(("s", 0), 0) + 1.0)
-        self.skip = np.log(max(agree, 3.0)) * np.eye(k)
+        self.node = {s: self._logs([counts.get((f"n:{s}", v), 0) for v in range(1, k)]) for s in shapes}
+        self.unseen = np.zeros(k)
+        joint = self._rates([[counts.get(("c", a * 8 + b), 0) for b in range(1, k)] for a in range(1, k)])
+        self.chain = np.zeros((k, k))  # nothing is known of what an unlabelled token is
+        self.chain[1:, 1:] = 0.3 * np.log(joint / joint.sum(1, keepdims=True) / joint.sum(0, keepdims=True))
+        # Equal content has one kind: 99 to 1 before anything is counted.
+        agree = (counts.get(("s", 1), 0) + 99.0) / (counts.get(("s", 0), 0) + 1.0)
+        self.skip = np.log(min(max(agree, 3.0), 1e3)) * np.eye(k)
 
     @staticmethod
-    def _logs(n) -> np.ndarray:
-        n = np.array(n, float) + 0.1
-        return np.log(n / n.sum())
+    def _rates(n) -> np.ndarray:
+        """Shares of the counts, half of them dealt evenly."""
+        n = np.array(n, float)
+        return 0.5 * n / max(n.sum(), 1.0) + 0.5 / n.size
+
+    def _logs(self, n) -> np.ndarray:
+        """Potentials of a shape: its labels' shares, and none as likely as the likeliest."""
+        shares = np.log(self._rates(n)) if sum(n) else np.zeros(len(n))
+        return np.concatenate(([shares.max()], shares))
 
     def marginals(self, nodes) -> np.ndarray:
         """Label probabilities of each node after loopy message passing."""

@@ -147,6 +147,16 @@ def test_skip_edges_carry_a_label_to_another_spelling():
     assert crf.added("nothing 12345678 here", []) == []
 
 
+@pytest.mark.parametrize("copies", [1, 1_000_000])
+def test_added_spans_do_not_depend_on_the_size_of_the_table(copies):
+    texts = ["call +1 555 123 4567 or (555) 123-4567 today", "call +1 555 123 4567 or 555-123-4567",
+             "order 555-987-6543 and 555-222-3333", "host 10.0.0.1, card 4111 1111 1111 1111", "+44 20 7946 0958"]
+    counts = sum((pii.count_features(t) for t in texts), Counter())
+    crf = pii.Crf({k: n * copies for k, n in counts.items()})
+    added = [[(k, t[a:b]) for k, a, b in crf.added(t, pii.base_spans(t))] for t in texts]
+    assert added == [[("phone", "(555) 123-4567")], [("phone", "555-123-4567")], [], [], []]
+
+
 def test_good_turing_discounts_leave_mass():
     for histogram in ({1: 100, 2: 40, 3: 20, 4: 12, 5: 8, 6: 6}, {1: 3}, {}, {2: 5}):
         d = katz.discounts(histogram)
