@@ -4,7 +4,8 @@ A page is a sequence of words and tags. Words score by the block they stand in,
 tags by their name; the weights are log-odds counted on labelled pages (those that
 mark their content with ``article`` or ``main``), with words positive and tags
 negative where nothing was seen. One linear scan finds the contiguous region of the
-highest total; its blocks are the text. Elements that are never content (menus,
+highest total; its blocks are the text. A region may leave or enter ``article`` or
+``main`` at a fixed cost, so the marks are one bounded feature beside the weights. Elements that are never content (menus,
 headers, footers, sidebars, forms, scripts, styles, and elements whose class, id or
 role says advert, notice or comments) score below zero and are left out of the
 region's text.
@@ -38,6 +39,8 @@ BLOCK = ("p", "div", "section", "article", "main", "body", "html", "h1", "h2", "
          "li", "dl", "dt", "dd", "table", "thead", "tbody", "tr", "td", "th", "blockquote", "pre", "figure",
          "figcaption", "address", "hr", "br", "img", "details", "summary")
 CONTENT = ("article", "main")
+#: What a region pays each time its text passes into or out of a content element.
+CROSSING = 10.0
 ROLES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|cookies?|consent|notices?|sidebar|"
     r"comments?|replies|disqus|related|share|social|menu|nav|navbar|navigation|breadcrumbs?|footer|header|popup|"
@@ -142,11 +145,14 @@ def train(pages: DataFrame) -> dict[str, float]:
 
     rows = (pages.select("html").mapInArrow(run, "kind string, inside boolean, n bigint")
             .groupBy("kind", "inside").agg(F.sum("n").alias("n")).collect())
-    inside = {r["kind"]: r["n"] for r in rows if r["inside"]}
-    outside = {r["kind"]: r["n"] for r in rows if not r["inside"]}
+    return weights_of({(r["kind"], r["inside"]): r["n"] for r in rows})
+
+
+def weights_of(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
+    """Weights per kind from its tokens inside and outside the content."""
     out = {}
-    for kind in {*inside, *outside}:
-        odds = math.log((inside.get(kind, 0) + 1) / (outside.get(kind, 0) + 1))
+    for kind in {k for k, _ in counts}:
+        odds = math.log((counts.get((kind, True), 0) + 1) / (counts.get((kind, False), 0) + 1))
         # Words stay positive and tags negative, except in dropped elements.
         out[kind] = max(min(odds, 3.0), 0.1) if kind.startswith("w:") and not kind.endswith("/x") else \
             -max(0.05, min(3.0, 1.0 - odds / 2 if not kind.endswith("/x") else 1.0))
@@ -164,12 +170,13 @@ def extract(page: str, weights: dict[str, float]) -> str:
     rows = tokens(page)
     best, best_span, total, begin = 0.0, (0, 0), 0.0, 0
     # Dropped elements are skipped by the scan: an advert inside an article doesn't end it.
-    marked = any(inside and text is not None and text.strip() and not dropped for _, text, dropped, inside in rows)
+    within = None  # whether the last text stood inside a content element
     for i, (kind, text, dropped, inside) in enumerate(rows):
         words = len(text.split()) if text is not None else 1
         score = 0.0 if dropped and inside else weight(weights, kind, dropped) * words
-        if marked and not inside:
-            score = -abs(score) - 1000.0 * (text is not None and words > 0 and not dropped)
+        if text is not None and words and not dropped:
+            total -= CROSSING * (within is not None and within != inside)
+            within = inside
         if total <= 0:
             total, begin = 0.0, i
         total += score

@@ -120,6 +120,20 @@ def test_html_blocks_and_references():
     assert html_extract.extract("<article><p>cut off</p><p cla", weights) == "cut off"
 
 
+def test_html_region_is_chosen_by_the_weights():
+    body = "<p>" + "long body text " * 20 + "</p>"
+    page = f"<body><nav>menu</nav><article><h1>Head</h1>{body}</article><footer>end</footer></body>"
+    weights = html_extract.weights_of({k: 1000 * n for k, n in html_extract.count_kinds(page).items()})
+    text = "long body text " * 19 + "long body text"
+    assert html_extract.extract(page, weights) == f"Head {text}"
+    # without the marks, with teasers marked beside the body, and in two parts around a plain run
+    assert html_extract.extract(page.replace("article", "div"), weights) == f"Head {text}"
+    teasers = f"<body><article><p>one</p></article><div>{body}</div><article><p>two</p></article></body>"
+    assert html_extract.extract(teasers, weights) == text
+    parts = f"<body><article>{body}</article>and so on<article>{body}</article></body>"
+    assert html_extract.extract(parts, weights) == f"{text} and so on {text}"
+
+
 def test_base_spans_equal_the_patterns():
     rng = random.Random(6)
     alphabet = "ab.@-+ 0123456789() "
