@@ -19,10 +19,11 @@ shared folder or shuffles between them:
 4. Each block scores its documents with the answers. For the pairs it speaks for it
    gives their share of c(h), of the kept mass and of the unigram mass after h; a sum
    over h makes the table of contexts. Terms in ``alpha(h)`` are handed on per
-   document and h, joined with that table (AQE splits what is skewed) and added.
+   document (its block and place there) and h, joined with that table (AQE splits what
+   is skewed) and added.
 
-Defined cases: a null or empty text is the end token alone; repeated rows count and
-score each on their own; without training rows every token has probability 1 (score
+Defined cases: a null or empty text is the end token alone; repeated rows and rows
+without an id count and score each on their own; without training rows every token has probability 1 (score
 0); empty tables give no rows; extra columns are ignored. A text longer than a block
 is a block of its own.
 """
@@ -52,10 +53,10 @@ _DOCS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa
 _BLOCKS = "block bigint, size bigint, training bigint, docs binary"
 _ASKED = "bucket int, block bigint, pairs binary, pair_n binary, words binary, word_n binary"
 _ANSWERS = "block bigint, bucket int, pairs binary, words binary, stats array<bigint>"
-_SCORED = ("kind int, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
+_SCORED = ("kind int, block bigint, place int, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
            "base_score double, score double, prev bigint, total bigint, kept double, p double")
 _SCORED_PA = pa.schema([
-    ("kind", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
+    ("kind", pa.int32()), ("block", pa.int64()), ("place", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
     ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
     ("prev", pa.int64()), ("total", pa.int64()), ("kept", pa.float64()), ("p", pa.float64())])
 #: Kinds of rows that a scored block gives: a document's sums, a context's sums, and a
@@ -275,7 +276,7 @@ def _rows(n: int, kind: int, **columns) -> pa.RecordBatch:
         schema=_SCORED_PA)
 
 
-def _scored_block(model: KatzModel, docs: bytes, answers: list[dict]) -> Iterator[pa.RecordBatch]:
+def _scored_block(model: KatzModel, block: int, docs: bytes, answers: list[dict]) -> Iterator[pa.RecordBatch]:
     """Rows of one block, by kind."""
     seq = _Sequences(docs)
     _, at, pair = np.unique(seq.pair(), return_index=True, return_inverse=True)
@@ -294,7 +295,8 @@ def _scored_block(model: KatzModel, docs: bytes, answers: list[dict]) -> Iterato
     with np.errstate(divide="ignore", invalid="ignore"):
         token = np.where(seen, np.log10(kept[pair] / c_context[context]), np.log10(p_word)[word])
     base = np.log10((c_word + 0.1) / (model.tokens + 0.1 * (model.types + 1)))[word]
-    yield _rows(n_docs, DOCUMENT, doc_id=seq.ids, held_out=seq.held, n_tokens=per_doc(),
+    yield _rows(n_docs, DOCUMENT, block=np.full(n_docs, block), place=np.arange(n_docs, dtype=np.int32),
+                doc_id=seq.ids, held_out=seq.held, n_tokens=per_doc(),
                 n_known=per_doc((c_word > 0)[word]).astype(np.int64),
                 base_score=per_doc(base), score=per_doc(token))
 
@@ -310,16 +312,15 @@ def _scored_block(model: KatzModel, docs: bytes, answers: list[dict]) -> Iterato
     full = np.bincount(after, (c > 0) & (c <= K), least) == 0
     for kind, which in ((ALPHA, ~seen & (c_context > 0)[context]), (SCALE, seen & full[context])):
         key, n = np.unique(owner[which] * least + context[which], return_counts=True)
-        doc = key // least
-        yield _rows(len(key), kind, doc_id=seq.ids.take(pa.array(doc)), held_out=seq.held[doc],
+        yield _rows(len(key), kind, block=np.full(len(key), block), place=(key // least).astype(np.int32),
                     prev=names[key % least], n_tokens=n)
 
 
 def _scored(model: KatzModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for docs, answers in zip(batch.column(0), batch.column(1)):
-                yield from _scored_block(model, docs.as_buffer(), answers.as_py())
+            for block, docs, answers in zip(*(batch.column(i) for i in range(3))):
+                yield from _scored_block(model, block.as_py(), docs.as_buffer(), answers.as_py())
     return run
 
 
@@ -327,8 +328,7 @@ def score(docs: DataFrame) -> DataFrame:
     """Score all documents with a model of those that are not held out.
 
     ``docs``: doc_id, text, held_out. Gives doc_id, held_out, n_tokens, n_known,
-    train_tokens, base_score, score. Rows that repeat an id are scored together, as
-    one text in parts.
+    train_tokens, base_score, score: one row per row of ``docs``, whatever its id.
     """
     blocks = written(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "held_out", "text")
                      .mapInArrow(_blocks, _BLOCKS), "katz-blocks")
@@ -342,7 +342,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     given = (answers.where("block is not null").groupBy("block")
              .agg(F.collect_list(F.struct("bucket", "pairs", "words")).alias("answers")))
-    rows = written(blocks.select("block", "docs").join(given, "block").select("docs", "answers")
+    rows = written(blocks.select("block", "docs").join(given, "block").select("block", "docs", "answers")
                    .mapInArrow(_scored(model), _SCORED), "katz-scored")
 
     context = (rows.where(F.col("kind") == CONTEXT).groupBy("prev")
@@ -355,13 +355,15 @@ def score(docs: DataFrame) -> DataFrame:
         "prev", "scale", ((1 - F.col("kept") * F.col("scale") / F.col("total"))
                           / F.greatest(1 - F.col("p"), F.lit(1e-12))).alias("alpha"))
     factor = F.when(F.col("kind") == ALPHA, F.col("alpha")).otherwise(F.col("scale"))
-    rest = (rows.where(F.col("kind").isin(ALPHA, SCALE)).select("kind", "doc_id", "held_out", "prev", "n_tokens")
+    rest = (rows.where(F.col("kind").isin(ALPHA, SCALE)).select("kind", "block", "place", "prev", "n_tokens")
             .join(context, "prev")
-            .select("doc_id", "held_out", F.lit(0).cast("long").alias("n_tokens"),
+            .select("block", "place", F.lit(None).cast("long").alias("doc_id"),
+                    F.lit(None).cast("boolean").alias("held_out"), F.lit(0).cast("long").alias("n_tokens"),
                     F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("base_score"),
                     (F.col("n_tokens") * F.log10(factor)).alias("score")))
     sums = ["n_tokens", "n_known", "base_score", "score"]
-    return (rows.where(F.col("kind") == DOCUMENT).select("doc_id", "held_out", *sums).unionByName(rest)
-            .groupBy("doc_id", "held_out").agg(*[F.sum(c).alias(c) for c in sums])
+    return (rows.where(F.col("kind") == DOCUMENT).select("block", "place", "doc_id", "held_out", *sums)
+            .unionByName(rest).groupBy("block", "place")
+            .agg(*[F.max(c).alias(c) for c in ("doc_id", "held_out")], *[F.sum(c).alias(c) for c in sums])
             .select("doc_id", "held_out", "n_tokens", "n_known",
                     F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"))

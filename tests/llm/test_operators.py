@@ -282,6 +282,18 @@ def test_katz_over_many_blocks_and_buckets(spark, monkeypatch):
         assert r.base_score == pytest.approx(e[3]) and r.score == pytest.approx(e[4])
 
 
+def test_katz_scores_every_row_on_its_own(spark):
+    texts = ["a b c d", "a b c d", "b c x", None, "qq a c"] * 3
+    keyed = [(i, t, i % 5 == 4) for i, t in enumerate(texts)]
+    expected = _katz_brute(keyed)
+    rows = [((None, 7)[i % 2], t, h) for i, t, h in keyed]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, held_out boolean").repartition(2)
+    got = [(r.doc_id, r.held_out, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6))
+           for r in katz.score(docs).collect()]
+    assert Counter(got) == Counter(
+        ((None, 7)[i % 2], h, *expected[i][:2], *(round(x, 6) for x in expected[i][3:])) for i, _, h in keyed)
+
+
 def test_html_pages(spark):
     pages = spark.createDataFrame(
         [(1, "u", "<body><nav>menu</nav><main><p>kept text</p></main></body>"), (2, "v", None), (3, "w", "")],
