@@ -54,7 +54,29 @@ r AS (SELECT d.*, t.source_size, t.target, t.u,
 mix AS (SELECT *, (floor(rate * k + u) - floor(rate * (k - 1) + u))::BIGINT AS copies FROM r)
 """
 
+_TERM = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_SEARCH = rf"""
+d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERM} AS w FROM documents),
+i AS (SELECT row_number() OVER () AS iid, item_id, unnest({_TERM}) AS term FROM benchmark),
+it AS (SELECT iid, item_id, term, count(*)::BIGINT AS mult FROM i GROUP BY ALL),
+s AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS total FROM d WHERE len(w) > 0),
+tf AS (SELECT rid, doc_id, n, term, count(*)::BIGINT AS tf
+       FROM (SELECT rid, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d)
+       WHERE term IN (SELECT term FROM it) GROUP BY ALL),
+wt AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+       FROM (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term), s),
+c AS (SELECT rid, doc_id, tf.term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))) AS v
+      FROM tf JOIN wt ON wt.term = tf.term, s),
+sc AS (SELECT iid, item_id, rid, doc_id, sum(v * mult)::BIGINT AS score FROM c JOIN it ON it.term = c.term
+       GROUP BY ALL HAVING sum(v * mult) > 0)
+"""
+
 ORACLE_SQL = {
+    "op12_lexical_search": f"""WITH {_SEARCH}
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM sc)
+WHERE rank <= 20""",
     "op10_quality_rules": f"""WITH {_LEDGER}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, n_lines, n_upper, fail_bits

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import (decontaminate, html_extract, katz, language_id, mixing, near_dup, pii,
-               quality_rules, rule_ensemble, token_store)
+from . import (conversation_repair, decontaminate, html_extract, jaccard_join, katz, language_id,
+               lexical_search, mixing, near_dup, pii, quality_rules, rule_ensemble, token_store)
 from .common import id_bucket, table, written
 
 
@@ -81,6 +81,22 @@ def op3_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(docs.select("doc_id", "text", held_out.alias("held_out")))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after the contract's damage."""
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_conversations(rows, conversation_repair.damage(rows))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents of every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of five-word shingle sets."""
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_edit_matches": op1_edit_matches,
     "op2_token_store": op2_token_store,
@@ -92,4 +108,7 @@ QUERIES = {
     "op8_systematic_mix": op8_systematic_mix,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_jaccard_join": op13_jaccard_join,
 }

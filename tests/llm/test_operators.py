@@ -49,7 +49,8 @@ def canon(rows):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
+    for view in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {view} AS SELECT * FROM read_parquet('{SF_SMALL}/{view}.parquet')")
     rel = con.sql(ORACLE_SQL[name])
     df = QUERIES[name](spark, SF_SMALL).select(*rel.columns)
     assert canon(df.collect()) == canon(rel.fetchall())
