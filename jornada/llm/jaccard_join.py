@@ -14,11 +14,14 @@ Two sets link when ``100 * intersection >= 80 * union``. The search is exact:
    then share a single rare token or a token pair. The number of classes follows the
    set's size, in size steps of 5/4, so a set has keys in its own step and the next.
 4. Sets that share a key, directly or through others, form a candidate group. A group
-   is packed into blocks of bounded size; full sets meet inside a block and all pairs
-   are verified there by one matrix product; only a spanning forest of the links leaves
-   it. In groups of several blocks the member with most links is then compared with
-   all blocks, and what is still outside the group's largest component with every
-   member of the other blocks. No pair is emitted that is not a link of the forest.
+   too large for one block is searched again with whole sets for heads, whose prefixes
+   are shorter against their length, so passages that many texts share part less of it
+   from the rest. Groups are then packed into blocks of bounded size; full sets meet
+   inside a block and all pairs are verified there by one matrix product; only a
+   spanning forest of the links leaves it. In groups of several blocks the member with
+   most links is then compared with all blocks, and what is still outside the group's
+   largest component with every member of the other blocks. No pair is emitted that is
+   not a link of the forest.
 
 Defined cases: a null text or one without words has an empty set, n_shingles 0, and is
 its own component; texts with equal sets are one class, whatever their ids, and share
@@ -47,7 +50,7 @@ SHINGLE = 5
 #: Tokens in more distinct sets than this are frequent: indexed in pairs, not alone.
 RARE = 64
 #: A block of a candidate group holds about so many shingles and sets.
-BLOCK_SHINGLES, BLOCK_SETS = 100_000, 256
+BLOCK_SHINGLES, BLOCK_SETS = 200_000, 1024
 #: Columns of one matrix product.
 COLUMNS = 4096
 
@@ -92,11 +95,12 @@ def token_classes(step: int) -> int:
     return head_overlap(_STEPS[max(step - 1, 0)]) // 2
 
 
-def keys(tokens: np.ndarray, frequency: np.ndarray, n: int) -> np.ndarray:
-    """Index keys of a set of n shingles, given the head tokens that other sets share."""
-    head = head_length(n)
+def keys(tokens: np.ndarray, frequency: np.ndarray, n: int, whole: bool = False) -> np.ndarray:
+    """Index keys of a set of n shingles, given the head tokens that other sets share
+    (``whole``: the head is the whole set)."""
+    head, overlap = (n, needed(n)) if whole else (head_length(n), head_overlap(n))
     # Tokens of the rarest-first prefix that must give a key or be lacking in a partner.
-    budget = head - head_overlap(n) + 1 - (head - len(tokens))
+    budget = head - overlap + 1 - (head - len(tokens))
     if budget <= 0:
         return np.zeros(0, np.uint64)
     order = np.lexsort((tokens, frequency))
@@ -160,14 +164,14 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(ids)], ["token", "id"])
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keyed(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
     """(key, id, lacking): index keys of each set, and its share of tokens nobody shares."""
     for batch in batches:
         for id_, n, shared in zip(*(batch.column(i) for i in range(3))):
             token, often = (np.asarray(x) for x in shared.values.flatten())
             n = n.as_py()
-            found = keys(token.view(np.uint64), often, n)
-            head = head_length(n)
+            found = keys(token.view(np.uint64), often, n, whole)
+            head = n if whole else head_length(n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found.view(np.int64)), pa.array(np.full(len(found), id_.as_py(), np.int64)),
                  pa.array(np.full(len(found), (head - len(token)) / head))], ["key", "id", "lacking"])
@@ -293,18 +297,19 @@ def _between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _links(a, b, [0] * len(a))
 
 
-def candidate_stars(sets: DataFrame) -> DataFrame:
+def candidate_stars(sets: DataFrame, whole: bool = False) -> DataFrame:
     """(a, b): each indexed set b with the leader a of a key's sets; a set leads where it
     has the fewest tokens that nobody shares. Connected sets are a candidate group.
 
-    ``sets`` holds id, n_shingles and head of each distinct set.
+    ``sets`` holds id, n_shingles and head of each distinct set (``whole``: all of it).
     """
     tokens = sets.select("id", "head").mapInArrow(_tokens, "token bigint, id bigint")
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     per_set = (tokens.join(shared, "token").groupBy("id")
                .agg(F.collect_list(F.struct("token", "often")).alias("shared")))
     found = written(per_set.join(sets.select("id", "n_shingles"), "id").select("id", "n_shingles", "shared")
-                    .mapInArrow(_keyed, "key bigint, id bigint, lacking double"), "join-keys")
+                    .mapInArrow(lambda batches: _keyed(batches, whole), "key bigint, id bigint, lacking double"),
+                    "join-keys")
     lead = (found.groupBy("key").agg(F.min(F.struct("lacking", "id")).alias("lead"), F.count(F.lit(1)).alias("n"))
             .where("n > 1").select("key", F.col("lead.id").alias("a")))
     return written(found.join(lead, "key").where("a <> id").select("a", F.col("id").alias("b")).distinct(),
@@ -317,13 +322,17 @@ def verified_links(stars: DataFrame, texts: DataFrame, shingle: int = SHINGLE) -
     ``texts`` holds (id, text) of the sets that may be in a group, each once.
     """
     groups = components(stars).withColumnRenamed("comp", "grp")
-    sets = (texts.join(groups, "id").select("id", "text")
-            .mapInArrow(lambda batches: _packed_sets(batches, shingle), "id bigint, set binary"))
-    sets = written(sets, "join-sets").join(groups, "id")
-    blocks = groups.join(sets.select("id", (F.length("set") / 8).alias("n")), "id").groupBy("grp").agg(
-        F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).alias("blocks"))
+    sets = written(texts.join(groups, "id").select("id", "text")
+                   .mapInArrow(lambda batches: _packed_sets(batches, shingle), "id bigint, set binary")
+                   .withColumn("n_shingles", (F.length("set") / 8).cast("bigint")), "join-sets")
+    sized = _with_blocks(groups, sets)
+    small, large = sized.where("blocks = 1"), sized.where("blocks > 1")
+    if not large.isEmpty():
+        again = candidate_stars(sets.join(large.select("id"), "id")
+                                .select("id", "n_shingles", F.col("set").alias("head")), whole=True)
+        large = _with_blocks(components(again).withColumnRenamed("comp", "grp"), sets)
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("own")
-    packed = written(sets.join(blocks, "grp").groupBy("grp", "blocks", own)
+    packed = written(small.unionByName(large).join(sets, "id").groupBy("grp", "blocks", own)
                      .agg(F.collect_list(F.struct("id", "set")).alias("members")), "join-blocks")
     links = written(packed.where(F.size("members") > 1).select("members").mapInArrow(_within, _LINK), "join-links")
     large = packed.where("blocks > 1")
@@ -332,6 +341,13 @@ def verified_links(stars: DataFrame, texts: DataFrame, shingle: int = SHINGLE) -
     return links.select("a", "b").unionByName(_across_blocks(large, links))
 
 
+def _with_blocks(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """id, grp and the number of blocks of the group."""
+    blocks = groups.join(sets.select("id", "n_shingles"), "id").groupBy("grp").agg(
+        F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).alias("blocks"))
+    return written(groups.join(blocks, "grp"), "join-groups")
+
+
 def _across_blocks(large: DataFrame, links: DataFrame) -> DataFrame:
     """Links between the blocks of each group."""
     members = large.select("grp", "own", F.inline("members"))
