@@ -7,16 +7,17 @@ Two sets link when ``100 * intersection >= 80 * union``. The search is exact:
    at least ``k`` hashes, ``k`` of the set whose head ends first.
 2. The document frequency of each head token is counted over the distinct sets. A set
    with too few shared head tokens has no partner and goes no further.
-3. Heads are ordered by frequency, rarest first, and cut to a prefix. Rare tokens are
-   index keys of their own. Frequent tokens fall into classes by a hash; of these,
-   pairs of tokens of one class are keys. A class yields no key from its first token,
-   so the prefix is extended by one token for each class it meets: two linked sets
-   then share a single rare token or a token pair. The number of classes follows the
-   set's size, in size steps of 5/4, so a set has keys in its own step and the next.
+3. Heads are ordered by frequency, rarest first, and cut to a prefix, whose tokens are
+   index keys.
 4. Sets that share a key, directly or through others, form a candidate group. A group
    too large for one block is searched again with whole sets for heads, whose prefixes
-   are shorter against their length, so passages that many texts share part less of it
-   from the rest. Groups are then packed into blocks of bounded size; full sets meet
+   are shorter against their length. In these, rare tokens are keys of their own, while
+   frequent tokens fall into classes by a hash, and pairs of tokens of one class are
+   keys. A class yields no key from its first token, so the prefix is extended by one
+   token for each class it meets: two linked sets then share a single rare token or a
+   token pair. The number of classes follows the set's size, in steps of 5/4, so a
+   set has keys in its own step and the next.
+5. Groups are then packed into blocks of bounded size; full sets meet
    inside a block and all pairs are verified there by one matrix product; only a
    spanning forest of the links leaves it. In groups of several blocks the member with
    most links is then compared with all blocks, and what is still outside the group's
@@ -42,7 +43,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import mix64, text_slices, written
-from .near_dup import components, shingle_sets
+from .graph import connected, forest
+from .near_dup import shingle_sets
 
 #: A link needs LEAST / OF of the union in common.
 LEAST, OF = 80, 100
@@ -50,7 +52,7 @@ SHINGLE = 5
 #: Tokens in more distinct sets than this are frequent: indexed in pairs, not alone.
 RARE = 64
 #: A block of a candidate group holds about so many shingles and sets.
-BLOCK_SHINGLES, BLOCK_SETS = 200_000, 1024
+BLOCK_SHINGLES, BLOCK_SETS = 400_000, 2048
 #: Columns of one matrix product.
 COLUMNS = 4096
 
@@ -90,14 +92,13 @@ def size_step(n: int) -> int:
 
 
 def token_classes(step: int) -> int:
-    """Classes of frequent tokens in a step, fewer than any of its sets is sure to share
-    (0: too few, so frequent tokens are keys of their own, too)."""
-    return head_overlap(_STEPS[max(step - 1, 0)]) // 2
+    """Classes of frequent tokens in a step, a quarter of what its smallest set is sure to share."""
+    return needed(_STEPS[max(step - 1, 0)]) // 4
 
 
 def keys(tokens: np.ndarray, frequency: np.ndarray, n: int, whole: bool = False) -> np.ndarray:
     """Index keys of a set of n shingles, given the head tokens that other sets share
-    (``whole``: the head is the whole set)."""
+    (``whole``: the head is the whole set, and frequent tokens are paired)."""
     head, overlap = (n, needed(n)) if whole else (head_length(n), head_overlap(n))
     # Tokens of the rarest-first prefix that must give a key or be lacking in a partner.
     budget = head - overlap + 1 - (head - len(tokens))
@@ -105,11 +106,13 @@ def keys(tokens: np.ndarray, frequency: np.ndarray, n: int, whole: bool = False)
         return np.zeros(0, np.uint64)
     order = np.lexsort((tokens, frequency))
     tokens, rare = tokens[order], (frequency <= RARE)[order]
+    if not whole or rare[:budget].all():
+        return np.sort(tokens[:budget])
     out = []
     step = size_step(n)
     for s in (step, step + 1):
         classes = token_classes(s)
-        if not classes:
+        if not classes:  # too small a set: frequent tokens are keys of their own, too
             out.append(tokens[:budget])
             continue
         group = np.where(rare, -1, (mix64(tokens) % np.uint64(classes)).astype(np.int64))
@@ -298,8 +301,8 @@ def _between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def candidate_stars(sets: DataFrame, whole: bool = False) -> DataFrame:
-    """(a, b): each indexed set b with the leader a of a key's sets; a set leads where it
-    has the fewest tokens that nobody shares. Connected sets are a candidate group.
+    """(a, b): indexed sets b with the leader a of a key's sets, as many as connect whatever
+    shares keys; a set leads where it has the fewest tokens that nobody shares.
 
     ``sets`` holds id, n_shingles and head of each distinct set (``whole``: all of it).
     """
@@ -312,38 +315,45 @@ def candidate_stars(sets: DataFrame, whole: bool = False) -> DataFrame:
                     "join-keys")
     lead = (found.groupBy("key").agg(F.min(F.struct("lacking", "id")).alias("lead"), F.count(F.lit(1)).alias("n"))
             .where("n > 1").select("key", F.col("lead.id").alias("a")))
-    return written(found.join(lead, "key").where("a <> id").select("a", F.col("id").alias("b")).distinct(),
-                   "join-stars")
+    return written(forest(found.join(lead, "key").where("a <> id").select("a", F.col("id").alias("b"))), "join-stars")
 
 
-def verified_links(stars: DataFrame, texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def verified_links(sizes: DataFrame, stars: DataFrame, texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(a, b) links that connect the sets of each candidate group as all its links would.
 
-    ``texts`` holds (id, text) of the sets that may be in a group, each once.
+    ``sizes`` holds (id, n_shingles), ``texts`` (id, text) of the sets that may be in a
+    group, each once.
     """
-    groups = components(stars).withColumnRenamed("comp", "grp")
-    sets = written(texts.join(groups, "id").select("id", "text")
-                   .mapInArrow(lambda batches: _packed_sets(batches, shingle), "id bigint, set binary")
-                   .withColumn("n_shingles", (F.length("set") / 8).cast("bigint")), "join-sets")
-    sized = _with_blocks(groups, sets)
-    small, large = sized.where("blocks = 1"), sized.where("blocks > 1")
-    if not large.isEmpty():
-        again = candidate_stars(sets.join(large.select("id"), "id")
-                                .select("id", "n_shingles", F.col("set").alias("head")), whole=True)
-        large = _with_blocks(components(again).withColumnRenamed("comp", "grp"), sets)
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("own")
-    packed = written(small.unionByName(large).join(sets, "id").groupBy("grp", "blocks", own)
-                     .agg(F.collect_list(F.struct("id", "set")).alias("members")), "join-blocks")
-    links = written(packed.where(F.size("members") > 1).select("members").mapInArrow(_within, _LINK), "join-links")
-    large = packed.where("blocks > 1")
+    def packed(members: DataFrame) -> DataFrame:
+        own = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("own")
+        return (members.groupBy("grp", "blocks", own)
+                .agg(F.collect_list(F.struct("id", "set")).alias("members")))
+
+    def within(blocks: DataFrame) -> DataFrame:
+        return written(blocks.where(F.size("members") > 1).select("members").mapInArrow(_within, _LINK), "join-links")
+
+    def full(ids: DataFrame) -> DataFrame:
+        return texts.join(ids.select("id"), "id").select("id", "text").mapInArrow(
+            lambda batches: _packed_sets(batches, shingle), "id bigint, set binary")
+
+    groups = _with_blocks(connected(stars), sizes)
+    small, large = groups.where("blocks = 1"), groups.where("blocks > 1")
+    links = within(packed(full(small).join(small, "id")))
     if large.isEmpty():
         return links.select("a", "b")
-    return links.select("a", "b").unionByName(_across_blocks(large, links))
+    sets = written(full(large).join(sizes, "id"), "join-sets")
+    again = candidate_stars(sets.withColumnRenamed("set", "head"), whole=True)
+    blocks = written(packed(sets.join(_with_blocks(connected(again), sizes), "id")), "join-blocks")
+    found = within(blocks)
+    links = links.select("a", "b").unionByName(found.select("a", "b"))
+    several = blocks.where("blocks > 1")
+    return links if several.isEmpty() else links.unionByName(_across_blocks(several, found))
 
 
-def _with_blocks(groups: DataFrame, sets: DataFrame) -> DataFrame:
+def _with_blocks(labels: DataFrame, sizes: DataFrame) -> DataFrame:
     """id, grp and the number of blocks of the group."""
-    blocks = groups.join(sets.select("id", "n_shingles"), "id").groupBy("grp").agg(
+    groups = labels.withColumnRenamed("comp", "grp")
+    blocks = groups.join(sizes, "id").groupBy("grp").agg(
         F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).alias("blocks"))
     return written(groups.join(blocks, "grp"), "join-groups")
 
@@ -378,7 +388,7 @@ def _across_blocks(large: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _with_components(ids: DataFrame, links: DataFrame) -> DataFrame:
-    labels = components(links.select("a", "b"))
+    labels = connected(links)
     return written(ids.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "join-comps")
 
 
@@ -397,11 +407,12 @@ def jaccard_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                       "join-classes")
     sets = known.join(classes.select("row"), "row")  # one row of each distinct set
     stars = candidate_stars(sets)
-    wanted = (sets.select("id", "row_key")
-              .join(stars.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id"))
-    texts = (docs.select(row_key().alias("row_key"), "text").join(wanted, "row_key")
+    ids = stars.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = written(sets.select("id", "row_key", "n_shingles").join(ids, "id"), "join-wanted")
+    # Exact repeats of a row have one key: one of them is read.
+    texts = (docs.select(row_key().alias("row_key"), "text").join(wanted.select("id", "row_key"), "row_key")
              .dropDuplicates(["id"]).select("id", "text"))
-    labels = components(verified_links(stars, texts, shingle))
+    labels = connected(verified_links(wanted.select("id", "n_shingles"), stars, texts, shingle))
     classes = classes.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     top = classes.groupBy("comp").agg(F.min("class_id").alias("component_id"))
     classes = written(classes.join(top, "comp").select("id", "class_id", "component_id"), "join-classes")

@@ -275,14 +275,15 @@ def test_linked_sets_share_a_key():
                                           rng.integers(0, 1 << 63, gone).astype(np.uint64))))
             if 100 * len(np.intersect1d(x, y)) < 80 * len(np.union1d(x, y)):
                 continue
-            heads = [s[:join.head_length(len(s))] for s in (x, y)]
-            often = {int(t): (2 if rng.random() < rare else int(rng.integers(2, 5000)))
-                     for t in np.intersect1d(*heads)}
-            found = []
-            for s, head in zip((x, y), heads):
-                shared = np.array([t for t in head if int(t) in often], np.uint64)
-                found.append(join.keys(shared, np.array([often[int(t)] for t in shared], np.int64), len(s)))
-            assert len(np.intersect1d(*found)), (n, rare)
+            for whole in (False, True):
+                heads = [s[:len(s) if whole else join.head_length(len(s))] for s in (x, y)]
+                often = {int(t): (2 if rng.random() < rare else int(rng.integers(2, 5000)))
+                         for t in np.intersect1d(*heads)}
+                found = []
+                for s, head in zip((x, y), heads):
+                    shared = np.array([t for t in head if int(t) in often], np.uint64)
+                    found.append(join.keys(shared, np.array([often[int(t)] for t in shared], np.int64), len(s), whole))
+                assert len(np.intersect1d(*found)), (n, rare, whole)
 
 
 def test_forest_connects_what_the_links_connect():
