@@ -3,6 +3,7 @@
 Jobs:
 
 * ``curate``  one dataset (or all) for one process date;
+* ``backfill`` one dataset (or all) for a date range, from either raw layout;
 * ``land``    a drop folder, optionally only the objects of one date;
 * ``query``   the saved hydro-sales query over a curated table, written out.
 
@@ -25,7 +26,9 @@ from .spec import DATASETS, spec_for
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m jornada")
-    p.add_argument("job", choices=("curate", "land", "query"))
+    p.add_argument("job", choices=("curate", "backfill", "land", "query"))
+    p.add_argument("--start", help="first date of a backfill, yyyyMMdd (default: the first there is)")
+    p.add_argument("--end", help="last date of a backfill, yyyyMMdd (default: the last there is)")
     p.add_argument("--process-date", help="yyyyMMdd")
     p.add_argument("--dataset", default="all",
                    help=f"one of {sorted(DATASETS)} or 'all' (curate)")
@@ -36,7 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--curated-root")
     p.add_argument("--raw-layout", default="folders", choices=("folders", "files"),
                    help="raw zone of day folders, or one file per dataset and day under "
-                        "<Dataset>/yyyy/MM/dd (curate)")
+                        "<Dataset>/yyyy/MM/dd (curate, backfill)")
     p.add_argument("--type-process", default="INC", help="accepted for compatibility; unused")
     p.add_argument("--rerun", default="append", choices=("append", "replace"))
     p.add_argument("--format", default="parquet")
@@ -56,16 +59,18 @@ def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     batch = None
-    if args.process_date is not None or args.job == "curate":
+    start = end = None
+    if args.process_date is not None or args.job in ("curate", "backfill"):
         try:
-            batch = BatchDate(args.process_date or "")
+            batch = BatchDate(args.process_date or "") if args.job != "backfill" else None
+            start, end = (BatchDate(d) if d else None for d in (args.start, args.end))
         except ValueError as exc:
             print(f"error: {exc}", file=sys.stderr)
             return 1
 
     from pyspark.sql import SparkSession
 
-    from .plans import curate, curate_all, hydro_sales_sql, land_drop
+    from .plans import curate, curate_all, curate_backfill, hydro_sales_sql, land_drop
 
     spark = SparkSession.builder.getOrCreate()
     zone = _zone(args)
@@ -82,6 +87,11 @@ def main(argv: list[str] | None = None) -> int:
                           for k, v in results.items()}))
         if any(isinstance(v, Exception) for v in results.values()):
             return 1
+    elif args.job == "backfill":
+        specs = list(DATASETS.values()) if args.dataset == "all" else [spec_for(args.dataset)]
+        done = {s.name: curate_backfill(spark, s, zone, start, end, fmt=args.format, rerun=args.rerun,
+                                        per_file=args.raw_layout == "files") for s in specs}
+        print(json.dumps({k: {"rows": r.rows, "table": r.table, **r.metrics} for k, r in done.items()}))
     elif args.job == "land":
         if not args.drop:
             print("error: --drop is required for land", file=sys.stderr)

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +44,11 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(*_customer_columns())
 
 
+def customers_with_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers with a column that the dataset doesn't name."""
+    return table(spark, sf_dir, "customer").select(*_customer_columns(), F.col("c_nationkey").cast("string").alias("Pais"))
+
+
 def _transaction_columns() -> list:
     return [
         F.expr("CASE WHEN l_returnflag = 'R' THEN 'compra' ELSE 'venta' END")
@@ -136,24 +140,20 @@ def stage_lines(lines: DataFrame, header: str, drop_dir: str, name: str) -> str:
 
     Every part file starts with the header line, as a CSV writer would do.
     """
-    def with_header(batches):
-        first = True
-        for pdf in batches:
-            if first:
-                pdf = pd.concat([pd.DataFrame({"value": [header]}), pdf], ignore_index=True)
-                first = False
-            yield pdf
-
     path = f"{drop_dir.rstrip('/')}/{name}"
-    lines.select("value").mapInPandas(with_header, "value string").write.mode("overwrite").text(path)
+    # One column named like the header line, without quotes or a delimiter of its own.
+    (lines.select(F.col("value").alias(header)).write.mode("overwrite").option("header", "true")
+     .option("sep", "\u0001").option("quote", "").option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").csv(path))
     return path
 
 
 def stage_drop(spark: SparkSession, sf_dir: str, drop_dir: str) -> dict[str, str]:
     """A drop folder: one Transactions object per event day, providers and
     customers for 2023-12-04, objects with bad names, an unknown dataset, one
-    customers object with surplus fields, one with missing fields and one
-    with its columns reordered."""
+    customers object with surplus fields, one with missing fields, one with its
+    columns reordered, one without one of them, one with a further one, one with
+    quotes inside fields and lines of spaces, and one without a byte."""
     dated = dated_transactions(spark, sf_dir)
     providers = raw_providers(spark, sf_dir)
     customers = raw_customers(spark, sf_dir)
@@ -166,8 +166,10 @@ def stage_drop(spark: SparkSession, sf_dir: str, drop_dir: str) -> dict[str, str
                  "Ventas_20231204.csv"):
         jobs[name] = providers
     jobs["Customers_20231204.csv"] = customers
-    # Same rows, columns in another order: rejected rather than landed by position.
+    # Same rows, columns in another order: they go by name.
     jobs["Customers_20231207.csv"] = customers.select(*reversed(CUSTOMERS.columns))
+    jobs["Customers_20231208.csv"] = customers.select(*CUSTOMERS.columns[:-1])
+    jobs["Customers_20231209.csv"] = customers_with_segment(spark, sf_dir)
     header = DELIMITER.join(CUSTOMERS.columns)
     cust = table(spark, sf_dir, "customer").select(
         (F.col("c_acctbal") < 0).alias("negative"), *_customer_columns())
@@ -191,4 +193,12 @@ def stage_drop(spark: SparkSession, sf_dir: str, drop_dir: str) -> dict[str, str
                                                   "Customers_20231205.csv")
     paths["Customers_20231206.csv"] = stage_lines(short_lines, header, drop_dir,
                                                   "Customers_20231206.csv")
+    # A quote inside a field, a backslash before one, and a line of spaces.
+    odd = cust.select(F.explode(F.when(F.col("negative"), F.array(
+        F.concat_ws(DELIMITER, "tipo_identificacion", "identificacion", F.lit('TUBO 5"'), F.lit('a \\" b')),
+        F.lit("   "))).otherwise(F.array(full))).alias("value"))
+    paths["Customers_20231210.csv"] = stage_lines(odd, header, drop_dir, "Customers_20231210.csv")
+    path = f"{drop_dir.rstrip('/')}/Customers_20231211.csv"
+    spark.range(0).select(F.lit("").alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    paths["Customers_20231211.csv"] = path
     return paths

@@ -3,36 +3,42 @@
 A drop folder holds objects named ``<Dataset>_<yyyyMMdd>[_anything].csv`` (a
 plain file, or a folder of part files). Landing:
 
-1. lists the folder in one distributed listing and derives, per object, the
-   dataset (name token 1), the batch date (token 2 up to the first ``.``,
-   exactly 8 digits and a real day) and the destination folder;
-2. scans the folder's lines once and counts, per object, rows, short rows
-   (missing fields, read as null) and long rows (surplus fields);
-3. rejects objects with a bad name, an unknown dataset, a file without a
-   header line naming the dataset's columns in order (rows are read by
-   position), or any long row, and
-   writes the rows of the others into ``<Dataset>/year=/month=/day=`` with a
-   dynamic partition overwrite, so landing the same objects again replaces their
-   days. A day that holds rows of an object outside the drop is left alone and the
-   new object reported (``rejected_day_taken``).
-
-Rejections are reported, never raised.
+1. lists the folder and derives, per object, the dataset (name token 1), the batch
+   date (token 2 up to the first ``.``, exactly 8 digits and a real day) and the
+   destination folder; objects of other dates than the one asked for are not read;
+2. finds each object's header line, groups objects by their columns and counts rows,
+   short rows (missing fields, read as null) and long rows (surplus fields) with
+   Spark's own CSV parser, the one that the rows are read with afterwards;
+3. rejects objects with a bad name, an unknown dataset, no bytes, no header line with
+   the dataset's columns (in any order; further columns are kept), any long row, or
+   content that cannot be read, and keeps a copy with the reason under
+   ``_quarantine``;
+4. writes the rows of the others into folders of their own and then commits one
+   manifest row per object (see :mod:`jornada.sources.manifest`).
+
+Rejections are reported, never raised; an object that cannot be read does not stop the
+others.
 """
 
 from __future__ import annotations
 
+import csv
 import logging
 import re
+import time
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..config import Zone
+from ..config import BatchDate, Zone
+from ..sources.manifest import MANIFEST_SCHEMA, commit, object_folder
 from ..sources.raw import DELIMITER, csv_reader
-from ..spec import DATASETS, PARTITION_COLUMNS, TableSpec
+from ..spec import DATASETS, KEY_COLUMN, PARTITION_COLUMNS, TableSpec, quoted
 
 log = logging.getLogger(__name__)
 
@@ -43,12 +49,15 @@ REJECTED_DATASET = "rejected_dataset"
 REJECTED_MALFORMED = "rejected_malformed"
 REJECTED_HEADER = "rejected_header"
 REJECTED_UNREADABLE = "rejected_unreadable"
-REJECTED_DAY_TAKEN = "rejected_day_taken"
+REJECTED_EMPTY = "rejected_empty"
+SKIPPED_DATE = "skipped_other_date"
+FAILED_WRITE = "failed_write"
 
-# A double-quoted segment of a line.
-_QUOTED_SEGMENT = r'"[^"]*"'
+#: Column names a raw object can't have: they are the library's own.
+RESERVED = (*PARTITION_COLUMNS, KEY_COLUMN, "object", "landing")
 # Objects that one scan reads by name; longer lists are read batch by batch.
 OBJECTS_PER_SCAN = 1_000
+_CORRUPT = "_malformed_line"
 
 
 def source_file() -> Column:
@@ -65,7 +74,10 @@ def _path_only(uri: str) -> str:
 
 def object_name(path: Column, drop_dir: str) -> Column:
     """The element directly under the drop folder that a file belongs to."""
-    return F.regexp_extract(path, re.escape(_path_only(drop_dir)) + r"/([^/]+)", 1)
+    root = _path_only(drop_dir)
+    if not root.startswith("/"):  # relative to the working folder
+        return F.regexp_extract(path, "/" + re.escape(root) + r"/([^/]+)", 1)
+    return F.regexp_extract(path, "^([A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?)?" + re.escape(root) + r"/([^/]+)", 3)
 
 
 def dataset_token(name: Column) -> Column:
@@ -82,13 +94,14 @@ def parse_batch_date(token: Column) -> Column:
     return F.when(token.rlike(r"^[0-9]{8}$"), parsed)
 
 
-def destination(dataset: Column, batch_date: Column) -> Column:
-    """Raw-zone folder ``<Dataset>/year=yyyy/month=MM/day=dd``, relative to the raw root."""
+def destination(dataset: Column, batch_date: Column, name: Column) -> Column:
+    """Raw-zone folder ``<Dataset>/year=yyyy/month=MM/day=dd/object=<name>``, relative to the raw root."""
     return F.concat_ws(
         "/", dataset,
         F.concat(F.lit("year="), F.date_format(batch_date, "yyyy")),
         F.concat(F.lit("month="), F.date_format(batch_date, "MM")),
-        F.concat(F.lit("day="), F.date_format(batch_date, "dd")))
+        F.concat(F.lit("day="), F.date_format(batch_date, "dd")),
+        F.concat(F.lit("object="), name))
 
 
 def name_status(dataset: Column, batch_date: Column) -> Column:
@@ -98,13 +111,20 @@ def name_status(dataset: Column, batch_date: Column) -> Column:
 
 
 def list_drop(spark: SparkSession, drop_dir: str) -> DataFrame:
-    """One row per object: name, files, bytes (file contents are not read)."""
+    """One row per object: name, files, bytes (file contents are not read).
+
+    Names come from the scan's own file listing, since empty files give no rows.
+    """
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", "true")
-             .load(drop_dir)
-             .select("path", "length"))
-    return (files.groupBy(object_name(F.col("path"), drop_dir).alias("object"))
-            .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes")))
+             .load(drop_dir))
+    listed = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string")
+    names = (listed.groupBy(object_name(F.url_decode("path"), drop_dir).alias("object"))
+             .agg(F.count(F.lit(1)).alias("n_files")))
+    sizes = (files.select("path", "length").groupBy(object_name(F.col("path"), drop_dir).alias("object"))
+             .agg(F.sum("length").alias("bytes")))
+    return names.join(sizes, "object", "left").select(
+        "object", "n_files", F.coalesce("bytes", F.lit(0)).alias("bytes"))
 
 
 def route(objects: DataFrame) -> DataFrame:
@@ -118,7 +138,7 @@ def route(objects: DataFrame) -> DataFrame:
             .withColumn("name_status", name_status(ds, day))
             .withColumn("destination",
                         F.when(F.col("name_status") == OK,
-                               destination(F.col("dataset"), day))))
+                               destination(F.col("dataset"), day, name))))
 
 
 def _glob_escape(name: str) -> str:
@@ -126,219 +146,274 @@ def _glob_escape(name: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", name)
 
 
-def read_drop(spark: SparkSession, drop_dir: str, spec: TableSpec,
-              objects: list[str]) -> DataFrame:
-    """Rows of exactly the given objects (raw schema, text), with their object name.
-
-    Headers are always checked again by the reader.
-    """
-    root = drop_dir.rstrip("/")
-    out = None
-    for at in range(0, len(objects), OBJECTS_PER_SCAN):
-        df = csv_reader(spark, spec.raw_schema()).load(
-            [f"{root}/{_glob_escape(o)}" for o in objects[at:at + OBJECTS_PER_SCAN]]).select(
-            *spec.columns, object_name(source_file(), drop_dir).alias("object"))
-        out = df if out is None else out.unionByName(df)
-    return out
-
+def _paths(drop_dir: str, objects: list[str]) -> list[str]:
+    return [f"{drop_dir.rstrip('/')}/{_glob_escape(o)}" for o in objects]
 
-def expected_fields(dataset: Column) -> Column:
-    """Number of columns of a known dataset; null otherwise."""
-    out = None
-    for spec in DATASETS.values():
-        out = (F.when(dataset == spec.name, F.lit(len(spec.columns))) if out is None
-               else out.when(dataset == spec.name, F.lit(len(spec.columns))))
-    return out
 
+def _batches(objects: list[str]) -> list[list[str]]:
+    return [objects[at:at + OBJECTS_PER_SCAN] for at in range(0, len(objects), OBJECTS_PER_SCAN)]
 
-def field_count(line: Column) -> Column:
-    """Fields in a delimited line, counting separators outside double quotes.
 
-    Quoted segments (an escaped quote ``""`` splits into two of them) are
-    removed first, so the count is linear in the line's length; lines without
-    a quote (nearly all) skip even that.
-    """
-    def separators(text: Column) -> Column:
-        return F.length(text) - F.length(F.replace(text, F.lit(DELIMITER), F.lit("")))
-
-    unquoted = F.regexp_replace(line, _QUOTED_SEGMENT, "")
-    return F.when(F.instr(line, '"') == 0, separators(line) + 1).otherwise(
-        separators(unquoted) + 1)
-
-
-def header_forms(spec: TableSpec) -> list[str]:
-    """Lower-case spellings of a dataset's header line the CSV reader accepts:
-    plain or fully quoted names, with or without a byte-order mark."""
-    plain = DELIMITER.join(spec.columns).lower()
-    quoted = DELIMITER.join(f'"{c}"' for c in spec.columns).lower()
-    return [plain, quoted, "\ufeff" + plain, "\ufeff" + quoted]
-
-
-def _dataset_bits() -> dict[str, int]:
-    return {spec.name: 1 << i for i, spec in enumerate(DATASETS.values())}
-
-
-def header_code(line: Column) -> Column:
-    """Bit of the dataset whose header this line is (0 for any other line)."""
-    low = F.lower(line)
-    out = None
+def _isolated(objects: list[str], job: Callable[[list[str]], dict], failed: dict[str, Exception]) -> dict:
+    """``job``'s results over all objects; one that makes it fail is found by halving
+    and goes to ``failed``, the others are done."""
+    try:
+        return job(objects)
+    except AnalysisException:  # a fault of the query, not of an object
+        raise
+    except Exception as exc:  # noqa: BLE001 - any reading error is that object's
+        if len(objects) == 1:
+            log.error("reading %s failed: %s", objects[0], exc)
+            failed[objects[0]] = exc
+            return {}
+    half = len(objects) // 2
+    return {**_isolated(objects[:half], job, failed), **_isolated(objects[half:], job, failed)}
+
+
+def header_lines(spark: SparkSession, drop_dir: str, objects: list[str]) -> DataFrame:
+    """(object, header) of the distinct header lines of each object's files: of each
+    file, the first line that names all its dataset's columns."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(_paths(drop_dir, objects))
+    low = F.lower("value")
+    named = F.lit(False)
     for spec in DATASETS.values():
-        bit = F.lit(_dataset_bits()[spec.name]).cast("long")
-        cond = low.isin(*header_forms(spec))
-        out = F.when(cond, bit) if out is None else out.when(cond, bit)
-    return out.otherwise(F.lit(0).cast("long"))
-
-
-def dataset_bit(dataset: Column) -> Column:
+        own = F.col("dataset") == spec.name
+        for c in spec.columns:
+            own = own & low.contains(c.lower())
+        named = named | own
+    # The dataset is needed for lines with a column's name only.
+    first_column = F.lit(False)
+    for spec in DATASETS.values():
+        first_column = first_column | low.contains(spec.columns[0].lower())
+    found = (lines.where(first_column).select("value", F.monotonically_increasing_id().alias("at"),
+                                              source_file().alias("file"))
+             .withColumn("object", object_name(F.col("file"), drop_dir))
+             .withColumn("dataset", dataset_token(F.col("object"))).where(named))
+    return (found.groupBy("object", "file").agg(F.min_by("value", "at").alias("header"))
+            .select("object", "header").distinct())
+
+
+def header_columns(line: str, spec: TableSpec) -> list[str] | None:
+    """Column names of a header line, the dataset's own in its spelling; None if one of
+    these is missing or a name is empty, repeated or reserved."""
+    names = next(csv.reader([line.removeprefix("\ufeff")], delimiter=DELIMITER), [])
+    own = {c.lower(): c for c in spec.columns}
+    names = [own.get(n.lower(), n) for n in names]
+    low = [n.lower() for n in names]
+    bad = (not set(own) <= set(low) or len(set(low)) < len(low) or "" in low
+           or any(n in RESERVED for n in low))
+    return None if bad else names
+
+
+def read_objects(spark: SparkSession, drop_dir: str, objects: list[str], columns: list[str],
+                 malformed: bool = False) -> DataFrame:
+    """Rows of objects that all have these columns in this order, with their object's
+    name; the reader checks each file's header. ``malformed`` adds the text of lines
+    with missing or surplus fields."""
+    names = [*columns, *([_CORRUPT] if malformed else [])]
+    reader = csv_reader(spark, T.StructType([T.StructField(c, T.StringType()) for c in names]))
+    if malformed:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
     out = None
-    for name, bit in _dataset_bits().items():
-        out = (F.when(dataset == name, F.lit(bit).cast("long")) if out is None
-               else out.when(dataset == name, F.lit(bit).cast("long")))
+    for batch in _batches(objects):
+        part = (reader.option("recursiveFileLookup", "true").load(_paths(drop_dir, batch))
+                .withColumn("object", object_name(source_file(), drop_dir)))
+        out = part if out is None else out.unionByName(part)
     return out
 
 
-def quality(spark: SparkSession, drop_dir: str) -> DataFrame:
-    """Per object of a known dataset: data rows, long rows (surplus fields),
-    short rows (missing fields) and files without the dataset's header line,
-    from one text scan of the whole drop folder.
+def quality(spark: SparkSession, drop_dir: str, objects: list[str], columns: list[str]) -> DataFrame:
+    """Per object: data rows, long rows (surplus fields) and short rows (missing fields),
+    as Spark's CSV parser sees them. Only counts are aggregated, so a huge object is no
+    hot spot and no line is sorted.
 
-    Blank lines are skipped and each file has one header line, as the CSV
-    reader expects. Lines are first counted per (file, field count) with
-    aggregates whose buffers are fixed-width (counts and a bit set of header
-    kinds seen), so every task pre-aggregates in a hash map — one huge file is
-    no hot spot and no line is sorted — and only that small table is mapped to
-    objects and datasets.
+    A malformed line is short if it parses with fewer columns, else long.
+    """
+    line = F.col(_CORRUPT)
+    options = {"delimiter": DELIMITER, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"}
+    short = F.lit(False)
+    for n in range(1, len(columns)):
+        schema = ", ".join([*(f"c{i} string" for i in range(n)), "bad string"])
+        short = short | F.from_csv(line, schema, options)["bad"].isNull()
+    rows = read_objects(spark, drop_dir, objects, columns, malformed=True)
+    kind = F.when(line.isNull(), 0).when(short, 1).otherwise(2)
+    # Looks at all columns, so none is pruned from the parser's check of a line's length.
+    filled = sum((F.col(quoted(c)).isNotNull().cast("int") for c in columns), F.lit(0))
+    return (rows.select("object", kind.alias("kind"), filled.alias("filled")).groupBy("object")
+            .agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("kind") == 2).alias("long_rows"),
+                 F.count_if(F.col("kind") == 1).alias("short_rows"), F.sum("filled").alias("filled_fields")))
+
+
+_REPORT = T.StructType([
+    T.StructField("object", T.StringType()), T.StructField("rows", T.LongType()),
+    T.StructField("long_rows", T.LongType()), T.StructField("short_rows", T.LongType()),
+    T.StructField("columns", T.ArrayType(T.StringType())), T.StructField("status", T.StringType())])
+
+
+def _examined(spark: SparkSession, drop_dir: str, objects: dict[str, str]) -> list[tuple]:
+    """(object, rows, long_rows, short_rows, columns, status) of objects by dataset."""
+    failed: dict[str, Exception] = {}
+
+    def headers(names: list[str]) -> dict[str, list[str]]:
+        found: dict[str, list[str]] = {}
+        for r in header_lines(spark, drop_dir, names).collect():
+            found.setdefault(r.object, []).append(r.header)
+        return found
+
+    lines: dict[str, list[str]] = {}
+    for batch in _batches(sorted(objects)):
+        lines.update(_isolated(batch, headers, failed))
+    columns: dict[str, list[str]] = {}
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for name, dataset in objects.items():
+        found = [header_columns(line, DATASETS[dataset]) for line in lines.get(name, [])]
+        if found and None not in found and all(f == found[0] for f in found):
+            columns[name] = found[0]
+            groups.setdefault(tuple(found[0]), []).append(name)
+    without = [n for n in objects if n not in columns and n not in failed]
+
+    def blank(names: list[str]) -> dict[str, bool]:
+        text = spark.read.option("recursiveFileLookup", "true").text(_paths(drop_dir, names))
+        seen = (text.where(F.trim("value") != "").select(object_name(source_file(), drop_dir).alias("object"))
+                .distinct().collect())
+        return {r.object: True for r in seen}
+
+    filled = _isolated(without, blank, failed) if without else {}
+    counts: dict[str, tuple] = {}
+
+    def count(names: list[str], of: tuple[str, ...]) -> dict[str, tuple]:
+        return {r.object: (r.rows, r.long_rows, r.short_rows)
+                for r in quality(spark, drop_dir, names, list(of)).collect()}
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        jobs = [(batch, of) for of, names in groups.items() for batch in _batches(names)]
+        for done in pool.map(lambda j: _isolated(j[0], lambda names: count(names, j[1]), failed), jobs):
+            counts.update(done)
+
+    def outcome(name: str) -> tuple:
+        if name in failed:
+            bad_header = "CSV header" in str(failed[name])
+            return name, None, None, None, None, REJECTED_HEADER if bad_header else REJECTED_UNREADABLE
+        if name not in columns:
+            return name, None, None, None, None, REJECTED_HEADER if name in filled else REJECTED_UNREADABLE
+        rows, long_rows, short_rows = counts.get(name, (0, 0, 0))
+        return name, rows, long_rows, short_rows, columns[name], REJECTED_MALFORMED if long_rows else OK
+
+    return [outcome(name) for name in objects]
+
+
+def landing_report(spark: SparkSession, drop_dir: str, batch: BatchDate | None = None) -> DataFrame:
+    """Manifest of a drop folder: routing, quality counts, columns and final status.
+
+    With ``batch`` only objects of that date are read; the others are skipped. One row
+    per object reaches the driver, as in any file listing.
     """
-    lines = (spark.read.option("recursiveFileLookup", "true").text(drop_dir)
-             .where(F.col("value") != "")
-             .select(source_file().alias("file"),
-                     field_count(F.col("value")).alias("fields"),
-                     header_code(F.col("value")).alias("header_bits")))
-    per_file_width = (lines.groupBy("file", "fields")
-                      .agg(F.count(F.lit(1)).alias("lines"),
-                           F.bit_or("header_bits").alias("header_bits")))
-    n = F.col("n")
-    per_file = (per_file_width
-                .withColumn("object", object_name(F.col("file"), drop_dir))
-                .withColumn("dataset", dataset_token(F.col("object")))
-                .withColumn("n", expected_fields(F.col("dataset")))
-                .where(n.isNotNull())
-                .groupBy("object", "dataset", "file")
-                .agg(F.sum("lines").alias("lines"),
-                     F.sum(F.when(F.col("fields") > n, F.col("lines")).otherwise(0))
-                      .alias("long_rows"),
-                     F.sum(F.when(F.col("fields") < n, F.col("lines")).otherwise(0))
-                      .alias("short_rows"),
-                     F.bit_or("header_bits").alias("header_bits")))
-    header_ok = (F.col("header_bits").bitwiseAND(dataset_bit(F.col("dataset")))) != 0
-    return (per_file.groupBy("object")
-            .agg((F.sum("lines") - F.count(F.lit(1))).alias("rows"),
-                 F.sum("long_rows").alias("long_rows"),
-                 F.sum("short_rows").alias("short_rows"),
-                 F.sum((~header_ok).cast("long")).alias("bad_headers")))
-
-
-def landing_report(spark: SparkSession, drop_dir: str) -> DataFrame:
-    """Manifest of a drop folder: routing, quality counts and final status."""
-    routed = route(list_drop(spark, drop_dir))
-    report = routed.join(quality(spark, drop_dir), "object", "left")
+    day = F.to_date(F.lit(batch.text), "yyyyMMdd") if batch is not None else F.col("batch_date")
     status = (F.when(F.col("name_status") != OK, F.col("name_status"))
-               # Bytes but not one line counted: nothing the reader could use.
-               .when(F.col("rows").isNull() & (F.col("bytes") > 0), F.lit(REJECTED_UNREADABLE))
-               .when(F.coalesce(F.col("bad_headers"), F.lit(0)) > 0, F.lit(REJECTED_HEADER))
-               .when(F.coalesce(F.col("long_rows"), F.lit(0)) > 0, F.lit(REJECTED_MALFORMED))
-               .otherwise(F.lit(OK)))
-    return report.withColumn("status", status).drop("name_status", "bad_headers")
-
-
-def _dated(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """Spec columns plus the date folders taken from each row's object name."""
-    day = parse_batch_date(date_token(F.col("object")))
-    return (rows.where(day.isNotNull())
-            .select(*spec.columns,
-                    F.date_format(day, "yyyy").alias("year"),
-                    F.date_format(day, "MM").alias("month"),
-                    F.date_format(day, "dd").alias("day")))
-
+               .when(F.col("batch_date") != day, F.lit(SKIPPED_DATE))
+               .when(F.col("bytes") == 0, F.lit(REJECTED_EMPTY)).otherwise(F.lit(OK)))
+    routed = route(list_drop(spark, drop_dir)).withColumn("name_status", status)
+    listed = routed.select("object", "dataset", "batch_date", "destination", "n_files", "bytes", "name_status")
+    rows = listed.collect()
+    found = _examined(spark, drop_dir, {r.object: r.dataset for r in rows if r.name_status == OK})
+    listed = spark.createDataFrame(rows, listed.schema)
+    return (listed.join(spark.createDataFrame(found, _REPORT), "object", "left")
+            .withColumn("status", F.coalesce("status", "name_status")).drop("name_status"))
+
+
+def write_objects(rows: DataFrame, zone: Zone, spec: TableSpec, landing: str) -> None:
+    """Write rows with ``object`` and date columns into the objects' folders of a landing."""
+    (rows.withColumn("landing", F.lit(landing)).write.mode("append")
+     .partitionBy(*PARTITION_COLUMNS, "object", "landing")
+     .option("header", "true").option("delimiter", DELIMITER)
+     .csv(zone.raw_dataset_path(spec)))
 
-def refuse_taken_days(spark: SparkSession, report: DataFrame, zone: Zone) -> DataFrame:
-    """Refuse objects whose day holds rows of an object that is not in this drop.
 
-    A landed day replaces its folder, so landing such an object would erase those
-    rows; it is reported instead and the day stays as it is. What a day holds is read
-    from the landing logs (one row per object).
-    """
-    try:
-        logs = spark.read.parquet(f"{zone.raw_root.rstrip('/')}/_landing/*")
-    except AnalysisException:  # no log yet: the zone's first landing
-        return report
-    newest = Window.partitionBy("destination").orderBy(F.col("landed_at").desc())
-    held = (logs.where(F.col("status") == OK).withColumn("_n", F.dense_rank().over(newest))
-            .where("_n = 1").select("destination", F.col("object").alias("_held")))
-    here = report.where(F.col("status") == OK).select(
-        "destination", F.col("object").alias("_held"))
-    missing = (held.join(here, ["destination", "_held"], "left_anti")
-               .select("destination", F.lit(True).alias("_taken")).distinct())
-    return (report.join(missing, "destination", "left")
-            .withColumn("status", F.when((F.col("status") == OK) & F.col("_taken").isNotNull(),
-                                         F.lit(REJECTED_DAY_TAKEN)).otherwise(F.col("status")))
-            .select(*report.columns))
-
-
-def save_report(spark: SparkSession, report: DataFrame, zone: Zone) -> DataFrame:
-    """Write the report once as a landing log under the raw root and read it back.
-
-    Every later decision reads this small table instead of listing and
-    scanning the drop folder again; it also records what landed and why
-    anything was rejected.
-    """
-    path = f"{zone.raw_root.rstrip('/')}/_landing/{uuid.uuid4().hex}"
-    report.withColumn("landed_at", F.current_timestamp()).write.parquet(path)
-    return spark.read.parquet(path).drop("landed_at")
+def quarantine(spark: SparkSession, drop_dir: str, report: DataFrame, zone: Zone, landing: str) -> None:
+    """Keep rejected objects: a row with the reason for each, and the lines of those that
+    have any and can be read."""
+    root = f"{zone.raw_root.rstrip('/')}/_quarantine/landing={landing}"
+    rejected = report.where(F.col("status").startswith("rejected"))
+    rejected.select("object", "status", "n_files", "bytes").coalesce(1).write.parquet(f"{root}/objects")
+    names = [r.object for r in rejected.where(
+        (F.col("bytes") > 0) & (F.col("status") != REJECTED_UNREADABLE)).select("object").collect()]
+    for i, batch in enumerate(_batches(names)):
+        (spark.read.option("recursiveFileLookup", "true").text(_paths(drop_dir, batch))
+         .select("value", object_name(source_file(), drop_dir).alias("object"))
+         .write.partitionBy("object").text(f"{root}/lines/{i}"))
 
 
-def _write_dataset(rows: DataFrame, zone: Zone, spec: TableSpec) -> None:
-    (rows.write
-     .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*PARTITION_COLUMNS)
-     .option("header", "true").option("delimiter", DELIMITER)
-     .csv(zone.raw_dataset_path(spec)))
+def scan_quarantine(spark: SparkSession, zone: Zone) -> DataFrame:
+    """Every rejected object with its reason: landing, object, status, n_files, bytes."""
+    return spark.read.option("basePath", f"{zone.raw_root.rstrip('/')}/_quarantine").parquet(
+        f"{zone.raw_root.rstrip('/')}/_quarantine/landing=*/objects").select(
+        "landing", "object", "status", "n_files", "bytes")
 
 
 def land(spark: SparkSession, drop_dir: str, zone: Zone,
          report: DataFrame | None = None) -> DataFrame:
-    """Land every accepted object of a drop folder; returns the saved report.
+    """Land every accepted object of a drop folder; returns the report.
 
-    One distributed write per dataset (run side by side); each landed day
-    replaces its folder, so landing a drop twice gives the same raw zone. A
-    dataset whose write fails does not stop the others; the failure is raised
-    once all have finished.
+    Data first, one write per dataset and set of columns (datasets side by side; one
+    landing of a zone runs at a time); then the manifest rows of what was written whole. Landing an object again replaces what its
+    name held, also by nothing. A write that fails leaves no manifest row, so its
+    objects can land later; it does not stop the others and is raised at the end.
     """
     if report is None:
         report = landing_report(spark, drop_dir)
-    report = save_report(spark, refuse_taken_days(spark, report, zone), zone)
-    # One row per drop object: the same order of size as the file listing Spark's own
-    # file index keeps on the driver for the scans below.
-    accepted: dict[str, list[str]] = {}
-    for r in report.where(F.col("status") == OK).select("dataset", "object").toLocalIterator():
-        accepted.setdefault(r.dataset, []).append(r.object)
-    specs = [spec for spec in DATASETS.values() if spec.name in accepted]
-
-    def one(spec: TableSpec) -> None:
-        rows = _dated(read_drop(spark, drop_dir, spec, sorted(accepted[spec.name])), spec)
-        _write_dataset(rows, zone, spec)
-
-    def attempt(spec: TableSpec) -> tuple[str, Exception | None]:
-        try:
-            one(spec)
-            return spec.name, None
-        except Exception as exc:  # noqa: BLE001 - the other datasets still land
-            log.error("landing %s failed: %s", spec.name, exc)
-            return spec.name, exc
-
-    with ThreadPoolExecutor(max_workers=max(1, len(specs))) as pool:
-        failed = [(name, exc) for name, exc in pool.map(attempt, specs) if exc is not None]
-    if failed:
-        names = ", ".join(name for name, _ in failed)
-        raise RuntimeError(f"landing failed for {names}; other datasets landed") from failed[0][1]
+    rows = report.collect()
+    landing, seq = uuid.uuid4().hex, time.time_ns()
+    groups: dict[str, dict[tuple, list]] = {}
+    for r in rows:
+        if r.status == OK:
+            groups.setdefault(r.dataset, {}).setdefault(tuple(r["columns"]), []).append(r)
+
+    def write(dataset: str) -> list[tuple]:
+        # One write of a folder at a time: writers of the same folder share a staging area.
+        out = []
+        for columns, objects in groups[dataset].items():
+            try:
+                _write_group(spark, drop_dir, zone, DATASETS[dataset], list(columns), objects, landing)
+                out.append((dataset, objects, None))
+            except Exception as exc:  # noqa: BLE001 - the others still land
+                log.error("landing %s failed: %s", dataset, exc)
+                out.append((dataset, objects, exc))
+        return out
+
+    with ThreadPoolExecutor(max_workers=max(1, len(groups))) as pool:
+        done = [d for part in pool.map(write, groups) for d in part]
+    failed = {r.object for _, objects, exc in done if exc is not None for r in objects}
+    entries = []
+    for dataset, objects, exc in done:
+        for r in objects if exc is None else ():
+            day = BatchDate(f"{r.batch_date:%Y%m%d}")
+            folder = object_folder(day, r.object, landing) if r.rows else None
+            entries.append((r.object, r["columns"], folder, r.rows, landing, seq, dataset, *day.partition().values()))
+    if entries:
+        commit(spark.createDataFrame(entries, MANIFEST_SCHEMA), zone)
+    report = spark.createDataFrame(rows, report.schema).withColumn(
+        "status", F.when(F.col("object").isin(*failed), FAILED_WRITE).otherwise(F.col("status")) if failed
+        else F.col("status"))
+    quarantine(spark, drop_dir, report, zone, landing)
+    report.coalesce(1).write.parquet(f"{zone.raw_root.rstrip('/')}/_landing/{landing}")
+    errors = [(dataset, exc) for dataset, _, exc in done if exc is not None]
+    if errors:
+        names = ", ".join(sorted({d for d, _ in errors}))
+        raise RuntimeError(f"landing failed for {names}; other datasets landed") from errors[0][1]
     return report
+
+
+def _write_group(spark: SparkSession, drop_dir: str, zone: Zone, spec: TableSpec, columns: list[str],
+                 objects: list, landing: str) -> None:
+    """Write objects with the same columns; as many rows must arrive as were counted."""
+    counted = sum(r.rows for r in objects)
+    if not counted:
+        return
+    day = parse_batch_date(date_token(F.col("object")))
+    arrived = Observation(f"land_{spec.name}_{uuid.uuid4().hex[:8]}")
+    rows = read_objects(spark, drop_dir, sorted(r.object for r in objects), columns).select(
+        *map(quoted, columns), "object", F.date_format(day, "yyyy").alias("year"), F.date_format(day, "MM").alias("month"),
+        F.date_format(day, "dd").alias("day")).observe(arrived, F.count(F.lit(1)).alias("rows"))
+    write_objects(rows, zone, spec, landing)
+    if arrived.get["rows"] != counted:
+        raise RuntimeError(f"{spec.name}: {counted} rows were counted, {arrived.get['rows']} arrived")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import BatchDate
 from ..functions import cast_expr
-from ..spec import KEY_COLUMN, PARTITION_COLUMNS, TableSpec
+from ..spec import KEY_COLUMN, PARTITION_COLUMNS, TableSpec, quoted
 
 
 def cast_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -107,7 +107,7 @@ def curate_frame(raw: DataFrame, spec: TableSpec, batch: BatchDate | None = None
         df = fill_zero(df, c)
     names = {c.lower(): c for c in df.columns}
     ordered = [names[c.lower()] for c in data_cols] + [KEY_COLUMN, *PARTITION_COLUMNS]
-    return df.select(*ordered)
+    return df.select(*map(quoted, ordered))
 
 
 def _quality_metrics(spec: TableSpec) -> list[Column]:

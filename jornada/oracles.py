@@ -98,7 +98,11 @@ SELECT * FROM (VALUES
   ('Customers_20231204.csv',    'Customers', '2023-12-04'),
   ('Customers_20231205.csv',    'Customers', '2023-12-05'),
   ('Customers_20231206.csv',    'Customers', '2023-12-06'),
-  ('Customers_20231207.csv',    'Customers', '2023-12-07')
+  ('Customers_20231207.csv',    'Customers', '2023-12-07'),
+  ('Customers_20231208.csv',    'Customers', '2023-12-08'),
+  ('Customers_20231209.csv',    'Customers', '2023-12-09'),
+  ('Customers_20231210.csv',    'Customers', '2023-12-10'),
+  ('Customers_20231211.csv',    'Customers', '2023-12-11')
 ) v(object, dataset, batch_date)"""
 
 _QUALITY = """
@@ -109,23 +113,23 @@ SELECT 'Transactions_' || strftime(ts, '%Y%m%d') || '.csv' AS object, count(*) A
        CAST(0 AS BIGINT) AS long_rows, CAST(0 AS BIGINT) AS short_rows, 'ok' AS status
 FROM events GROUP BY 1
 UNION ALL
-SELECT o, sup.n, 0, 0, s FROM sup, (VALUES
-  ('Providers_20231204.csv', 'ok'), ('Providers_20231204_v2.csv', 'ok'),
-  ('Providers_20231304.csv', 'rejected_name'), ('Providers_20230229.csv', 'rejected_name'),
-  ('Providers_2023124.csv', 'rejected_name')) v(o, s)
-UNION ALL
-SELECT 'bad.csv', NULL, NULL, NULL, 'rejected_name'
+SELECT o, sup.n, 0, 0, 'ok' FROM sup, (VALUES
+  ('Providers_20231204.csv'), ('Providers_20231204_v2.csv')) v(o)
 UNION ALL
-SELECT 'Ventas_20231204.csv', NULL, NULL, NULL, 'rejected_dataset'
+SELECT o, NULL, NULL, NULL, s FROM (VALUES
+  ('Providers_20231304.csv', 'rejected_name'), ('Providers_20230229.csv', 'rejected_name'),
+  ('Providers_2023124.csv', 'rejected_name'), ('bad.csv', 'rejected_name'),
+  ('Ventas_20231204.csv', 'rejected_dataset'), ('Customers_20231208.csv', 'rejected_header'),
+  ('Customers_20231211.csv', 'rejected_empty')) v(o, s)
 UNION ALL
-SELECT 'Customers_20231204.csv', cus.n, 0, 0, 'ok' FROM cus
+SELECT o, cus.n, 0, 0, 'ok' FROM cus, (VALUES
+  ('Customers_20231204.csv'), ('Customers_20231207.csv'), ('Customers_20231209.csv'),
+  ('Customers_20231210.csv')) v(o)
 UNION ALL
 SELECT 'Customers_20231205.csv', cus.n, neg.n, 0,
        CASE WHEN neg.n > 0 THEN 'rejected_malformed' ELSE 'ok' END FROM cus, neg
 UNION ALL
-SELECT 'Customers_20231206.csv', cus.n, 0, neg.n, 'ok' FROM cus, neg
-UNION ALL
-SELECT 'Customers_20231207.csv', cus.n, 0, 0, 'rejected_header' FROM cus"""
+SELECT 'Customers_20231206.csv', cus.n, 0, neg.n, 'ok' FROM cus, neg"""
 
 ORACLE_SQL: dict[str, str] = {
     "query_hydro_sales": _HYDRO.format(inner=_CURATED_TX),
@@ -175,18 +179,34 @@ ORACLE_SQL: dict[str, str] = {
     "landing_route": f"""
 SELECT object, dataset,
        dataset || '/year=' || substr(batch_date, 1, 4) || '/month=' || substr(batch_date, 6, 2)
-         || '/day=' || substr(batch_date, 9, 2) AS destination
+         || '/day=' || substr(batch_date, 9, 2) || '/object=' || object AS destination
 FROM ({_EVENT_OBJECTS} UNION ALL {_NAMED_OBJECTS}) o
 WHERE object IN (SELECT object FROM ({_QUALITY}) q WHERE status = 'ok')""",
     "landing_quality": _QUALITY,
-    "landing_write": """
-WITH neg AS (SELECT count(*) AS n FROM customer WHERE c_acctbal < 0)
-SELECT 'Transactions' AS dataset, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
-       strftime(ts, '%d') AS day, count(*) AS n_rows
-FROM events GROUP BY 2, 3, 4
-UNION ALL SELECT 'Providers', '2023', '12', '04', 2 * count(*) FROM supplier
-UNION ALL SELECT 'Customers', '2023', '12', '04', count(*) FROM customer
-UNION ALL SELECT 'Customers', '2023', '12', '05', count(*) FROM customer, neg WHERE neg.n = 0
-  HAVING count(*) > 0
-UNION ALL SELECT 'Customers', '2023', '12', '06', count(*) FROM customer""",
+    "landing_write": f"""
+SELECT dataset, q.object, substr(batch_date, 1, 4) AS year, substr(batch_date, 6, 2) AS month,
+       substr(batch_date, 9, 2) AS day, rows AS n_rows
+FROM ({_QUALITY}) q JOIN ({_EVENT_OBJECTS} UNION ALL {_NAMED_OBJECTS}) o ON o.object = q.object
+WHERE status = 'ok' AND rows > 0""",
+    "landing_quarantine": f"""
+SELECT object, status, status <> 'rejected_empty' AS has_bytes FROM ({_QUALITY}) q WHERE status <> 'ok'""",
+    "landing_two_drops": f"""
+WITH p AS ({_RAW_PROVIDERS})
+SELECT o AS object, (SELECT count(*) FROM p WHERE e IS NULL OR tipo_energia = e) AS n_rows,
+       (SELECT count(*) FROM p) AS curated_rows
+FROM (VALUES ('Providers_20231204.csv', NULL), ('Providers_20231204_v2.csv', 'solar'),
+             ('Providers_20231205.csv', 'eolica')) v(o, e)
+WHERE n_rows > 0""",
+    "landing_reland_empty": """
+SELECT 'Providers_20231205.csv' AS object, '2023' AS year, '12' AS month, '05' AS day,
+       count(*) AS n_rows, count(*) AS curated_rows FROM supplier""",
+    "curate_extra_column": f"""
+SELECT tipo_identificacion, identificacion, upper(nombre) AS nombre, ciudad, NULL::VARCHAR AS "Pais",
+       '2023' AS year, '12' AS month, '07' AS day FROM ({_RAW_CUSTOMERS}) t
+UNION ALL
+SELECT CASE c_custkey % 2 WHEN 0 THEN 'CC' ELSE 'NIT' END, CAST(c_custkey AS VARCHAR), upper(c_name), c_mktsegment,
+       CAST(c_nationkey AS VARCHAR), '2023', '12', '09' FROM customer""",
+    "replace_empty_range": "SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, "
+                           "strftime(ts, '%d') AS day, count(*) AS n_rows FROM events "
+                           "WHERE extract(day FROM ts) % 2 = 0 GROUP BY 1, 2, 3",
 }

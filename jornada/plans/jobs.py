@@ -11,14 +11,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
-
 from ..config import BatchDate, Zone, table_options
 from ..operators.landing import land, landing_report
 from ..operators.transforms import curate_frame
-from ..sinks.curated import clear_days, clustered, sync_catalog, write_batch
-from ..sources.raw import scan_raw, scan_raw_backfill, scan_raw_day
-from ..spec import DATASETS, TableSpec
+from ..sinks.curated import (clear_unwritten, clustered, curated_days, file_days, sync_catalog,
+                             write_batch)
+from ..sources.raw import (range_folders, scan_legacy_backfill, scan_raw, scan_raw_backfill,
+                           scan_raw_day)
+from ..spec import DATASETS, KEY_COLUMN, PARTITION_COLUMNS, TableSpec
 
 log = logging.getLogger(__name__)
 
@@ -39,27 +39,38 @@ class CurateResult:
 
 def _run(spark: SparkSession, raw: DataFrame, spec: TableSpec, batch: BatchDate | None,
          zone: Zone, fmt: str, rerun: str, sync: bool, label: str,
-         batches: list[BatchDate] | None) -> CurateResult:
+         batches: list[BatchDate], start: BatchDate | None, end: BatchDate | None) -> CurateResult:
+    """Curate and write; ``replace`` covers every date from ``start`` to ``end`` (open: all),
+    so dates in it without rows are emptied. ``batches`` are the partitions to register."""
     obs = Observation(f"curate_{spec.name}_{label}_{uuid.uuid4().hex[:8]}")
     curated = clustered(curate_frame(raw, spec, batch, observation=obs), spec)
     path = zone.curated_path(spec)
     options = table_options(zone.database, spec.table) if fmt == "hudi" else None
+    covered = range_folders(path, start, end)
+    before = curated_days(spark, spec, covered) if rerun == "replace" and fmt == "parquet" else {}
     try:
         write_batch(curated, path, fmt=fmt, rerun=rerun, options=options)
     except Exception as exc:
         raise RuntimeError(f"writing {spec.name} for {label} to {path} failed") from exc
     result = CurateResult(spec.name, path, dict(obs.get))
-    if result.rows == 0 and rerun == "replace" and batches:
-        clear_days(spark, spec, path, batches)
-        log.info("empty batch for %s %s: its dates cleared", spec.name, label)
-    elif result.rows == 0:
+    if before:
+        cleared = clear_unwritten(spark, spec, path, covered, before)
+        log.info("%s %s: dates without rows cleared: %s", spec.name, label, [d.text for d in cleared])
+    if result.rows == 0:
         log.info("empty batch for %s %s: nothing written", spec.name, label)
     elif sync and fmt == "parquet":
-        result.table = sync_catalog(spark, zone.database, spec, path, batches)
+        extra = extra_columns(curated, spec)
+        result.table = sync_catalog(spark, zone.database, spec, path, batches, **({"extra": extra} if extra else {}))
     log.info("curated %s %s: %s", spec.name, label, result.metrics)
     return result
 
 
+def extra_columns(curated: DataFrame, spec: TableSpec) -> tuple[str, ...]:
+    """Columns of a curated frame that the spec doesn't name: they pass through as text."""
+    own = {c.lower() for c in (*spec.columns, KEY_COLUMN, *PARTITION_COLUMNS)}
+    return tuple(c for c in curated.columns if c.lower() not in own)
+
+
 def curate(spark: SparkSession, spec: TableSpec, batch: BatchDate | str, zone: Zone,
            fmt: str = "parquet", rerun: str = "append", sync: bool = True,
            raw_path: str | list[str] | None = None, per_file: bool = False) -> CurateResult:
@@ -74,7 +85,7 @@ def curate(spark: SparkSession, spec: TableSpec, batch: BatchDate | str, zone: Z
     if per_file and not raw_path:
         raw_path = zone.legacy_raw_file(spec, batch)
     raw = scan_raw(spark, raw_path) if raw_path else scan_raw_day(spark, zone, spec, batch)
-    return _run(spark, raw, spec, batch, zone, fmt, rerun, sync, batch.text, [batch])
+    return _run(spark, raw, spec, batch, zone, fmt, rerun, sync, batch.text, [batch], batch, batch)
 
 
 def curate_all(spark: SparkSession, batch: BatchDate | str, zone: Zone,
@@ -109,28 +120,29 @@ def curate_all(spark: SparkSession, batch: BatchDate | str, zone: Zone,
 def curate_backfill(spark: SparkSession, spec: TableSpec, zone: Zone,
                     start: BatchDate | str | None = None, end: BatchDate | str | None = None,
                     fmt: str = "parquet", rerun: str = "append",
-                    sync: bool = True) -> CurateResult:
+                    sync: bool = True, per_file: bool = False) -> CurateResult:
     """Curate every raw day of a dataset in a date range in one job.
 
+    ``per_file`` reads the layout of one file a day. ``rerun="replace"`` empties the dates
+    of the range that have no raw rows, too. Only the dates read are registered.
+
     No shuffle: each task writes the dates of its own input (small day folders are
     packed several to a task), and a day holding most of the rows is simply spread
     over more tasks.
     """
     start = BatchDate(start) if isinstance(start, str) else start
     end = BatchDate(end) if isinstance(end, str) else end
-    raw = scan_raw_backfill(spark, zone, spec, start, end)
+    raw = (scan_legacy_backfill(spark, zone.raw_root, spec, start, end) if per_file
+           else scan_raw_backfill(spark, zone, spec, start, end))
     label = f"{start or 'begin'}-{end or 'end'}"
-    return _run(spark, raw, spec, None, zone, fmt, rerun, sync, label, None)
+    # The listing that the scan has made anyway names the dates; no job runs for it.
+    days = [BatchDate(d) for d in sorted(file_days(raw.inputFiles()))
+            if (start is None or d >= start.text) and (end is None or d <= end.text)]
+    return _run(spark, raw, spec, None, zone, fmt, rerun, sync, label, days, start, end)
 
 
 def land_drop(spark: SparkSession, drop_dir: str, zone: Zone,
               batch: BatchDate | str | None = None) -> DataFrame:
     """Land a drop folder (all dates, or only objects of ``batch``); returns the report."""
-    report = landing_report(spark, drop_dir)
-    if batch is not None:
-        batch = batch if isinstance(batch, BatchDate) else BatchDate(batch)
-        day = F.to_date(F.lit(batch.text), "yyyyMMdd")
-        report = report.withColumn(
-            "status", F.when(F.col("batch_date") == day, F.col("status"))
-                       .otherwise(F.lit("skipped_other_date")))
-    return land(spark, drop_dir, zone, report)
+    batch = BatchDate(batch) if isinstance(batch, str) else batch
+    return land(spark, drop_dir, zone, landing_report(spark, drop_dir, batch))

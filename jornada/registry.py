@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from . import fixtures as fx
 from .config import BatchDate, Zone
+from .operators.landing import scan_quarantine
 from .operators import (add_partition_columns, cast_columns, fill_zero, landing_report,
                         list_drop, route, row_key, upper_column)
 from .operators.filters import all_of, energy_is, kind_is, price_above
@@ -213,7 +214,8 @@ def q_query_hydro_sales(spark, sf_dir):
 
 def q_query_hydro_sales_day(spark, sf_dir):
     zone, result = curated_months(spark, sf_dir)
-    return hydro_sales(scan_curated(spark, result.path, TRANSACTIONS), day=MONTH_QUERIED)
+    day = scan_curated(spark, result.path, TRANSACTIONS, days=[MONTH_QUERIED])
+    return hydro_sales(day, day=MONTH_QUERIED)
 
 
 def q_partitioned_write(spark, sf_dir):
@@ -320,16 +322,78 @@ def q_landing_quality(spark, sf_dir):
     return _report(spark, sf_dir).select("object", "rows", "long_rows", "short_rows", "status")
 
 
+def _object_counts(spark, zone, spec):
+    return (scan_raw_backfill(spark, zone, spec, every_object=True)
+            .groupBy("object", *PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("n_rows"))
+            .withColumn("dataset", F.lit(spec.name)).select("dataset", "object", *PARTITION_COLUMNS, "n_rows"))
+
+
 def q_landing_write(spark, sf_dir):
+    """Rows that each landed object holds in the raw zone."""
     zone, report = landed(spark, sf_dir)
-    parts = [scan_raw_backfill(spark, zone, spec)
-             .groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("n_rows"))
-             .withColumn("dataset", F.lit(spec.name))
-             for spec in DATASETS.values()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("dataset", *PARTITION_COLUMNS, "n_rows")
+    out = None
+    for spec in DATASETS.values():
+        part = _object_counts(spark, zone, spec)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_landing_quarantine(spark, sf_dir):
+    """Rejected objects, the empty one among them, with reason and kept lines."""
+    zone, report = landed(spark, sf_dir)
+    return scan_quarantine(spark, zone).select("object", "status", (F.col("bytes") > 0).alias("has_bytes"))
+
+
+def _land_providers(spark, sf_dir, zone, objects: dict):
+    drop = f"{scratch_dir(spark, 'drop')}/drop"
+    for name, keep in objects.items():
+        fx.stage_object(fx.raw_providers(spark, sf_dir).where(keep), drop, name)
+    return land_drop(spark, drop, zone)
+
+
+def q_landing_two_drops(spark, sf_dir):
+    """A second object for a landed day is kept beside the first, and so is a repeated
+    drop; curation reads the day's own file only."""
+    zone = _zone(spark, "two_drops", sf_dir)
+    for objects in ({"Providers_20231204.csv": "true"}, {"Providers_20231204_v2.csv": "tipo_energia = 'solar'"},
+                    {"Providers_20231204.csv": "true", "Providers_20231205.csv": "tipo_energia = 'eolica'"}):
+        _land_providers(spark, sf_dir, zone, objects)
+    result = curate(spark, PROVIDERS, DAY, zone, sync=False)
+    return _object_counts(spark, zone, PROVIDERS).select(
+        "object", "n_rows", F.lit(result.rows).cast("long").alias("curated_rows"))
+
+
+def q_landing_reland_empty(spark, sf_dir):
+    """An object landed again without rows holds none; other days stay. Replacing the
+    range empties the curated day."""
+    zone = _zone(spark, "reland", sf_dir)
+    _land_providers(spark, sf_dir, zone, {"Providers_20231204.csv": "true", "Providers_20231205.csv": "true"})
+    curate_backfill(spark, PROVIDERS, zone, sync=False)
+    _land_providers(spark, sf_dir, zone, {"Providers_20231204.csv": "false"})
+    curate_backfill(spark, PROVIDERS, zone, DAY, BatchDate("20231231"), rerun="replace", sync=False)
+    curated = _day_counts(scan_curated(spark, zone.curated_path(PROVIDERS), PROVIDERS), "curated_rows")
+    return _object_counts(spark, zone, PROVIDERS).join(curated, list(PARTITION_COLUMNS), "full").select(
+        "object", *PARTITION_COLUMNS, "n_rows", "curated_rows")
+
+
+def q_curate_extra_column(spark, sf_dir):
+    """Objects with their columns in another order, and with a further one, curated by name."""
+    zone, report = landed(spark, sf_dir)
+    target = Zone(zone.raw_root, _zone(spark, "extra", sf_dir).curated_root, zone.env)
+    for day in ("20231207", "20231209"):
+        curate(spark, CUSTOMERS, day, target, sync=False)
+    return scan_curated(spark, target.curated_path(CUSTOMERS), CUSTOMERS, extra=("Pais",)).drop(KEY_COLUMN)
+
+
+def q_replace_empty_range(spark, sf_dir):
+    """All days curated, then the range replaced from a raw zone that lacks every other day."""
+    zone = backfill_zone(spark, sf_dir)
+    half = _zone(spark, "half", sf_dir)
+    target = Zone(zone.raw_root, half.curated_root, zone.env)
+    curate_backfill(spark, TRANSACTIONS, target, sync=False)
+    fx.stage_raw_zone(fx.dated_transactions(spark, sf_dir).where("cast(day as int) % 2 = 0"), half, TRANSACTIONS)
+    curate_backfill(spark, TRANSACTIONS, half, "20200101", "20291231", rerun="replace", sync=False)
+    return _day_counts(scan_curated(spark, half.curated_path(TRANSACTIONS), TRANSACTIONS), "n_rows")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -361,4 +425,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_route": q_landing_route,
     "landing_quality": q_landing_quality,
     "landing_write": q_landing_write,
+    "landing_quarantine": q_landing_quarantine,
+    "landing_two_drops": q_landing_two_drops,
+    "landing_reland_empty": q_landing_reland_empty,
+    "curate_extra_column": q_curate_extra_column,
+    "replace_empty_range": q_replace_empty_range,
 }

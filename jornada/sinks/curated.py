@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..config import BatchDate, table_options
-from ..spec import PARTITION_COLUMNS, TableSpec
+from ..config import BatchDate
+from ..sources.manifest import load_if_there
+from ..spec import PARTITION_COLUMNS, TableSpec, quoted
 
 RERUN_MODES = ("append", "replace")
 
@@ -48,6 +51,35 @@ def clear_days(spark: SparkSession, spec: TableSpec, path: str, batches: list[Ba
         none.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{day}")
 
 
+def file_days(files: list[str]) -> dict[str, set[str]]:
+    """Files by the date (``yyyyMMdd``) of their folder, in either raw layout or curated."""
+    out: dict[str, set[str]] = {}
+    for f in files:
+        m = re.search(r"/year=([0-9]{4})/month=([0-9]{2})/day=([0-9]{2})/|/([0-9]{4})/([0-9]{2})/([0-9]{2})/[^/]+\.csv", f)
+        if m:
+            out.setdefault("".join(g for g in m.groups() if g), set()).add(f)
+    return out
+
+
+def curated_days(spark: SparkSession, spec: TableSpec, pattern: str) -> dict[str, set[str]]:
+    """Files of the curated date folders that a path pattern names, by date."""
+    df = load_if_there(lambda: spark.read.schema(spec.curated_schema()).parquet(pattern))
+    return {} if df is None else file_days(df.inputFiles())
+
+
+def clear_unwritten(spark: SparkSession, spec: TableSpec, path: str, pattern: str,
+                    before: dict[str, set[str]]) -> list[BatchDate]:
+    """Empty the dates of a replaced range that the write left as they were.
+
+    ``before`` are the files of :func:`curated_days` before the write. A date that keeps
+    one of them had no row in the batch.
+    """
+    after = curated_days(spark, spec, pattern)
+    stale = [BatchDate(d) for d in sorted(before) if before[d] & after.get(d, set())]
+    clear_days(spark, spec, path, stale)
+    return stale
+
+
 def clustered(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Sort each task's rows by date, then by the spec's cluster columns.
 
@@ -78,21 +110,18 @@ def _norm(path: str) -> str:
     return path.rstrip("/")
 
 
-def quoted(identifier: str) -> str:
-    return "`" + identifier.replace("`", "``") + "`"
-
-
 def qualified_name(database: str, spec: TableSpec) -> str:
     """Quoted catalog name of a curated table."""
     return f"{quoted(database)}.{quoted(spec.table)}"
 
 
 def sync_catalog(spark: SparkSession, database: str, spec: TableSpec, path: str,
-                 batches: list[BatchDate] | None = None) -> str:
+                 batches: list[BatchDate] | None = None, extra: tuple[str, ...] = ()) -> str:
     """Register the curated folder as an external partitioned table.
 
     With ``batches`` only those date partitions are added (constant work per
-    daily run); without, every date folder under ``path`` is discovered.
+    daily run); without, every date folder under ``path`` is discovered. ``extra`` are
+    text columns beyond the spec's that the table should show.
     Returns the qualified table name.
     """
     name = qualified_name(database, spec)
@@ -106,6 +135,11 @@ def sync_catalog(spark: SparkSession, database: str, spec: TableSpec, path: str,
     registered = table_location(spark, name)
     if registered is not None and _norm(registered) != _norm(path):
         raise ValueError(f"{name} is registered at {registered}, not at {path}")
+    if extra:
+        known = {c.lower() for c in spark.table(name).columns}
+        new = [c for c in extra if c.lower() not in known]
+        if new:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(quoted(c) + ' string' for c in new)})")
     if batches is None:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     elif batches:

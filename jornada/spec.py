@@ -14,6 +14,11 @@ PARTITION_COLUMNS = ("year", "month", "day")
 KEY_COLUMN = "primary_key"
 
 
+def quoted(name: str) -> str:
+    """A name as one SQL identifier, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """What a raw file holds and how its curated table is typed."""

@@ -1,5 +1,5 @@
 """Incremental curation of newly landed raw days (Structured Streaming)."""
 
-from .incremental import changed_days, curate_days, curate_stream
+from .incremental import BatchResult, changed_days, curate_days, curate_stream
 
-__all__ = ["changed_days", "curate_days", "curate_stream"]
+__all__ = ["BatchResult", "changed_days", "curate_days", "curate_stream"]

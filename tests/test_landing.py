@@ -1,11 +1,13 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import write_text
-from jornada.config import Zone
+from jornada.config import BatchDate, Zone
 from jornada.operators.landing import (OK, REJECTED_DATASET, REJECTED_MALFORMED, REJECTED_NAME,
                                        dataset_token, date_token, parse_batch_date)
-from jornada.plans import land_drop
-from jornada.sources import scan_raw_backfill
+from jornada.plans import curate_backfill, land_drop
+from jornada.sources import scan_raw_backfill, scan_raw_day
+from jornada.sources.manifest import has_manifest
 from jornada.spec import PROVIDERS
 
 NAMES = {
@@ -47,7 +49,8 @@ def test_land_drop_end_to_end(spark, workdir):
     assert report["Providers_2023124.csv"].status == REJECTED_NAME
     assert report["Ventas_20231204.csv"].status == REJECTED_DATASET
     assert report["Customers_20231204.csv"].rows == 0
-    assert report["Providers_20231204.csv"].destination == "Providers/year=2023/month=12/day=04"
+    assert report["Providers_20231204.csv"].destination == (
+        "Providers/year=2023/month=12/day=04/object=Providers_20231204.csv")
     landed = scan_raw_backfill(spark, zone, PROVIDERS)
     counts = {r.day: r["count"] for r in landed.groupBy("day").count().collect()}
     assert counts == {"04": 2, "06": 3}
@@ -86,18 +89,151 @@ def test_objects_are_read_in_batches(spark, workdir, monkeypatch):
     assert days == ["04", "06"]
 
 
-def test_second_drop_does_not_erase_the_first(spark, workdir):
-    """Another object for a landed day is refused and reported; the day keeps its rows."""
+def objects_of(spark, zone, spec=PROVIDERS):
+    df = scan_raw_backfill(spark, zone, spec, every_object=True)
+    return {r.object: r["count"] for r in df.groupBy("object").count().collect()}
+
+
+def test_second_object_of_a_day_is_kept_beside_the_first(spark, workdir):
     prov = "nombre_proveedor;tipo_energia\n"
     zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
     write_text(f"{workdir}/a/Providers_20231204.csv", prov + "acme;solar\nbeta;eolica\n")
     write_text(f"{workdir}/b/Providers_20231204_v2.csv", prov + "other;solar\n")
     land_drop(spark, f"{workdir}/a", zone)
-    second = land_drop(spark, f"{workdir}/b", zone).collect()
-    assert [r.status for r in second] == ["rejected_day_taken"]
+    assert [r.status for r in land_drop(spark, f"{workdir}/b", zone).collect()] == [OK]
+    assert objects_of(spark, zone) == {"Providers_20231204.csv": 2, "Providers_20231204_v2.csv": 1}
+    # Curation and backfills read the day's own file.
+    assert scan_raw_day(spark, zone, PROVIDERS, BatchDate("20231204")).count() == 2
     assert scan_raw_backfill(spark, zone, PROVIDERS).count() == 2
-    again = land_drop(spark, f"{workdir}/a", zone).collect()
-    assert [r.status for r in again] == ["ok"]
+    with pytest.raises(FileNotFoundError, match="PATH_NOT_FOUND"):
+        scan_raw_day(spark, zone, PROVIDERS, BatchDate("20231205"))
+
+
+def test_object_landed_again_replaces_only_itself(spark, workdir):
+    prov = "nombre_proveedor;tipo_energia\n"
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur", env="againtest")
+    for drop, body in (("a", "acme;solar\nbeta;eolica\n"), ("b", "")):
+        write_text(f"{workdir}/{drop}/Providers_20231204.csv", prov + body)
+        write_text(f"{workdir}/{drop}/Providers_20231205.csv", prov + "gamma;solar\n")
+        land_drop(spark, f"{workdir}/{drop}", zone)
+        curate_backfill(spark, PROVIDERS, zone, "20231201", "20231231", rerun="replace")
+    assert objects_of(spark, zone) == {"Providers_20231205.csv": 1}
+    table = spark.table(zone.table_name(PROVIDERS))
+    assert [(r.day, r["count"]) for r in table.groupBy("day").count().collect()] == [("05", 1)]
+
+
+def test_failed_write_leaves_no_claim_and_a_retry_lands(spark, workdir, monkeypatch):
+    from jornada.operators import landing
+    prov = "nombre_proveedor;tipo_energia\n"
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
+    write_text(f"{workdir}/a/Providers_20231204.csv", prov + "acme;solar\n")
+    write_text(f"{workdir}/b/Providers_20231204.csv", prov + "acme;solar\nbeta;solar\n")
+    land_drop(spark, f"{workdir}/a", zone)
+    real = landing.write_objects
+
+    def half(rows, *args):
+        real(rows.limit(1), *args)  # data arrive, but not whole
+        raise OSError("disk full")
+    monkeypatch.setattr(landing, "write_objects", half)
+    with pytest.raises(RuntimeError, match="Providers"):
+        land_drop(spark, f"{workdir}/b", zone)
+    assert objects_of(spark, zone) == {"Providers_20231204.csv": 1}
+    logs = spark.read.parquet(f"{zone.raw_root}/_landing/*").groupBy("status").count().collect()
+    assert {r.status: r["count"] for r in logs} == {OK: 1, "failed_write": 1}
+    monkeypatch.setattr(landing, "write_objects", real)
+    land_drop(spark, f"{workdir}/b", zone)
+    assert objects_of(spark, zone) == {"Providers_20231204.csv": 2}
+
+
+def test_rows_lost_between_count_and_write_are_an_error(spark, workdir, monkeypatch):
+    from jornada.operators import landing
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
+    write_text(f"{workdir}/a/Providers_20231204.csv", "nombre_proveedor;tipo_energia\nacme;solar\nb;solar\n")
+    real = landing.read_objects
+    monkeypatch.setattr(landing, "read_objects", lambda spark, drop, names, columns, malformed=False:
+                        real(spark, drop, names, columns, malformed).where(
+                            F.lit(malformed) | (F.col("nombre_proveedor") != "b")))
+    with pytest.raises(RuntimeError, match="Providers"):
+        land_drop(spark, f"{workdir}/a", zone)
+    assert scan_raw_backfill is not None and not has_manifest(spark, zone, PROVIDERS)
+
+
+def test_columns_go_by_name_and_further_ones_pass(spark, workdir):
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur", env="nametest")
+    drop = f"{workdir}/drop"
+    write_text(f"{drop}/Providers_20231201.csv", "tipo_energia;Nombre_Proveedor\nsolar;acme\n")
+    write_text(f"{drop}/Providers_20231202.csv", "nombre_proveedor;Region o.k.;tipo_energia\nbeta;sur;eolica\n")
+    for i, bad in enumerate(("nombre_proveedor;otra", "nombre_proveedor;tipo_energia;day", "nombre_proveedor;tipo_energia;",
+                             "nombre_proveedor;tipo_energia;TIPO_ENERGIA")):
+        write_text(f"{drop}/Providers_2023121{i}.csv", bad + "\na;b;c;d\n")
+    write_text(f"{drop}/Providers_20231215.csv", "x;y\nnombre_proveedor;tipo_energia\n")
+    report = {r.object: r.status for r in land_drop(spark, drop, zone).collect()}
+    assert [report.pop(f"Providers_2023120{i}.csv") for i in (1, 2)] == [OK, OK]
+    assert len(report) == 5 and set(report.values()) == {"rejected_header"}
+    rows = scan_raw_backfill(spark, zone, PROVIDERS)
+    assert rows.columns == ["tipo_energia", "nombre_proveedor", "Region o.k.", "year", "month", "day"]
+    curate_backfill(spark, PROVIDERS, zone)
+    got = spark.table(zone.table_name(PROVIDERS)).select("nombre_proveedor", "tipo_energia", "`Region o.k.`", "day")
+    assert sorted(map(tuple, got.collect())) == [("ACME", "solar", None, "01"), ("BETA", "eolica", "sur", "02")]
+
+
+def test_rows_are_counted_by_the_parser_that_reads_them(spark, workdir):
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
+    drop, head = f"{workdir}/drop", "nombre_proveedor;tipo_energia\n"
+    write_text(f"{drop}/Providers_20231201.csv", head + 'TUBO 5";solar\na \\" b;solar\n   \n"x;y";eolica\n')
+    write_text(f"{drop}/Providers_20231202.csv", head + 'TUBO 5";EXTRA;X 6"\nok;solar\n')
+    write_text(f"{drop}/Providers_20231203.csv", head + "a;b;;\nshort\n")
+    report = {r.object[-6:-4]: (r.rows, r.long_rows, r.short_rows, r.status)
+              for r in land_drop(spark, drop, zone).collect()}
+    assert report == {"01": (3, 0, 0, OK), "02": (2, 1, 0, REJECTED_MALFORMED), "03": (2, 1, 1, REJECTED_MALFORMED)}
+    rows = scan_raw_backfill(spark, zone, PROVIDERS).select(*PROVIDERS.columns).collect()
+    assert {tuple(r) for r in rows} == {('TUBO 5"', "solar"), ('a \\" b', "solar"), ("x;y", "eolica")}
+
+
+def test_rejected_objects_are_kept_with_the_reason(spark, workdir):
+    from jornada.operators.landing import scan_quarantine
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
+    drop = f"{workdir}/drop"
+    write_text(f"{drop}/bad.csv", "a;b\n1;2\n")
+    write_text(f"{drop}/Providers_20231204.csv", "")
+    write_text(f"{drop}/Providers_20231205.csv", "nombre_proveedor;tipo_energia\na;b;c\n")
+    land_drop(spark, drop, zone)
+    kept = {r.object: (r.status, r.bytes) for r in scan_quarantine(spark, zone).collect()}
+    assert kept == {"bad.csv": (REJECTED_NAME, 8), "Providers_20231204.csv": ("rejected_empty", 0),
+                    "Providers_20231205.csv": (REJECTED_MALFORMED, 36)}
+    lines = spark.read.text(f"{zone.raw_root}/_quarantine/*/lines/*").select("value", "object").collect()
+    assert sorted(r.value for r in lines if r.object == "bad.csv") == ["1;2", "a;b"] and len(lines) == 4
+
+
+def test_an_object_that_cannot_be_read_stops_no_other(spark, workdir):
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
+    drop, head = f"{workdir}/drop", "nombre_proveedor;tipo_energia\na;solar\n"
+    for d in (1, 2, 4):
+        write_text(f"{drop}/Providers_2023120{d}.csv", head)
+    write_text(f"{drop}/Providers_20231203.csv.gz", "not gzip at all")
+    report = {r.object: r.status for r in land_drop(spark, drop, zone).collect()}
+    assert report.pop("Providers_20231203.csv.gz") == "rejected_unreadable" and set(report.values()) == {OK}
+    assert scan_raw_backfill(spark, zone, PROVIDERS).count() == 3
+
+
+def test_only_objects_of_the_date_are_scanned(spark, workdir, monkeypatch):
+    from jornada.operators import landing
+    seen = set()
+    real = landing._paths
+
+    def paths(drop_dir, objects):
+        seen.update(objects)
+        return real(drop_dir, objects)
+    monkeypatch.setattr(landing, "_paths", paths)
+    for d in ("01", "02", "03"):
+        write_text(f"{workdir}/drop/Providers_202312{d}.csv", "nombre_proveedor;tipo_energia\na;solar\n")
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
+    report = land_drop(spark, f"{workdir}/drop", zone, batch="20231202").collect()
+    assert sorted(r.status for r in report) == [OK, "skipped_other_date", "skipped_other_date"]
+    assert seen == {"Providers_20231202.csv"}
+    # Reading the day lists its one object's folder.
+    files = scan_raw_day(spark, zone, PROVIDERS, BatchDate("20231202")).inputFiles()
+    assert len(files) == 1 and "/object=Providers_20231202.csv/landing=" in files[0]
 
 
 def test_date_rule_agrees_with_strptime(spark):
@@ -136,7 +272,7 @@ def test_gzip_objects_land(spark, workdir):
     report = land_drop(spark, drop, zone).collect()
     assert [(r.object, r.status, r.rows) for r in report] == [
         ("Providers_20231204.csv.gz", OK, 2)]
-    assert scan_raw_backfill(spark, zone, PROVIDERS).count() == 2
+    assert scan_raw_backfill(spark, zone, PROVIDERS, every_object=True).count() == 2
 
 
 def test_header_must_match_dataset_columns(spark, workdir):
@@ -149,15 +285,15 @@ def test_header_must_match_dataset_columns(spark, workdir):
     write_text(f"{drop}/Providers_20231204.csv", "nombre_proveedor;tipo_energia\n" + body)
     zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
     report = {r.object: r.status for r in land_drop(spark, drop, zone).collect()}
-    assert report == {"Providers_20231201.csv": REJECTED_HEADER,
+    assert report == {"Providers_20231201.csv": OK,
                       "Providers_20231202.csv": REJECTED_HEADER,
                       "Providers_20231203.csv": OK, "Providers_20231204.csv": OK}
     days = sorted(r.day for r in scan_raw_backfill(spark, zone, PROVIDERS).collect())
-    assert days == ["03", "03", "04", "04"]
+    assert days == ["01", "01", "03", "03", "04", "04"]
 
 
 def test_header_found_when_a_file_spans_many_splits(spark, workdir):
-    from jornada.operators.landing import quality
+    from jornada.operators.landing import header_lines, quality
     drop = f"{workdir}/drop"
     rows = "".join(f"prov {i};solar\n" for i in range(20000))
     write_text(f"{drop}/Providers_20231204.csv", "nombre_proveedor;tipo_energia\n" + rows)
@@ -166,10 +302,12 @@ def test_header_found_when_a_file_spans_many_splits(spark, workdir):
     try:
         lines = spark.read.text(f"{drop}/Providers_20231204.csv")
         assert lines.rdd.getNumPartitions() > 5
-        q = quality(spark, drop).first()
+        name = "Providers_20231204.csv"
+        assert [r.header for r in header_lines(spark, drop, [name]).collect()] == ["nombre_proveedor;tipo_energia"]
+        q = quality(spark, drop, [name], list(PROVIDERS.columns)).first()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert (q.rows, q.long_rows, q.short_rows, q.bad_headers) == (20000, 0, 0, 0)
+    assert (q.rows, q.long_rows, q.short_rows) == (20000, 0, 0)
 
 
 def test_object_names_under_nested_folders_of_the_same_name(spark, workdir):
@@ -187,13 +325,13 @@ def test_object_names_under_nested_folders_of_the_same_name(spark, workdir):
 def test_one_failing_dataset_does_not_stop_the_others(spark, workdir, monkeypatch):
     import pytest
     from jornada.operators import landing
-    real = landing._write_dataset
+    real = landing.write_objects
 
-    def flaky(rows, zone, spec):
+    def flaky(rows, zone, spec, landing_id):
         if spec.name == "Customers":
             raise OSError("disk full")
-        real(rows, zone, spec)
-    monkeypatch.setattr(landing, "_write_dataset", flaky)
+        real(rows, zone, spec, landing_id)
+    monkeypatch.setattr(landing, "write_objects", flaky)
     drop = f"{workdir}/drop"
     write_text(f"{drop}/Providers_20231204.csv", "nombre_proveedor;tipo_energia\nacme;solar\n")
     write_text(f"{drop}/Customers_20231204.csv",
@@ -214,7 +352,7 @@ def test_object_names_with_glob_characters(spark, workdir):
     zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur")
     report = {r.object: (r.status, r.rows) for r in land_drop(spark, drop, zone).collect()}
     assert report == {"Providers_20231204_[1].csv": (OK, 1), "Providers_20231204_1.csv": (OK, 2)}
-    assert scan_raw_backfill(spark, zone, PROVIDERS).count() == 3
+    assert objects_of(spark, zone) == {"Providers_20231204_[1].csv": 1, "Providers_20231204_1.csv": 2}
 
 
 def test_blank_file_is_unreadable(spark, workdir):
@@ -223,13 +361,4 @@ def test_blank_file_is_unreadable(spark, workdir):
     write_text(f"{drop}/Providers_20231204.csv", "\n\n\n")
     write_text(f"{drop}/Providers_20231205.csv", "")
     report = {r.object: r.status for r in landing_report(spark, drop).collect()}
-    # Zero-byte files are skipped by Spark's file scans: nothing to report or land.
-    assert report == {"Providers_20231204.csv": REJECTED_UNREADABLE}
-
-
-def test_field_count(spark):
-    from jornada.operators.landing import field_count
-    lines = ["a;b;c", 'a;"x;y";b', '"a;b"', 'a;"say ""hi;"" now";c', "", "a;;", '"";""']
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, v string")
-    got = [r.n for r in df.orderBy("i").select(field_count(F.col("v")).alias("n")).collect()]
-    assert got == [3, 3, 1, 3, 1, 3, 2]
+    assert report == {"Providers_20231204.csv": REJECTED_UNREADABLE, "Providers_20231205.csv": "rejected_empty"}

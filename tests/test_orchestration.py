@@ -8,7 +8,11 @@ from jornada.spec import PROVIDERS
 
 def test_curate_calls_scan_transform_write_sync_once(monkeypatch):
     calls = []
-    raw, curated = object(), object()
+    raw = object()
+
+    class Frame:
+        columns = list(PROVIDERS.columns)
+    curated = Frame()
 
     class FakeObservation:
         def __init__(self, name):

@@ -3,7 +3,7 @@
 from jornada import registry as R
 from jornada.operators import curate_frame
 from jornada.sources import scan_raw_day
-from jornada.spec import TRANSACTIONS
+from jornada.spec import CUSTOMERS, TRANSACTIONS
 
 from conftest import SF_SMALL
 
@@ -53,7 +53,8 @@ def test_clustered_backfill_sorts_once_without_shuffle(spark):
 
 def test_landing_aggregates_in_hash_maps(spark):
     """No aggregation buffer holds a string, so no line is ever sorted."""
-    from jornada.operators.landing import landing_report
-    plan = plan_of(landing_report(spark, R.drop_folder(spark, SF_SMALL)))
+    from jornada.operators.landing import quality
+    name = "Customers_20231204.csv"
+    plan = plan_of(quality(spark, R.drop_folder(spark, SF_SMALL), [name], list(CUSTOMERS.columns)))
     assert "HashAggregate" in plan
     assert "SortAggregate" not in plan and ") Sort " not in plan

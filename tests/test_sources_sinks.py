@@ -92,6 +92,38 @@ def test_backfill_range_prunes_folders(spark, workdir):
                                                               ("PROV 20240103", "03")]
 
 
+def test_range_lists_only_its_folders(spark, workdir):
+    from jornada.sources.raw import date_cover
+    assert date_cover(BatchDate("20231230"), BatchDate("20250202")) == [
+        ("2023", "12", "30"), ("2023", "12", "31"), ("2024",), ("2025", "01"), ("2025", "02", "01"), ("2025", "02", "02")]
+    zone = _zone(workdir, env="listtest")
+    for d in ("20231231", "20240102", "20240103"):
+        write_text(f"{zone.raw_day_path(PROVIDERS, BatchDate(d))}/part-0.csv", f"nombre_proveedor;tipo_energia\np;solar\n")
+        write_text(zone.legacy_raw_file(PROVIDERS, BatchDate(d)).replace("Providers/", "Providers-files/", 1),
+                   "nombre_proveedor;tipo_energia\np;solar\n")
+    for first, last, n in (("20240102", "20240102", 1), ("20240101", "20240131", 2), ("20230101", "20241231", 3),
+                           ("20250101", "20250101", 0)):
+        df = scan_raw_backfill(spark, zone, PROVIDERS, BatchDate(first), BatchDate(last))
+        assert len(df.inputFiles()) == n and df.count() == n, (first, last)
+
+
+def test_backfill_of_one_file_a_day_registers_its_dates(spark, workdir, monkeypatch):
+    from jornada.__main__ import main
+    zone = _zone(workdir, env="filesback")
+    for d in ("20231231", "20240102", "20240103"):
+        write_text(zone.legacy_raw_file(PROVIDERS, BatchDate(d)), f"nombre_proveedor;tipo_energia\np{d};solar\n")
+    write_text(zone.legacy_raw_file(PROVIDERS, BatchDate("20240103")).replace(".csv", "_v2.csv"),
+               "nombre_proveedor;tipo_energia\nsecond;solar\n")
+    real, said = type(spark).sql, []
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: said.append(q) or real(self, q, *a, **k))
+    assert main(["backfill", "--dataset", "Providers", "--start", "20240101", "--end", "20240131", "--raw-layout", "files",
+                 "--raw-root", zone.raw_root, "--curated-root", zone.curated_root, "--env", "filesback"]) == 0
+    rows = spark.table(zone.table_name(PROVIDERS)).select("nombre_proveedor", "day").collect()
+    assert sorted(map(tuple, rows)) == [("P20240102", "02"), ("P20240103", "03")]
+    assert not any("RECOVER" in q for q in said) and any("ADD IF NOT EXISTS" in q for q in said)
+    assert main(["backfill", "--start", "2024"]) == 1
+
+
 def test_sync_catalog_add_partition(spark, workdir):
     zone = _zone(workdir, env="synctest")
     b = BatchDate("20231204")

@@ -1,3 +1,5 @@
+import pytest
+
 from conftest import write_text
 from jornada.config import BatchDate, Zone
 from jornada.sources import scan_curated
@@ -34,6 +36,28 @@ def test_stream_picks_up_new_days_only(spark, workdir):
     assert _per_day(spark, zone) == {"01": 2, "02": 1}
 
 
+def test_batches_report_their_days_and_counts(spark, workdir):
+    from jornada.plans import land_drop
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur", env="metrictest")
+    batches = []
+    for i, body in enumerate(("a;solar\nb;solar\n", "")):
+        write_text(f"{workdir}/{i}/Providers_20240101.csv", HEADER + body)
+        land_drop(spark, f"{workdir}/{i}", zone)
+        curate_stream(spark, PROVIDERS, zone, on_batch=batches.append).awaitTermination()
+    # Landed again without rows, the day is emptied.
+    assert [([d.text for d in b.days], b.metrics["rows"], [d.text for d in b.cleared]) for b in batches] == [
+        (["20240101"], 2, []), (["20240101"], 0, ["20240101"])]
+    assert [b.batch_id for b in batches] == [0, 1] and _per_day(spark, zone) == {}
+
+
+def test_batch_failure_names_dataset_and_days(spark, workdir):
+    zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur", env="streamfail")
+    _land(zone, "20240101", "")
+    write_text(f"{zone.raw_day_path(PROVIDERS, BatchDate('20240101'))}/part-2.csv", "x;y\n1;2\n")
+    with pytest.raises(RuntimeError, match="Providers, batch 7, 1 days from 20240101"):
+        curate_days(spark, PROVIDERS, zone, [BatchDate("20240101")], sync=False, batch_id=7)
+
+
 def test_replaying_days_is_idempotent(spark, workdir):
     zone = Zone(raw_root=f"{workdir}/raw", curated_root=f"{workdir}/cur", env="replaytest")
     _land(zone, "20240101", "a;solar\n")
