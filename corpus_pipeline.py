@@ -17,8 +17,7 @@ from jornada.session import scratch_dir
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the current quality policy keeps."""
-    rows = quality_rules.ledger(docs)
-    return rows.where(~quality_rules.failed(quality_rules.CURRENT)).select(*docs.columns)
+    return quality_rules.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,10 +13,14 @@ Distances count bytes of that form.
 The benchmark is the stated query set: it is searched against all documents in
 blocks of bounded size (BLOCK_BYTES), each shipped to the tasks whole.
 
+Items shorter than MIN_ITEM bytes are searched in the same way with a space on either
+side, that is as whole words; items of a single word match only a text that equals
+them, for words alone are no evidence.
+
 Defined cases: null or empty texts match nothing, null or empty items are skipped;
-items shorter than MIN_ITEM bytes match only a text that equals them; repeated rows
-and ids are reported row by row; extra columns are ignored; an empty table on
-either side gives no matches (and drops no document).
+repeated rows and ids are reported row by row; extra columns are ignored; an empty
+table on either side gives no matches (and drops no document). ``clean`` judges every
+row by its own text, whatever its id, and returns its columns as they are.
 """
 
 from __future__ import annotations
@@ -28,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices, written
+from .common import text_slices, unused, written
 
 RATE = 0.06
 MIN_ITEM = 24
 #: Bytes of benchmark text in one pass over the documents.
 BLOCK_BYTES = 8 << 20
 
-_MATCHES = "doc_id bigint, item_id bigint, distance int, budget int, start bigint, end bigint"
+_FOUND = "item_id bigint, distance int, budget int, start bigint, end bigint"
 
 _FOLD = np.full(256, 0x20, dtype=np.uint8)
 for _lo, _hi in ((0x30, 0x3A), (0x61, 0x7B), (0x80, 0x100)):
@@ -117,24 +121,28 @@ class Matcher:
     def __init__(self, items: list[tuple[int, str]], rate: float = RATE, min_item: int = MIN_ITEM):
         import ahocorasick
         self.items, self.whole = [], {}
-        found: dict[str, list[tuple[int, int]]] = {}
+        # Pieces of long items, and of short ones with a space on either side.
+        found: tuple[dict, dict] = {}, {}
         for item_id, text in items:
             form = normalise(text)
             if not form:
                 continue
-            if len(form) < min_item:
+            if len(form) < min_item and " " not in form:
                 self.whole.setdefault(form, []).append(item_id)
                 continue
-            budget = int(rate * len(form))
+            budget, short = int(rate * len(form)), len(form) < min_item
+            form = f" {form} " if short else form
             for offset, piece in pieces(form, budget):
-                found.setdefault(piece, []).append((len(self.items), offset))
+                found[short].setdefault(piece, []).append((len(self.items), offset))
             self.items.append((item_id, form, budget))
-        self.automaton = ahocorasick.Automaton()
-        for piece, uses in found.items():
-            self.automaton.add_word(piece, (len(piece), uses))
-        if found:
-            self.automaton.make_automaton()
-        self.empty = not found
+        self.automata = []
+        for part in found:
+            automaton = ahocorasick.Automaton()
+            for piece, uses in part.items():
+                automaton.add_word(piece, (len(piece), uses))
+            if part:
+                automaton.make_automaton()
+            self.automata.append(automaton if part else None)
 
     def search(self, text: str) -> Iterator[tuple[int, int, int, int, int]]:
         """(item_id, distance, budget, start, end) of the best match of each item.
@@ -142,12 +150,19 @@ class Matcher:
         ``start`` is where the best match begins at the latest found by aligning
         backwards from its end.
         """
-        for item_id in self.whole.get(text.rstrip(" "), ()):
-            yield item_id, 0, 0, 0, len(text.rstrip(" "))
-        if self.empty:
-            return
+        if self.whole:
+            for item_id in self.whole.get(text.rstrip(" "), ()):
+                yield item_id, 0, 0, 0, len(text.rstrip(" "))
+        long, short = self.automata
+        if long is not None:
+            yield from self._search(long, text)
+        if short is not None:
+            for item_id, distance, budget, start, end in self._search(short, f" {text} "):
+                yield item_id, distance, budget, start, min(max(end - 2, start), len(text))
+
+    def _search(self, automaton, text: str) -> Iterator[tuple[int, int, int, int, int]]:
         spans: dict[int, list[tuple[int, int]]] = {}
-        for last, (size, uses) in self.automaton.iter(text):
+        for last, (size, uses) in automaton.iter(text):
             for item, offset in uses:
                 _, form, budget = self.items[item]
                 begin = last - size + 1 - offset
@@ -194,13 +209,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_item:
 
     doc_id, item_id, distance, budget, and the place in the text's normal form.
     """
-    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return _matched(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), pa.int64(), "doc_id bigint",
+                    benchmark, rate, min_item, block_bytes)
+
+
+def _matched(narrow: DataFrame, id_type: pa.DataType, id_field: str, benchmark: DataFrame, rate: float = RATE,
+             min_item: int = MIN_ITEM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Matches of (id, text) rows, whatever the id is."""
+    schema = f"{id_field}, {_FOUND}"
 
     def search(items):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(items, rate, min_item)
-            names = [f.split(" ")[0] for f in _MATCHES.split(", ")]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+            names = [f.split(" ")[0] for f in schema.split(", ")]
+            kinds = [id_type, pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
             for batch in batches:
                 ids = batch.column(0)
                 rows = []
@@ -214,17 +236,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_item:
                 cols = list(zip(*rows)) if rows else [()] * len(names)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(cols, kinds)], names)
-        return narrow.mapInArrow(run, _MATCHES)
+        return narrow.mapInArrow(run, schema)
 
     out = None
     for items in _blocks(benchmark, block_bytes):
         part = search(items)
         out = part if out is None else out.unionByName(part)
-    return out if out is not None else docs.sparkSession.createDataFrame([], _MATCHES)
+    return out if out is not None else narrow.sparkSession.createDataFrame([], schema)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Documents that hold no benchmark item, all columns kept."""
-    dirty = written(matches(docs, benchmark, **options).select("doc_id").distinct(), "leaks")
-    found = dirty.withColumnRenamed("doc_id", "_dirty")
-    return docs.join(found, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_dirty")), "left_anti")
+    name = unused(docs, "dirty")
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    texts = docs.select(digest.alias("key"), "text")
+    dirty = written(_matched(texts, pa.binary(), "key binary", benchmark, **options).select("key").distinct(), "leaks")
+    return docs.join(dirty.withColumnRenamed("key", name), digest == F.col(name), "left_anti")

@@ -115,7 +115,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     ordering. Rows that repeat (doc_id, source, size) are numbered, so each gets its
     own copies; only such rows pass a window.
     """
-    keyed = docs.select("*", word_count(F.col("text")).alias("_size"))
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", word_count(F.col("text")).alias("_size"))
     chosen = plan(docs, **options)
     pairs = (chosen.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
                             F.col("size").alias("_s"))
@@ -123,10 +123,10 @@ def mix(docs: DataFrame, **options) -> DataFrame:
              .where(F.col("_copies") > 0))
     joined = keyed.join(pairs, F.expr("doc_id <=> _id AND source <=> _source AND _size = _s"))
     single = joined.where("_same = 1").withColumn("_n", F.col("_copies"))
-    same = Window.partitionBy("_id", "_source", "_s").orderBy("text")
+    same = Window.partitionBy("_id", "_source", "_s").orderBy(F.md5(F.coalesce("row.text", F.lit("")).cast("binary")))
     turn = F.row_number().over(same)
     repeated = joined.where("_same > 1").withColumn("_n", F.expr("_copies div _same") + F.when(
         turn <= F.expr("_copies % _same"), 1).otherwise(0))
     both = single.unionByName(repeated)
     return (both.where("_n > 0").withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
-            .select(*docs.columns))
+            .select("row.*"))

@@ -27,7 +27,8 @@ texts of a repeated id are compared each on their own. A component is named by i
 smallest id, so it has a null name where all its rows have a null id, and the different
 texts of one id may name two components alike. ``kept`` marks the row of a component
 with the smallest id (of one id's texts, the smallest digest of the text) and its exact
-repeats. Extra columns are ignored; empty tables give no rows. Texts are read whole,
+repeats for ``deduplicate``; ``near_duplicates`` returns doc_id = component_id under that
+name (false without an id). Extra columns are ignored; empty tables give no rows. Texts are read whole,
 whatever their length.
 """
 
@@ -41,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, mix64, text_slices, word_hashes, written
+from .common import WORD, mix64, text_slices, unused, word_hashes, written
 
 THRESHOLD = (80, 100)
 SHINGLE = 2
@@ -455,14 +456,17 @@ def _keyed_duplicates(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and class_id, one row per document."""
-    return _keyed_duplicates(docs, shingle).drop("row_key")
+    """doc_id, n_shingles, component_id, kept (doc_id = component_id) and class_id, one row
+    per document."""
+    same = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    return _keyed_duplicates(docs, shingle).drop("row_key").withColumn("kept", same)
 
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row of each component, its text that of the smallest id. Of rows without
     words, only the repeats of a known id are dropped."""
-    keep = _keyed_duplicates(docs, shingle).where("kept").select("row_key").distinct()
+    key = unused(docs, "row_key")
+    keep = _keyed_duplicates(docs, shingle).where("kept").select(F.col("row_key").alias(key)).distinct()
     blank = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    rows = docs.where(~blank).withColumn("row_key", _row_key()).dropDuplicates(["row_key"])
-    return rows.join(keep, "row_key", "left_semi").drop("row_key").unionByName(docs.where(blank))
+    rows = docs.where(~blank).withColumn(key, _row_key()).dropDuplicates([key])
+    return rows.join(keep, key, "left_semi").drop(key).unionByName(docs.where(blank))

@@ -44,7 +44,11 @@ LABELS = ("none", *KINDS)
 _ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+(?:@|\x20?[\[(](?:at|AT)[\])]\x20?)[A-Za-z0-9.-]+")
 _NUMBER = re.compile(r"\+?\(?[0-9][\x20().0-9-]{5,}[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_EMAIL_CHARS = re.compile(r"[A-Za-z0-9._%+@-]*@[A-Za-z0-9._%+@-]*")
+_EMAIL_CHARS = re.compile(r"[A-Za-z0-9._%+@-]+")
+# The base patterns' own matches, without a second look at what a first one has passed: a
+# match that fails from a run's first digit fails from its others, too.
+_DOMAIN = re.compile(r"@[A-Za-z0-9-]++(\.[A-Za-z0-9-]++)++")
+_QUAD = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 #: A label is added only above this probability, and only with support of a skip edge.
 SURE = 0.9
 ROUNDS = 6
@@ -70,10 +74,16 @@ def _valid(kind: str, text: str) -> bool:
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
-    """Matches of the email pattern, searched only in runs that hold an @."""
+    """Matches of the email pattern: at each @ in a run of its characters, the domain
+    behind it and all of the run before it since the last match or @."""
     for run in _EMAIL_CHARS.finditer(text):
-        for m in PATTERNS["email"].finditer(text, run.start(), run.end()):
-            yield m.span()
+        begin, at = run.start(), text.find("@", run.start(), run.end())
+        while at >= 0:
+            domain = _DOMAIN.match(text, at, run.end()) if at > begin else None
+            if domain:
+                yield begin, domain.end()
+            begin = domain.end() if domain else at + 1
+            at = text.find("@", begin, run.end())
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -85,7 +95,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
         for kind in KINDS[1:]:
             if kind == "phone" and "+" not in text:
                 continue
-            out += [(kind, *m.span()) for m in PATTERNS[kind].finditer(text) if _valid(kind, m.group())]
+            pattern = _QUAD if kind == "ip" else PATTERNS[kind]
+            out += [(kind, *m.span()) for m in pattern.finditer(text) if _valid(kind, m.group())]
     return out
 
 

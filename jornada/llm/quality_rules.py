@@ -92,6 +92,10 @@ def _covered(windows: Column) -> Column:
         lambda acc: acc["n"])
 
 
+#: Columns that measure() makes for itself.
+_TEMPORARY = ("_t", "_words", "_lines", "_hashes", "_windows")
+
+
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add the measurements of MEASUREMENTS (long, never null)."""
     t = F.col("_t")
@@ -119,16 +123,31 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_repeat_words": _covered(F.col("_windows")),
         "n_upper": (F.length(t) - F.length(F.regexp_replace(t, r"\p{Lu}+", ""))).cast("long"),
     })
-    return out.drop("_t", "_words", "_lines", "_hashes", "_windows")
+    return out.drop(*_TEMPORARY)
 
 
-def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Measurements and ``fail_bits`` (one bit per rule) of every document."""
+def _fail_bits() -> Column:
     bits = F.lit(0).cast("long")
     for i, rule in enumerate(RULES):
         bits = bits + F.when(F.expr(rule.fails), F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
-    own = [c for c in docs.columns if c not in (*MEASUREMENTS, "fail_bits")]
-    return measure(docs.select(*own), text).withColumn("fail_bits", bits)
+    return bits
+
+
+def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Measurements and ``fail_bits`` (one bit per rule) of every document.
+
+    Other columns are kept, but for those named like a measurement, ``fail_bits`` or a
+    temporary of :func:`measure`; :func:`keep` returns rows with all of theirs.
+    """
+    taken = {c.lower() for c in (*MEASUREMENTS, "fail_bits", *_TEMPORARY)}
+    own = [c for c in docs.columns if c.lower() not in taken]
+    return measure(docs.select(*own), text).withColumn("fail_bits", _fail_bits())
+
+
+def keep(docs: DataFrame, version: str = CURRENT) -> DataFrame:
+    """The documents that a policy keeps, with their own columns whatever these are named."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return measure(rows).withColumn("fail_bits", _fail_bits()).where(~failed(version)).select("row.*")
 
 
 def failed(version_or_rules) -> Column:

@@ -82,14 +82,16 @@ class PieceEncoder:
 
     A space between two non-space characters always begins a pre-token of a
     byte-level vocabulary, so the ids of a text are those of its pieces in a row.
-    Pieces recur; each distinct one is encoded once per worker. Strings of special
-    tokens inside a text are ordinary text.
+    Pieces recur; each distinct one is encoded once per worker. A text that holds the
+    spelling of an added token is encoded whole, as the library does it.
     """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(vocabulary)
-        self._tok.encode_special_tokens = True
+        if self._tok.normalizer is not None or type(self._tok.pre_tokenizer).__name__ != "ByteLevel":
+            raise ValueError(f"{vocabulary}: a byte-level vocabulary without normaliser is needed")
+        self._added = [t.content for t in self._tok.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("H" if self._tok.get_vocab_size() <= 1 << 16 else "I")
         self._pieces: dict[str, bytes] = {}
         self._units: dict[str, bytes] = {}
@@ -133,6 +135,16 @@ class PieceEncoder:
                 gc.enable()
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        held = [i for i, t in enumerate(texts) if any(a in t for a in self._added)]
+        if held:
+            texts = list(texts)
+            whole = [np.array(self._tok.encode(texts[i], add_special_tokens=False).ids, self.dtype) for i in held]
+            for i in held:
+                texts[i] = ""
+            out = self._encode(texts)
+            for i, ids in zip(held, whole):
+                out[i] = ids
+            return out
         for cache in (self._pieces, self._units):
             if len(cache) > CACHE_ENTRIES:
                 cache.clear()
@@ -229,7 +241,10 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None,
     that encodes nothing, and every text is encoded once.
     """
     (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-     .repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+     # Rows without an id, or of one id, are dealt by their texts.
+     .select("doc_id", "text", F.xxhash64("text").alias("hash"))
+     .repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash")
+     .select("doc_id", "text")
      .mapInArrow(_encoded_blocks(vocabulary, end_id), _BLOCKS)
      .write.option("compression", "uncompressed").parquet(path))
 

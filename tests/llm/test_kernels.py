@@ -51,7 +51,6 @@ def test_pieces_encode_like_whole_texts():
     from tokenizers import Tokenizer
     path = token_store.default_vocabulary()
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     rng = random.Random(2)
     texts = ["don't 's we'll", "a \n b", "\n\nab\n\n c", "x_y 1 23 4a", " lead", "end ", "日本 語 é́  a"]
     texts += ["".join(rng.choice("ab é'*\n\t1_ ĉ .  ") for _ in range(rng.randint(1, 30))) for _ in range(500)]
@@ -211,7 +210,6 @@ def test_packed_keys_and_counts():
 def test_encoder_equals_the_plain_tokenizer():
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(token_store.default_vocabulary())
-    plain.encode_special_tokens = True
     parts = [" ", "  ", "\n", "\n\n", "\t", "a", "foo", "Bär", "ñó", "'s", "can't", ".", "!?", "##", "\x00",
              "12", "3a", "_", "<|endoftext|>", "ª", "你"]
     rng = random.Random(11)
