@@ -42,7 +42,7 @@ NAMES = ["n_words", "_n", "_c", "_size", "row_key", "dirty", "_t", "_words", "ro
 
 @pytest.fixture(scope="module")
 def clashing(spark):
-    rows = [(i, " ".join(f"word{i} number{j} of a" for j in range(20 + i)), "s", *[-7 - j for j in range(len(NAMES))]) for i in range(6)]
+    rows = [(i, " ".join(f"word{j} number{j} other{j}" for j in range(30 + 9 * i)), "s", *[-7 - j for j in range(len(NAMES))]) for i in range(6)]
     return spark.createDataFrame(rows, "doc_id bigint, text string, source string, "
                                  + ", ".join(f"{n} int" for n in NAMES))
 
