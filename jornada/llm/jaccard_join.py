@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import mix64, text_slices, written
-from .graph import connected, forest
+from .graph import TASK_LINKS, connected, forest
 from .near_dup import shingle_sets
 
 #: A link needs LEAST / OF of the union in common.
@@ -315,7 +315,9 @@ def candidate_stars(sets: DataFrame, whole: bool = False) -> DataFrame:
                     "join-keys")
     lead = (found.groupBy("key").agg(F.min(F.struct("lacking", "id")).alias("lead"), F.count(F.lit(1)).alias("n"))
             .where("n > 1").select("key", F.col("lead.id").alias("a")))
-    return written(forest(found.join(lead, "key").where("a <> id").select("a", F.col("id").alias("b"))), "join-stars")
+    stars = found.join(lead, "key").where("a <> id").select("a", F.col("id").alias("b"))
+    # As many tasks as keep their part of the keys in bounds: a set is in every task's forest.
+    return written(forest(stars.coalesce(found.count() // TASK_LINKS + 1)), "join-stars")
 
 
 def verified_links(sizes: DataFrame, stars: DataFrame, texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
