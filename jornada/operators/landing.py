@@ -380,8 +380,10 @@ def land(spark: SparkSession, drop_dir: str, zone: Zone,
                 out.append((dataset, objects, exc))
         return out
 
-    with ThreadPoolExecutor(max_workers=max(1, len(groups))) as pool:
+    with ThreadPoolExecutor(max_workers=len(groups) + 1) as pool:
+        kept = pool.submit(quarantine, spark, drop_dir, report, zone, landing)
         done = [d for part in pool.map(write, groups) for d in part]
+        kept.result()
     failed = {r.object for _, objects, exc in done if exc is not None for r in objects}
     entries = []
     for dataset, objects, exc in done:
@@ -394,7 +396,6 @@ def land(spark: SparkSession, drop_dir: str, zone: Zone,
     report = spark.createDataFrame(rows, report.schema).withColumn(
         "status", F.when(F.col("object").isin(*failed), FAILED_WRITE).otherwise(F.col("status")) if failed
         else F.col("status"))
-    quarantine(spark, drop_dir, report, zone, landing)
     report.coalesce(1).write.parquet(f"{zone.raw_root.rstrip('/')}/_landing/{landing}")
     errors = [(dataset, exc) for dataset, _, exc in done if exc is not None]
     if errors:

@@ -47,12 +47,16 @@ def _run(spark: SparkSession, raw: DataFrame, spec: TableSpec, batch: BatchDate
     path = zone.curated_path(spec)
     options = table_options(zone.database, spec.table) if fmt == "hudi" else None
     covered = range_folders(path, start, end)
-    before = curated_days(spark, spec, covered) if rerun == "replace" and fmt == "parquet" else {}
+    replaced = rerun == "replace" and fmt == "parquet"
+    # A single date with rows is replaced by the write itself: nothing to compare.
+    before = curated_days(spark, spec, covered) if replaced and batch is None else {}
     try:
         write_batch(curated, path, fmt=fmt, rerun=rerun, options=options)
     except Exception as exc:
         raise RuntimeError(f"writing {spec.name} for {label} to {path} failed") from exc
     result = CurateResult(spec.name, path, dict(obs.get))
+    if replaced and batch is not None and result.rows == 0:
+        before = curated_days(spark, spec, covered)
     if before:
         cleared = clear_unwritten(spark, spec, path, covered, before)
         log.info("%s %s: dates without rows cleared: %s", spec.name, label, [d.text for d in cleared])

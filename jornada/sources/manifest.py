@@ -70,8 +70,8 @@ def _read(spark: SparkSession, zone: Zone, path: str) -> DataFrame | None:
 
 
 def commit(entries: DataFrame, zone: Zone) -> None:
-    """Add manifest rows (the columns of MANIFEST_SCHEMA), one file for each day."""
-    (entries.select(*MANIFEST_SCHEMA.names).coalesce(1).write.mode("append")
+    """Add manifest rows (the columns of MANIFEST_SCHEMA), one file for each dataset and day."""
+    (entries.select(*MANIFEST_SCHEMA.names).repartition("dataset", *PARTITION_COLUMNS).write.mode("append")
      .partitionBy("dataset", *PARTITION_COLUMNS).parquet(manifest_root(zone)))
 
 
