@@ -6,20 +6,19 @@
    the register-wise maxima, and equal registers grow likelier with similarity.
 2. Documents with equal sets (by a 128-bit digest) form one class; only one row of a
    class goes on, under a number of the class's own that is written with it.
-3. Bands of ``ROWS`` registers are the candidate keys. In each band bucket the
-   smallest number leads: members are compared with leaders first (no pairs among the
-   members), the smallest leader before the others. A candidate pair passes if its
-   jointly estimated similarity (maximum likelihood over greater, smaller and equal
-   registers, given the exact set sizes) is not clearly below the threshold, and
-   becomes a link if the full sets confirm ``100 * intersection >= 80 * union``.
-4. Components are found by min-label propagation with pointer jumping. Buckets that
-   still hold several components are then compared across their components, block
-   by block: each member is verified against the most similar member of every other
-   component, until that gives no further link. What is left, every likely pair of
-   two components in a bucket, is then checked inside the blocks with the full sets.
+3. Bands of ``ROWS`` registers are the candidate keys: sets that share a key, directly
+   or through others, form a candidate group. Groups too large for one block are split
+   by ``DRAWS`` further keys of ``DEEP`` drawn registers each.
+4. Inside a block, a pair passes if its jointly estimated similarity (maximum
+   likelihood over greater, smaller and equal registers, given the exact set sizes) is
+   not clearly below the threshold, and becomes a link if the full sets confirm
+   ``100 * intersection >= 80 * union``. Only a spanning forest of the links leaves a
+   block; groups of several blocks are finished as :mod:`.blocks` tells.
+5. Components are found by min-label propagation with pointer jumping.
 
 With 32 bands of 5 rows a pair at similarity exactly 0.8 shares no band with
-probability 3e-6, less above it.
+probability 3e-6, less above it; in a group larger than a block it shares none of the
+further keys with a probability of about 1e-5.
 
 Defined cases: a null text or one without words has an empty set, n_shingles 0 and
 is its own component; texts with equal sets share a class, whatever their ids; the
@@ -42,9 +41,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import common_counts, verified_links
 from .common import WORD, mix64, text_slices, unused, word_hashes, written
+from .graph import TASK_LINKS, connected, forest
 
-THRESHOLD = (80, 100)
+LEAST, OF = 80, 100
 SHINGLE = 2
 BANDS, ROWS = 32, 5
 M = BANDS * ROWS
@@ -52,12 +53,14 @@ M = BANDS * ROWS
 BASE, RATE, LIMIT = 1.02, 20.0, 4000
 #: Pairs whose estimate is below this are not verified; nearly five standard deviations under 0.8.
 MIN_ESTIMATE = 0.65
-#: Members of one comparison block of an unresolved bucket.
-BLOCK = 64
+#: Keys of drawn registers that split a group too large for one block.
+DRAWS, DEEP = 128, 8
 
 _rng = np.random.default_rng(20240229)
 _FACTOR = _rng.integers(1, 1 << 63, M, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = _rng.integers(0, 1 << 63, M, dtype=np.uint64)
+_BANDED = np.arange(M).reshape(BANDS, ROWS)
+_DRAWN = np.stack([_rng.choice(M, DEEP, replace=False) for _ in range(DRAWS)])
 
 
 def shingle_sets(offsets: np.ndarray, data: np.ndarray, size: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -85,9 +88,9 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     if not len(hashes):
         return np.zeros(M, np.uint16)
     least = np.full(M, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(hashes), 1024):
-        part = hashes[at:at + 1024, None] * _FACTOR + _SHIFT
-        part ^= part >> np.uint64(32)
+    for at in range(0, len(hashes), 256):
+        part = hashes[at:at + 256, None] * _FACTOR
+        part += _SHIFT
         np.minimum(least, part.min(axis=0), out=least)
     uniform = (least.astype(np.float64) + 1.0) / 2.0 ** 64
     spaced = -np.log1p(-np.minimum(uniform, 1 - 1e-16)) / RATE
@@ -102,25 +105,48 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 _GRID = np.linspace(0.0, 1.0, 101)
 
 
+def _likelihood(more, less, same, u, v, j):
+    """Log-likelihood of similarity j, given how many registers are greater, smaller and
+    equal, and the shares of the two sets in the sum of their sizes."""
+    def p(x):  # probability that one register exceeds the other
+        return -np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / np.log(BASE)
+
+    up, down = p(u - v * j), p(v - u * j)
+    tiny = 1e-12
+    return (more * np.log(np.maximum(up, tiny)) + less * np.log(np.maximum(down, tiny))
+            + same * np.log(np.maximum(1 - up - down, tiny)))
+
+
 def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
     """Most likely similarity of each pair (register matrices and set sizes)."""
     total = np.maximum(na + nb, 1).astype(float)
     u, v = (na / total)[:, None], (nb / total)[:, None]
     more = (a > b).sum(axis=1)[:, None]
     less = (a < b).sum(axis=1)[:, None]
-    same = a.shape[1] - more - less
-
-    def p(x):  # probability that one register exceeds the other
-        return -np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / np.log(BASE)
-
     j = np.minimum(_GRID, np.minimum(u / np.maximum(v, 1e-12), v / np.maximum(u, 1e-12)))
-    up, down = p(u - v * j), p(v - u * j)
-    tiny = 1e-12
-    score = (more * np.log(np.maximum(up, tiny)) + less * np.log(np.maximum(down, tiny))
-             + same * np.log(np.maximum(1 - up - down, tiny)))
+    score = _likelihood(more, less, a.shape[1] - more - less, u, v, j)
     return j[np.arange(len(j)), score.argmax(axis=1)]
 
 
+def likely(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Which pairs of two register matrices have an estimate of MIN_ESTIMATE or more.
+
+    The likelihood is concave in the similarity, so two of its values tell on which side
+    of the limit its maximum is.
+    """
+    out = np.zeros((len(a), len(b)), bool)
+    step = max(1, (1 << 22) // (len(b) * M))
+    for i in range(0, len(a), step):
+        more, less = ((f(a[i:i + step, None], b)).sum(axis=2, dtype=np.int16) for f in (np.greater, np.less))
+        small, large = (f(na[i:i + step, None], nb) for f in (np.minimum, np.maximum))
+        row, col = np.nonzero((OF * small >= LEAST * large) & (M - more - less >= M * MIN_ESTIMATE / 2))
+        more, less = more[row, col], less[row, col]
+        u = na[i + row] / (na[i + row] + nb[col])
+        at, below = (_likelihood(more, less, M - more - less, u, 1 - u, j) for j in (MIN_ESTIMATE, MIN_ESTIMATE - 0.01))
+        out[i + row, col] = at > below
+    return out
+
+
 def _row_key() -> Column:
     """Digest of a row's id and text: rows that share it are exact repeats."""
     named = F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("none"))
@@ -145,266 +171,68 @@ def sketch(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         run, "doc_id bigint, row_key binary, n_shingles bigint, digest binary, regs binary")
 
 
-def member_sets(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(id, members): the whole set of each (id, text) row, as packed hashes."""
+#: 64-bit words of a packed set that hold its registers.
+HEAD = M * 2 // 8
+
+
+def packed_sets(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(id, set): registers and whole set of each (id, text, regs) row, as one binary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            regs = batch.column(2)
             for lo, hi, offsets, data in text_slices(batch.column(1)):
+                sets = [regs[lo + i].as_py() + s.tobytes()
+                        for i, s in enumerate(shingle_sets(offsets, data, shingle))]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo),
-                     pa.array([s.tobytes() for s in shingle_sets(offsets, data, shingle)], pa.binary())],
-                    ["id", "members"])
-    return texts.select("id", "text").mapInArrow(run, "id bigint, members binary")
-
-
-def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, id) per band: the key hashes the band's number and registers."""
-    powers = (np.uint64(0x9E3779B97F4A7C15) ** np.arange(1, ROWS + 1, dtype=np.uint64))
-    numbers = mix64(np.arange(1, BANDS + 1, dtype=np.uint64))
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint16)
-        bands = regs.reshape(-1, BANDS, ROWS).astype(np.uint64)
-        keys = mix64((mix64(bands + np.uint64(1)) * powers).sum(axis=2, dtype=np.uint64) + numbers)
-        ids = np.repeat(np.asarray(batch.column(0)), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(ids)],
-                                         ["key", "id"])
-
-
-def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep candidate pairs whose estimated similarity is not clearly too low."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, M)
-                for i in (2, 3))
-        na, nb = (np.asarray(batch.column(i)) for i in (4, 5))
-        keep = np.concatenate([estimate(a[i:i + 4096], b[i:i + 4096], na[i:i + 4096], nb[i:i + 4096])
-                               for i in range(0, len(a), 4096)]) >= MIN_ESTIMATE
-        yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep pairs whose full sets reach the threshold."""
-    least, of = THRESHOLD
+                    [batch.column(0).slice(lo, hi - lo), pa.array(sets, pa.binary())], ["id", "set"])
+    return texts.select("id", "text", "regs").mapInArrow(run, "id bigint, set binary")
+
+
+def linked(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Which pairs of two lists of packed sets are likely by their registers and reach the
+    threshold by their full sets."""
+    regs, sizes = [], []
+    for packed in (left, right):
+        regs.append(np.stack([s[:HEAD] for s in packed]).view(np.uint16))
+        sizes.append(np.array([len(s) - HEAD for s in packed]))
+    out = likely(regs[0], regs[1], sizes[0], sizes[1])
+    if left is right:
+        np.fill_diagonal(out, False)
+    row, col = (np.flatnonzero(out.any(axis=axis)) for axis in (1, 0))
+    if len(row):
+        near = [left[i][HEAD:] for i in row]
+        both = common_counts(near, near if left is right else [right[i][HEAD:] for i in col]).astype(np.int64)
+        union = sizes[0][row][:, None] + sizes[1][col] - both
+        out[np.ix_(row, col)] &= OF * both >= LEAST * union
+    return out
+
+
+def _keys_of(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(key, id) per row of ``chosen``: the key hashes the row's number and its registers."""
+    keys, size = chosen.shape
+    powers = (np.uint64(0x9E3779B97F4A7C15) ** np.arange(1, size + 1, dtype=np.uint64))
+    numbers = mix64(np.arange(1, keys + 1, dtype=np.uint64))
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            both = len(x) + len(y) - len(np.union1d(x, y))
-            keep.append(of * both >= least * (len(x) + len(y) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
-_PAIR = "a bigint, b bigint"
-
-
-def likely_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The candidate pairs (a < b) whose estimated similarity is not clearly too low."""
-    side = lambda n: reps.select(F.col("id").alias(n), F.col("regs").alias(f"r{n}"),
-                                 F.col("n_shingles").alias(f"n{n}"))
-    return written(pairs.join(side("a"), "a").join(side("b"), "b")
-                   .select("a", "b", "ra", "rb", "na", "nb").mapInArrow(_estimated, _PAIR), "near-likely")
-
-
-def full_sets(wanted: DataFrame, docs: DataFrame, reps: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(id, members) of the wanted classes, written; one row of exact repeats is read."""
-    wanted = wanted.join(reps.select("id", "row_key"), "id")
-    texts = (docs.select(_row_key().alias("row_key"), "text").join(wanted, "row_key")
-             .dropDuplicates(["row_key"]).select("id", "text"))
-    return written(member_sets(texts, shingle), "near-sets")
-
-
-def confirm(likely: DataFrame, docs: DataFrame, reps: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The links among distinct likely pairs, by their full sets."""
-    sets = full_sets(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, reps, shingle)
-    both = (likely.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-            .select("a", "b", "sa", "sb"))
-    return written(both.mapInArrow(_confirmed, _PAIR), "near-links")
-
-
-def components(links: DataFrame) -> DataFrame:
-    """(id, comp) of every linked id: the smallest id reachable over the links.
-
-    Each round gives every node the least label around it, then jumps labels to
-    their own label; rounds grow with the logarithm of a chain's length. Nothing but
-    a count of changes reaches the driver.
-    """
-    edges = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-                    .distinct(), "cc-edges")
-    labels = written(edges.groupBy("a").agg(F.min("b").alias("m"))
-                     .select(F.col("a").alias("id"), F.least("a", "m").alias("comp")), "cc-labels")
-    while True:
-        around = (edges.join(labels.toDF("b", "near"), "b").groupBy("a").agg(F.min("near").alias("near"))
-                  .withColumnRenamed("a", "id"))
-        step = labels.join(around, "id").select(
-            "id", F.least("comp", "near").alias("comp"), F.col("comp").alias("old"))
-        jump = labels.toDF("comp", "further")
-        step = step.join(jump, "comp", "left").select(
-            "id", F.least("comp", F.coalesce("further", "comp")).alias("comp"), "old")
-        step = written(step, "cc-labels")
-        if step.where("comp <> old").isEmpty():
-            return step.select("id", "comp")
-        labels = step.select("id", "comp")
-
-
-def _label(ids: DataFrame, column: str, labels: DataFrame, name: str) -> DataFrame:
-    """Add the component of ``column`` (itself where it has no link)."""
-    out = ids.join(labels.toDF(column, "_c"), column, "left")
-    return out.withColumn(name, F.coalesce("_c", column)).drop("_c")
-
-
-def _unpacked(members: pa.ListScalar):
-    """Ids, components, set sizes and register matrix of one packed block."""
-    ids, comps, sizes, regs = members.values.flatten()[:4]
-    return (np.asarray(ids), np.asarray(comps), np.asarray(sizes),
-            np.frombuffer(b"".join(regs.to_pylist()), np.uint16).reshape(-1, M))
-
-
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of each row's two blocks (one block with itself where the second is null):
-    each member with its most similar one of every other component, if likely enough."""
-    for batch in batches:
-        for own, others in zip(batch.column(0), batch.column(1)):
-            left = _unpacked(own)
-            right = _unpacked(others) if others.is_valid else left
-            order = np.argsort(right[1], kind="stable")
-            ids, comps, sizes, regs = (x[order] for x in right)
-            starts = np.flatnonzero(np.concatenate(([True], comps[1:] != comps[:-1])))
-            ends = np.append(starts[1:], len(comps))
-            # Equal registers, counted for one member at a time where blocks are large.
-            step = max(1, (1 << 22) // (len(ids) * M))
-            same = np.concatenate([(left[3][i:i + step, None] == regs).sum(axis=2, dtype=np.int16)
-                                   for i in range(0, len(left[0]), step)])
-            small, large = (f(left[2][:, None], sizes) for f in (np.minimum, np.maximum))
-            same[(left[1][:, None] == comps) | (10 * small < 8 * large - 2)] = 0
-            best = np.maximum.reduceat(same, starts, axis=1)
-            row, part = np.nonzero(best >= MIN_ESTIMATE * M)
-            if not len(row):
-                continue
-            col = np.array([s + same[r, s:e].argmax() for r, s, e in zip(row, starts[part], ends[part])])
-            likely = estimate(left[3][row], regs[col], left[2][row], sizes[col]) >= MIN_ESTIMATE
-            pair = np.stack((left[0][row], ids[col]))[:, likely]
-            pair = np.unique(np.sort(pair, axis=0), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
-
-
-def _likely(left, right) -> tuple[np.ndarray, np.ndarray]:
-    """(row, col) of all likely pairs of different components, the most similar first."""
-    rows, cols, scores = [], [], []
-    step = max(1, (1 << 22) // (len(right[0]) * M))
-    for i in range(0, len(left[0]), step):
-        same = (left[3][i:i + step, None] == right[3]).sum(axis=2, dtype=np.int16)
-        small, large = (f(left[2][i:i + step, None], right[2]) for f in (np.minimum, np.maximum))
-        same[(left[1][i:i + step, None] == right[1]) | (10 * small < 8 * large - 2)] = 0
-        row, col = np.nonzero(same >= MIN_ESTIMATE * M)
-        for at in range(0, len(row), 4096):
-            r, c = row[at:at + 4096] + i, col[at:at + 4096]
-            keep = estimate(left[3][r], right[3][c], left[2][r], right[2][c]) >= MIN_ESTIMATE
-            rows.append(r[keep]), cols.append(c[keep]), scores.append(same[r[keep] - i, c[keep]])
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    order = np.argsort(-np.concatenate(scores), kind="stable")
-    return np.concatenate(rows)[order], np.concatenate(cols)[order]
-
-
-def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, id) of the members of each row's two blocks that are in a likely pair."""
-    for batch in batches:
-        for key, own, others in zip(*(batch.column(i) for i in range(3))):
-            left = _unpacked(own)
-            right = _unpacked(others) if others.is_valid else left
-            row, col = _likely(left, right)
-            ids = np.unique(np.concatenate((left[0][row], right[0][col])))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ids), key.as_py(), np.int64)), pa.array(ids)], ["key", "id"])
-
-
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links among the members of each row's two blocks, by their full sets. Pairs of
-    components that earlier links of the same row already join are skipped."""
-    least, of = THRESHOLD
-    for batch in batches:
-        for own, others in zip(batch.column(1), batch.column(2)):
-            left = _unpacked(own)
-            right = _unpacked(others) if others.is_valid else left
-            sets = [[np.frombuffer(v.as_buffer(), np.uint64) for v in b.values.field("set")]
-                    for b in (own, others if others.is_valid else own)]
-            above: dict[int, int] = {}
-
-            def top(c):
-                while c in above:
-                    c = above[c]
-                return c
-
-            links = []
-            for r, c in zip(*(x.tolist() for x in _likely(left, right))):
-                p, q = top(int(left[1][r])), top(int(right[1][c]))
-                if p == q or (r > c and not others.is_valid):
-                    continue
-                x, y = sets[0][r], sets[1][c]
-                union = len(np.union1d(x, y))
-                if of * (len(x) + len(y) - union) >= least * union:
-                    above[max(p, q)] = min(p, q)
-                    links.append(sorted((int(left[0][r]), int(right[0][c]))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
-
-
-def _mixed(buckets: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Members, with registers and component, of the buckets that hold several components.
-
-    Leaders stay out: each was compared with all its members. Buckets with the same
-    members are looked at once.
-    """
-    placed = _label(buckets.where("id <> leader").select("key", "id"), "id", labels, "comp")
-    mixed = (placed.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-        F.bit_xor(F.xxhash64("id")).alias("h1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("h2"))
-        .where("lo <> hi").groupBy("n", "h1", "h2").agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    return placed.join(mixed, "key").join(reps.select("id", "regs", "n_shingles"), "id")
-
-
-def _packed(members: DataFrame) -> DataFrame:
-    """Members dealt into written blocks of about BLOCK by a hash."""
-    own = F.pmod(F.xxhash64("id", F.lit(2)), F.col("blocks")).cast("int")
-    parts = [c for c in ("id", "comp", "n_shingles", "regs", "set") if c in members.columns]
-    return written(members.groupBy("key", "blocks", own.alias("own"))
-                   .agg(F.collect_list(F.struct(*parts)).alias("members")), "near-blocks")
-
-
-def _block_pairs(packed: DataFrame) -> DataFrame:
-    """(key, members, others): all pairs of a bucket's blocks, and each block by itself.
-
-    Each pair of blocks is a row of its own, so a bucket of any size is spread over tasks.
-    """
-    later = F.explode(F.sequence(F.col("own") + 1, F.col("blocks") - 1)).alias("own")
-    between = (packed.where("own + 1 < blocks").select("key", later, "members")
-               .join(packed.where("blocks > 1").select("key", "own", F.col("members").alias("others")),
-                     ["key", "own"]).select("key", "members", "others"))
-    within = packed.select("key", "members", F.lit(None).cast(packed.schema["members"].dataType).alias("others"))
-    return within.unionByName(between)
-
-
-def _residual(packed: DataFrame) -> DataFrame:
-    """The likeliest pairs across the components that still share a bucket."""
-    return _block_pairs(packed).select("members", "others").mapInArrow(_across, _PAIR).distinct()
-
-
-def _remaining(packed: DataFrame, docs: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
-    """Links among all likely pairs across the components that still share a bucket.
-
-    Only members that are in such a pair take their sets along, and the sets meet in
-    blocks, so no row is made for a pair that is no link.
-    """
-    still = written(_block_pairs(packed).mapInArrow(_open, "key bigint, id bigint").distinct(), "near-open")
-    sets = full_sets(still.select("id").distinct(), docs, reps, shingle)
-    counts = still.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = (packed.select("key", F.inline("members")).join(still, ["key", "id"]).join(counts, "key")
-               .join(sets.withColumnRenamed("members", "set"), "id"))
-    return written(_block_pairs(_packed(members)).mapInArrow(_verified, _PAIR).distinct(), "near-links")
+        for at in range(0, batch.num_rows, 1024):
+            part = batch.slice(at, 1024)
+            regs = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint16).reshape(-1, M)
+            mixed = mix64(regs.astype(np.uint64) + np.uint64(1))
+            key = mix64((mixed[:, chosen] * powers).sum(axis=2, dtype=np.uint64) + numbers)
+            ids = np.repeat(np.asarray(part.column(0)), keys)
+            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(ids)],
+                                             ["key", "id"])
+
+
+def candidate_stars(reps: DataFrame, chosen: np.ndarray = _BANDED) -> DataFrame:
+    """(a, b): each id (of id, regs) with the smallest one of a key, as many pairs as connect
+    whatever shares keys."""
+    keys = written(reps.select("id", "regs").mapInArrow(lambda batches: _keys_of(batches, chosen),
+                                                        "key bigint, id bigint"), "near-keys")
+    lead = (keys.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n"))
+            .where("n > 1").select("key", "a"))
+    stars = keys.join(lead, "key").where("a <> id").select("a", F.col("id").alias("b"))
+    # As many tasks as keep their part of the keys in bounds: a set is in every task's forest.
+    return written(forest(stars.coalesce(keys.count() // TASK_LINKS + 1)), "near-stars")
 
 
 def _keyed_duplicates(docs: DataFrame, shingle: int) -> DataFrame:
@@ -416,34 +244,17 @@ def _keyed_duplicates(docs: DataFrame, shingle: int) -> DataFrame:
                .agg(first.alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs")))
     classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "near-reps")
     reps = classes.select("id", "n_shingles", "regs", F.col("first.row_key").alias("row_key"))
-    keys = reps.select("id", "regs").mapInArrow(_band_keys, "key bigint, id bigint")
-    keys = written(keys, "near-keys")
-    lead = (keys.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n"))
-            .where("n > 1").select("key", "leader"))
-    buckets = written(keys.join(lead, "key"), "near-buckets")
-    stars = written(buckets.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-                    .distinct(), "near-stars")
-    first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = confirm(likely_pairs(first, reps), docs, reps, shingle)
-    labels = components(links)
-    more = _label(_label(stars, "a", labels, "ca"), "b", labels, "cb").where("ca <> cb").select("a", "b")
-    links = links.unionByName(confirm(likely_pairs(more, reps), docs, reps, shingle))
-    labels = components(links)
-    tried = stars
-    while True:  # until the likeliest pairs across components yield no further link
-        packed = _packed(_mixed(buckets, labels, reps))
-        rest = written(_residual(packed).join(tried, ["a", "b"], "left_anti"), "near-residual")
-        if rest.isEmpty():
-            break
-        found = confirm(rest, docs, reps, shingle)
-        if found.isEmpty():
-            break
-        links, tried = links.unionByName(found), tried.unionByName(rest)
-        labels = components(links)
-    found = _remaining(packed, docs, reps, shingle)
-    if not found.isEmpty():
-        labels = components(links.unionByName(found))
-    classes = _label(classes.select("digest", "id", "first"), "id", labels, "comp")
+    stars = candidate_stars(reps)
+    wanted = written(reps.join(stars.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id"), "near-wanted")
+    # Exact repeats of a row have one key: one of them is read.
+    texts = (docs.select(_row_key().alias("row_key"), "text").join(wanted.drop("n_shingles"), "row_key")
+             .dropDuplicates(["id"]).select("id", "text", "regs"))
+    links = verified_links(
+        wanted.select("id", "n_shingles"), stars, linked,
+        lambda ids: packed_sets(texts.join(ids, "id"), shingle),
+        lambda sets: candidate_stars(sets.select("id", F.substring("set", 1, 2 * M).alias("regs")), _DRAWN))
+    classes = (classes.select("digest", "id", "first").join(connected(links), "id", "left")
+               .withColumn("comp", F.coalesce("comp", "id")))
     top = classes.groupBy("comp").agg(F.min("first").alias("top"))
     classes = classes.join(top, "comp").select(
         "digest", F.col("first.doc_id").alias("class_id"), F.col("top.doc_id").alias("component_id"),

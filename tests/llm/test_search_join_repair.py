@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 
 from jornada.llm import conversation_repair as repair
+from jornada.llm import blocks, graph, near_dup
 from jornada.llm import jaccard_join as join
 from jornada.llm import lexical_search as search
 from jornada.llm import queries
@@ -246,7 +247,7 @@ def test_join_equals_all_pairs(spark):
 
 def test_join_in_many_blocks(spark, monkeypatch):
     """A group of copies of copies, spread over blocks that only some links connect."""
-    monkeypatch.setattr(join, "BLOCK_SETS", 8)
+    monkeypatch.setattr(blocks, "BLOCK_SETS", 8)
     rng = random.Random(4)
     texts, words = [], [f"c{i}" for i in range(60)]
     for i in range(90):
@@ -257,6 +258,44 @@ def test_join_in_many_blocks(spark, monkeypatch):
     assert groups_of(spark, rows) == plain_groups(rows)
 
 
+def test_near_duplicates_in_many_blocks(spark, monkeypatch):
+    """Copies of copies for SetSketch: blocks of 8, and rows in proportion to the documents."""
+    monkeypatch.setattr(blocks, "BLOCK_SETS", 8)
+    made = []
+    for module in (near_dup, blocks, graph):
+        def counted(df, label, real=module.written):
+            out = real(df, label)
+            made.append((label, out.count()))
+            return out
+        monkeypatch.setattr(module, "written", counted)
+    rng = random.Random(4)
+    texts, words = [], [f"c{i}" for i in range(60)]
+    for i in range(90):
+        words = list(words)
+        words[rng.randrange(60)] = f"n{i}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts + near_copies(rng, words, 110, 8)))
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == plain_groups(rows, 2)
+    most = {"near-keys": max(near_dup.BANDS, near_dup.DRAWS)}
+    assert {"block-outside", "near-keys"} <= {label for label, _ in made}
+    assert all(n <= most.get(label, 4) * len(rows) for label, n in made), made
+
+
+def test_likely_pairs_are_those_of_the_estimate():
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+    sets = [np.unique(np.concatenate((base[k:], rng.integers(0, 1 << 63, k).astype(np.uint64))))
+            for k in range(0, 200, 8)] + [base[:340], base[:300]]
+    regs = np.stack([near_dup.registers(s) for s in sets])
+    n = np.array([len(s) for s in sets])
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets)), indexing="ij"))
+    fits = 100 * np.minimum(n[a], n[b]) >= 80 * np.maximum(n[a], n[b])
+    least = near_dup.MIN_ESTIMATE
+    want = fits & (near_dup.estimate(regs[a], regs[b], n[a], n[b]) >= least - 1e-9)
+    assert (near_dup.likely(regs, regs, n, n).ravel() == want).all() and 0 < want.sum() < fits.sum()
+
+
 def test_join_of_other_shingles_and_no_rows(spark):
     rows = [(1, "a b c d e f"), (2, "a b c d e f g"), (3, "f e d c b a")]
     assert groups_of(spark, rows, shingle=2) == plain_groups(rows, 2)
@@ -290,10 +329,10 @@ def test_forest_connects_what_the_links_connect():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 40, 25).astype(np.uint64)) for _ in range(60)]
     exact = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
-    assert (join.common_counts(sets, sets) == exact).all()
-    assert (join.common_counts(sets[:7], sets[5:]) == exact[:7, 5:]).all()
+    assert (blocks.common_counts(sets, sets) == exact).all()
+    assert (blocks.common_counts(sets[:7], sets[5:]) == exact[:7, 5:]).all()
     adjacent = exact >= 19
-    forest = join.spanning_forest(adjacent)
+    forest = blocks.spanning_forest(adjacent)
     assert all(adjacent[a, b] for a, b in forest) and len(forest) < len(sets)
     reach = [np.eye(len(sets), dtype=bool), np.eye(len(sets), dtype=bool)]
     reach[0] |= adjacent
