@@ -223,11 +223,11 @@ def _keys_of(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[
                                              ["key", "id"])
 
 
-def candidate_stars(reps: DataFrame, chosen: np.ndarray = _BANDED) -> DataFrame:
+def _stars(reps: DataFrame, chosen: np.ndarray) -> DataFrame:
     """(a, b): each id (of id, regs) with the smallest one of a key, as many pairs as connect
     whatever shares keys."""
     keys = written(reps.select("id", "regs").mapInArrow(lambda batches: _keys_of(batches, chosen),
-                                                        "key bigint, id bigint"), "near-keys")
+                                                        "key bigint, id bigint").distinct(), "near-keys")
     lead = (keys.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n"))
             .where("n > 1").select("key", "a"))
     stars = keys.join(lead, "key").where("a <> id").select("a", F.col("id").alias("b"))
@@ -235,6 +235,18 @@ def candidate_stars(reps: DataFrame, chosen: np.ndarray = _BANDED) -> DataFrame:
     return written(forest(stars.coalesce(keys.count() // TASK_LINKS + 1)), "near-stars")
 
 
+def candidate_stars(reps: DataFrame, chosen: np.ndarray = _BANDED) -> DataFrame:
+    """(a, b) pairs that connect whatever ids (of id, regs) share keys.
+
+    An eighth of the keys comes first. What they connect stands under one id in the
+    others, so a large group of near copies has few rows there.
+    """
+    first = _stars(reps, chosen[:len(chosen) // 8])
+    named = reps.select("id", "regs").join(connected(first), "id", "left").select(
+        F.coalesce("comp", "id").alias("id"), "regs")
+    return first.unionByName(_stars(named, chosen[len(chosen) // 8:]))
+
+
 def _keyed_duplicates(docs: DataFrame, shingle: int) -> DataFrame:
     """near_duplicates with the row key."""
     base = written(sketch(docs, shingle), "near-sketch")
@@ -247,8 +259,8 @@ def _keyed_duplicates(docs: DataFrame, shingle: int) -> DataFrame:
     stars = candidate_stars(reps)
     wanted = written(reps.join(stars.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id"), "near-wanted")
     # Exact repeats of a row have one key: one of them is read.
-    texts = (docs.select(_row_key().alias("row_key"), "text").join(wanted.drop("n_shingles"), "row_key")
-             .dropDuplicates(["id"]).select("id", "text", "regs"))
+    texts = written(docs.select(_row_key().alias("row_key"), "text").join(wanted.drop("n_shingles"), "row_key")
+                    .dropDuplicates(["id"]).select("id", "text", "regs"), "near-texts")
     links = verified_links(
         wanted.select("id", "n_shingles"), stars, linked,
         lambda ids: packed_sets(texts.join(ids, "id"), shingle),
