@@ -30,10 +30,12 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..config import BatchDate, Zone
 from ..sources.manifest import MANIFEST_SCHEMA, commit, object_folder
@@ -110,6 +112,11 @@ def name_status(dataset: Column, batch_date: Column) -> Column:
              .otherwise(F.lit(OK)))
 
 
+def _listing(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
+    """Rows that the driver holds already (one per object), as a local relation: no task runs."""
+    return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(schema)), schema)
+
+
 def list_drop(spark: SparkSession, drop_dir: str) -> DataFrame:
     """One row per object: name, files, bytes (file contents are not read).
 
@@ -118,7 +125,8 @@ def list_drop(spark: SparkSession, drop_dir: str) -> DataFrame:
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", "true")
              .load(drop_dir))
-    listed = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string")
+    listed = _listing(spark, [{"path": p} for p in files.inputFiles()],
+                      T.StructType([T.StructField("path", T.StringType())]))
     names = (listed.groupBy(object_name(F.url_decode("path"), drop_dir).alias("object"))
              .agg(F.count(F.lit(1)).alias("n_files")))
     sizes = (files.select("path", "length").groupBy(object_name(F.col("path"), drop_dir).alias("object"))
@@ -244,14 +252,14 @@ def quality(spark: SparkSession, drop_dir: str, objects: list[str], columns: lis
                  F.count_if(F.col("kind") == 1).alias("short_rows"), F.sum("filled").alias("filled_fields")))
 
 
-_REPORT = T.StructType([
-    T.StructField("object", T.StringType()), T.StructField("rows", T.LongType()),
-    T.StructField("long_rows", T.LongType()), T.StructField("short_rows", T.LongType()),
-    T.StructField("columns", T.ArrayType(T.StringType())), T.StructField("status", T.StringType())])
+_EXAMINED = T.StructType([
+    T.StructField("rows", T.LongType()), T.StructField("long_rows", T.LongType()),
+    T.StructField("short_rows", T.LongType()), T.StructField("columns", T.ArrayType(T.StringType())),
+    T.StructField("status", T.StringType())])
 
 
-def _examined(spark: SparkSession, drop_dir: str, objects: dict[str, str]) -> list[tuple]:
-    """(object, rows, long_rows, short_rows, columns, status) of objects by dataset."""
+def _examined(spark: SparkSession, drop_dir: str, objects: dict[str, str]) -> dict[str, tuple]:
+    """Object -> the fields of _EXAMINED, for objects by dataset."""
     failed: dict[str, Exception] = {}
 
     def headers(names: list[str]) -> dict[str, list[str]]:
@@ -278,7 +286,6 @@ def _examined(spark: SparkSession, drop_dir: str, objects: dict[str, str]) -> li
                 .distinct().collect())
         return {r.object: True for r in seen}
 
-    filled = _isolated(without, blank, failed) if without else {}
     counts: dict[str, tuple] = {}
 
     def count(names: list[str], of: tuple[str, ...]) -> dict[str, tuple]:
@@ -287,19 +294,21 @@ def _examined(spark: SparkSession, drop_dir: str, objects: dict[str, str]) -> li
 
     with ThreadPoolExecutor(max_workers=4) as pool:
         jobs = [(batch, of) for of, names in groups.items() for batch in _batches(names)]
+        texts = pool.submit(lambda: _isolated(without, blank, failed) if without else {})
         for done in pool.map(lambda j: _isolated(j[0], lambda names: count(names, j[1]), failed), jobs):
             counts.update(done)
+        filled = texts.result()
 
     def outcome(name: str) -> tuple:
         if name in failed:
             bad_header = "CSV header" in str(failed[name])
-            return name, None, None, None, None, REJECTED_HEADER if bad_header else REJECTED_UNREADABLE
+            return None, None, None, None, REJECTED_HEADER if bad_header else REJECTED_UNREADABLE
         if name not in columns:
-            return name, None, None, None, None, REJECTED_HEADER if name in filled else REJECTED_UNREADABLE
+            return None, None, None, None, REJECTED_HEADER if name in filled else REJECTED_UNREADABLE
         rows, long_rows, short_rows = counts.get(name, (0, 0, 0))
-        return name, rows, long_rows, short_rows, columns[name], REJECTED_MALFORMED if long_rows else OK
+        return rows, long_rows, short_rows, columns[name], REJECTED_MALFORMED if long_rows else OK
 
-    return [outcome(name) for name in objects]
+    return {name: outcome(name) for name in objects}
 
 
 def landing_report(spark: SparkSession, drop_dir: str, batch: BatchDate | None = None) -> DataFrame:
@@ -316,9 +325,13 @@ def landing_report(spark: SparkSession, drop_dir: str, batch: BatchDate | None =
     listed = routed.select("object", "dataset", "batch_date", "destination", "n_files", "bytes", "name_status")
     rows = listed.collect()
     found = _examined(spark, drop_dir, {r.object: r.dataset for r in rows if r.name_status == OK})
-    listed = spark.createDataFrame(rows, listed.schema)
-    return (listed.join(spark.createDataFrame(found, _REPORT), "object", "left")
-            .withColumn("status", F.coalesce("status", "name_status")).drop("name_status"))
+    schema = T.StructType([f for f in listed.schema if f.name != "name_status"] + _EXAMINED.fields)
+    merged = []
+    for r in rows:
+        row = r.asDict()
+        row["status"] = row.pop("name_status")
+        merged.append({**row, **dict(zip(_EXAMINED.names, found.get(r.object, ())))})
+    return _listing(spark, merged, schema)
 
 
 def write_objects(rows: DataFrame, zone: Zone, spec: TableSpec, landing: str) -> None:
@@ -334,14 +347,20 @@ def quarantine(spark: SparkSession, drop_dir: str, report: DataFrame, zone: Zone
     have any and can be read."""
     root = f"{zone.raw_root.rstrip('/')}/_quarantine/landing={landing}"
     rejected = report.where(F.col("status").startswith("rejected"))
-    rejected.select("object", "status", "n_files", "bytes").coalesce(1).write.parquet(f"{root}/objects")
     names = [r.object for r in rejected.where(
         (F.col("bytes") > 0) & (F.col("status") != REJECTED_UNREADABLE)).select("object").collect()]
-    for i, batch in enumerate(_batches(names)):
+
+    def lines(i: int, batch: list[str]) -> None:
         (spark.read.option("recursiveFileLookup", "true").text(_paths(drop_dir, batch))
          .select("value", object_name(source_file(), drop_dir).alias("object"))
          .write.partitionBy("object").text(f"{root}/lines/{i}"))
 
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        kept = [pool.submit(lines, i, batch) for i, batch in enumerate(_batches(names))]
+        rejected.select("object", "status", "n_files", "bytes").coalesce(1).write.parquet(f"{root}/objects")
+        for job in kept:
+            job.result()
+
 
 def scan_quarantine(spark: SparkSession, zone: Zone) -> DataFrame:
     """Every rejected object with its reason: landing, object, status, n_files, bytes."""
@@ -390,12 +409,12 @@ def land(spark: SparkSession, drop_dir: str, zone: Zone,
         for r in objects if exc is None else ():
             day = BatchDate(f"{r.batch_date:%Y%m%d}")
             folder = object_folder(day, r.object, landing) if r.rows else None
-            entries.append((r.object, r["columns"], folder, r.rows, landing, seq, dataset, *day.partition().values()))
+            entries.append(dict(zip(MANIFEST_SCHEMA.names, (
+                r.object, r["columns"], folder, r.rows, landing, seq, dataset, *day.partition().values()))))
     if entries:
-        commit(spark.createDataFrame(entries, MANIFEST_SCHEMA), zone)
-    report = spark.createDataFrame(rows, report.schema).withColumn(
-        "status", F.when(F.col("object").isin(*failed), FAILED_WRITE).otherwise(F.col("status")) if failed
-        else F.col("status"))
+        commit(_listing(spark, entries, MANIFEST_SCHEMA), zone)
+    final = [{**r.asDict(), **({"status": FAILED_WRITE} if r.object in failed else {})} for r in rows]
+    report = _listing(spark, final, report.schema)
     report.coalesce(1).write.parquet(f"{zone.raw_root.rstrip('/')}/_landing/{landing}")
     errors = [(dataset, exc) for dataset, _, exc in done if exc is not None]
     if errors:
