@@ -41,14 +41,45 @@ BLOCK = ("p", "div", "section", "article", "main", "body", "html", "h1", "h2", "
 CONTENT = ("article", "main")
 #: What a region pays each time its text passes into or out of a content element.
 CROSSING = 10.0
-ROLES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|cookies?|consent|notices?|sidebar|"
-    r"comments?|replies|disqus|related|share|social|menu|nav|navbar|navigation|breadcrumbs?|footer|header|popup|"
-    r"modal|newsletter|subscribe|signup|contentinfo|complementary)(?:$|[\s_-])", re.I)
+#: Class, id and role words of what isn't content; words that a role's box adds to its
+#: name; and words before a role that say what the element beside it has.
+ROLES = frozenset((
+    "ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "banner", "cookie", "cookies",
+    "consent", "notice", "notices", "sidebar", "comment", "comments", "replies", "disqus", "related", "share", "social",
+    "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "header", "popup", "modal",
+    "newsletter", "subscribe", "signup", "contentinfo", "complementary"))
+BOXES = frozenset((
+    "area", "bar", "block", "body", "box", "buttons", "container", "content", "form", "inner", "item", "items", "left",
+    "links", "list", "panel", "posts", "right", "section", "slot", "text", "thread", "top", "unit", "widget", "wrap",
+    "wrapper"))
+STATES = frozenset(("has", "is", "no", "with", "without"))
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"']+)))?")
+_HIDDEN_STYLE = re.compile(r"display\s*:\s*none", re.I)
+_PARTS = re.compile(r"[-_]+")
+
+
+def is_role(token: str) -> bool:
+    """Whether one class, id or role token names something that isn't content: it ends
+    in such a word (``site-footer``) or is one with the name of its box (``comment-list``).
+    ``comments-open`` and ``has-sidebar`` are states of another element."""
+    parts = [p for p in _PARTS.split(token.lower()) if p]
+    if not parts or parts[0] in STATES:
+        return False
+    return parts[-1] in ROLES or parts[0] in ROLES and all(p in BOXES or p in ROLES for p in parts[1:])
+
+
+def is_dropped(attributes: str) -> bool:
+    """Whether an element's attributes hide it or name a role that isn't content. Only
+    the attributes meant for that count, never the values of others."""
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), next(filter(None, values), "")
+        if (name == "hidden" or name == "aria-hidden" and value.lower() == "true"
+                or name == "style" and _HIDDEN_STYLE.search(value)
+                or name in ("class", "id", "role") and any(map(is_role, value.split()))):
+            return True
+    return False
 
 
 def _kind(name: str) -> str:
@@ -104,10 +135,7 @@ def tokens(page: str) -> list[tuple[str, str | None, bool, bool]]:
                 stack.pop()
         dropped, content = state()
         if not dropped:
-            attrs = m[2] or ""
-            names = " ".join(x or y or z for x, y, z in _NAMED.findall(attrs)) if "=" in attrs else ""
-            dropped = name in NEVER or (name not in ("html", "body", *CONTENT)
-                                        and bool(ROLES.search(names) or _HIDDEN.search(attrs)))
+            dropped = name in NEVER or (name not in ("html", "body", *CONTENT) and is_dropped(m[2] or ""))
         content = content or name in CONTENT
         if name not in VOID and not (m[2] or "").endswith("/"):
             stack.append((name, dropped, content))
@@ -165,9 +193,10 @@ def weight(weights: dict[str, float], kind: str, dropped: bool) -> float:
     return weights.get(key, start)
 
 
-def extract(page: str, weights: dict[str, float]) -> str:
-    """The text of the highest-scoring region of a page."""
-    rows = tokens(page)
+def best_region(rows: list[tuple[str, str | None, bool, bool]], weights: dict[str, float]) -> tuple[int, int]:
+    """(begin, end) of the contiguous tokens of the highest total, of equal ones the one
+    that ends first; (0, 0) where none is above zero. Each change into or out of a content
+    element between two texts of the region costs CROSSING."""
     best, best_span, total, begin = 0.0, (0, 0), 0.0, 0
     # Dropped elements are skipped by the scan: an advert inside an article doesn't end it.
     within = None  # whether the last text stood inside a content element
@@ -182,8 +211,15 @@ def extract(page: str, weights: dict[str, float]) -> str:
         total += score
         if total > best:
             best, best_span = total, (begin, i + 1)
+    return best_span
+
+
+def extract(page: str, weights: dict[str, float]) -> str:
+    """The text of the highest-scoring region of a page."""
+    rows = tokens(page)
+    begin, end = best_region(rows, weights)
     parts = []
-    for kind, text, dropped, _ in rows[best_span[0]:best_span[1]]:
+    for kind, text, dropped, _ in rows[begin:end]:
         if dropped:
             parts.append(" ")
         elif text is not None:

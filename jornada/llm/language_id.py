@@ -150,14 +150,14 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return None
-    # A hash decides, so languages with more rows are thinned evenly and repeatably.
+    # A hash of row and row number decides: languages with more rows are thinned evenly, and
+    # so are rows that repeat. The sample's size is per_language on average for each of them.
     share = F.lit(0.0)
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, F.lit(per_language / n)).otherwise(share)
-    drawn = F.pmod(F.xxhash64(F.lit(9), "doc_id", "text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    number = F.monotonically_increasing_id()
+    drawn = F.pmod(F.xxhash64(F.lit(9), "doc_id", "text", number), F.lit(1_000_003)) / F.lit(1_000_003.0)
     sample = rows.where(drawn < share).select("lang", "text")
-    if sample.isEmpty():
-        sample = rows.select("lang", "text")
     got = sample.mapInArrow(_vectors, "lang string, x binary").toArrow()
     x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float16).reshape(-1, DIMENSIONS).astype(np.float32)
     langs = np.array(got["lang"].to_pylist(), dtype=object)

@@ -146,13 +146,17 @@ class RuleModel:
 
 
 def train(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleModel:
-    """Fit on statistics joined with (doc_id, quality) labels."""
-    rows = stats.join(labels.where("quality is not null").select("doc_id", "quality"), "doc_id")
+    """Fit on statistics joined with (doc_id, quality) labels; of more than ``max_rows``
+    pairs a hash of both row numbers draws about so many, also where rows repeat."""
+    number = F.monotonically_increasing_id()
+    rows = stats.select("doc_id", *NAMES, number.alias("_at")).join(
+        labels.where("quality is not null").select("doc_id", "quality", number.alias("_label")), "doc_id")
     total = rows.count()
     if not total:
         return RuleModel([], 0.0)
-    drawn = F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    got = (rows.where(drawn < max_rows / total) if total > max_rows else rows).toArrow().sort_by("doc_id")
+    drawn = F.pmod(F.xxhash64(F.lit(4), "doc_id", "_at", "_label"), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    got = (rows.where(drawn < max_rows / total) if total > max_rows else rows).toArrow().sort_by(
+        [("doc_id", "ascending"), ("_at", "ascending"), ("_label", "ascending")])
     x = np.column_stack([got[n].to_numpy() for n in NAMES])
     y = (got["quality"].to_numpy() > 0).astype(float)
     if y.min() == y.max():

@@ -133,6 +133,41 @@ def test_html_region_is_chosen_by_the_weights():
     assert html_extract.extract(parts, weights) == f"{text} and so on {text}"
 
 
+def test_html_keeps_text_beside_role_words():
+    body = "kept " * 30
+    page = lambda attrs: html_extract.extract(f"<body><div {attrs}><p>{body}</p></div></body>", {})
+    for attrs in ('title="a hidden gem"', 'class="text comments-open"', 'class="content has-sidebar"', "data-hidden=1",
+                  'title="display: none"', 'alt="class=ad"', "id=addendum", 'aria-hidden="false"', "class="):
+        assert page(attrs) == body.strip(), attrs
+    for attrs in ("hidden", 'hidden=""', "class='x ad'", "id=site-footer", 'class="comment-list"', 'role="navigation"',
+                  'style="color:red; display : none"', 'aria-hidden="TRUE"', 'class="Cookie_Banner'):
+        assert page(attrs) == "", attrs
+
+
+def test_html_region_equals_brute_force():
+    rng = random.Random(5)
+    weights = {"w:p": 1.0, "w:li": 0.3, "p": -1.5, "a": -0.4, "w:p/x": -1.0}
+    for _ in range(400):
+        rows = []
+        for _ in range(rng.randint(0, 14)):
+            text = rng.choice([None, None, "a", "a b c", "a b c d e f g h i j k l m", " "])
+            kind = rng.choice(["p", "a"]) if text is None else rng.choice(["w:p", "w:li"])
+            rows.append((kind, text, rng.random() < 0.2, rng.random() < 0.5))
+
+        def total(a, b):
+            out, last = 0.0, None
+            for kind, text, dropped, inside in rows[a:b]:
+                n = 1 if text is None else len(text.split())
+                if text is not None and n and not dropped:
+                    out -= html_extract.CROSSING * (last is not None and last != inside)
+                    last = inside
+                out += 0.0 if dropped and inside else html_extract.weight(weights, kind, dropped) * n
+            return out
+
+        best = max((total(a, b) for a in range(len(rows)) for b in range(a, len(rows) + 1)), default=0.0)
+        assert total(*html_extract.best_region(rows, weights)) == pytest.approx(max(best, 0.0))
+
+
 def test_base_spans_equal_the_patterns():
     rng = random.Random(6)
     alphabet = "ab.@-+ 0123456789() "

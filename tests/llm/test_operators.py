@@ -322,6 +322,28 @@ def test_classifiers(spark, docs, empty):
     assert got.where("predicted = quality").count() >= 0.95 * got.count()
 
 
+def test_samples_stay_bounded_where_rows_repeat(spark, monkeypatch):
+    text = {"en": "the cat and the dog sat on the mat", "fr": "le chat et le chien sont sur le tapis"}
+    rows = spark.range(20_000).select(
+        F.lit(7).cast("long").alias("doc_id"), F.when(F.col("id") % 20 == 0, "fr").otherwise("en").alias("lang"))
+    rows = rows.withColumn("text", F.when(F.col("lang") == "fr", text["fr"]).otherwise(text["en"]))
+    sizes = []
+    fitted = language_id.Model
+    monkeypatch.setattr(language_id, "Model", lambda x, langs: sizes.append(len(x)) or fitted(x, langs))
+    model = language_id.train(rows, per_language=300)
+    assert 400 < sizes[0] < 800
+    got = language_id.predict(spark.createDataFrame([(1, text["en"]), (2, text["fr"])], "doc_id bigint, text string"), model)
+    assert {r.doc_id: r.lang_pred for r in got.collect()} == {1: "en", 2: "fr"}
+
+    stats = rule_ensemble.statistics(rows.select("doc_id", "text"))
+    drawn = []
+    extract = rule_ensemble.extract_rules
+    monkeypatch.setattr(rule_ensemble, "extract_rules", lambda x, y: drawn.append(len(x)) or extract(x, y))
+    labels = spark.createDataFrame([(7, 1), (7, 0), (7, None)], "doc_id bigint, quality int")
+    rule_ensemble.train(stats, labels, max_rows=1_000)
+    assert 800 < drawn[0] < 1_200
+
+
 def test_personal_data(docs, empty):
     rows = pii.find(docs, pii.train(docs)).collect()
     assert len(rows) == len(ROWS) and all(r.spans == "" for r in rows)
