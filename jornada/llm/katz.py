@@ -11,7 +11,8 @@ shared folder or shuffles between them:
 
 1. Documents are packed into blocks of about BLOCK_BYTES of text.
 2. Each block lists its distinct words and pairs (64-bit hashes, sorted, as packed
-   differences) with their training counts, cut into buckets of the hash range.
+   differences) with their training counts, cut into buckets of the hash range; it has
+   rows for the buckets that it has keys of, and no others.
 3. Each bucket adds the counts up over the blocks and answers every block in the order
    it asked: the corpus count of each key, and whether this block speaks for it. A word
    or pair that makes up a third of all tokens is one entry per block; hash ranges
@@ -46,7 +47,7 @@ K = 5
 END = np.uint64(0x9D5C0FB1A7E3D241)
 START = np.uint64(0x5A17B20C4F9E8863)
 #: Bytes of text in a block, and about so many bytes of text to a bucket of keys.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 12 << 20
 
 _DOCS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.large_string())])
@@ -162,35 +163,38 @@ class _Sequences:
         return mix64(self.prev * np.uint64(0x9E3779B97F4A7C15) + mix64(self.word))
 
 
-def _bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each of ``buckets`` equal hash ranges begins and ends in sorted keys."""
-    edges = np.array([(i << 64) // buckets for i in range(1, buckets)], dtype=np.uint64)
-    return np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
+def _buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The one of ``buckets`` equal hash ranges that each key falls in (under 2**32 of them)."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 def _asked(buckets: int):
-    """Task function: the keys of each block, cut into buckets, with training counts."""
+    """Task function: the keys of each block with training counts, cut into the buckets
+    they fall in. A block gives rows for these alone, so the rows grow with the distinct
+    keys of the blocks, however many buckets there are."""
     def counted(keys, training):
         order = np.argsort(keys, kind="stable")
         keys, training = keys[order], training[order]
         at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        return keys[at], np.add.reduceat(training, at)
+        keys, counts = keys[at], np.add.reduceat(training, at)
+        return keys, counts, _buckets_of(keys, buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, docs in zip(batch.column(0).to_pylist(), batch.column(1)):
                 seq = _Sequences(docs.as_buffer())
                 training = (~seq.held)[seq.owner].astype(np.int64)
-                rows = {"bucket": range(buckets), "block": [block] * buckets}
-                for keys, name, n in ((seq.pair(), "pairs", "pair_n"), (seq.word, "words", "word_n")):
-                    keys, counts = counted(keys, training)
-                    cut = _bounds(keys, buckets)
-                    rows[name] = [pack_keys(keys[a:b]) for a, b in zip(cut[:-1], cut[1:])]
-                    rows[n] = [pack_counts(counts[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+                pairs = counted(seq.pair(), training)
+                words = counted(seq.word, training)
+                del seq, training
+                cells = np.union1d(pairs[2], words[2])
+                columns = [pa.array(cells, pa.int32()), pa.array(np.full(len(cells), block), pa.int64())]
+                for keys, counts, bucket in (pairs, words):
+                    cuts = list(zip(np.searchsorted(bucket, cells), np.searchsorted(bucket, cells, side="right")))
+                    columns += [pa.array([pack_keys(keys[a:b]) for a, b in cuts], pa.binary()),
+                                pa.array([pack_counts(counts[a:b]) for a, b in cuts], pa.binary())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows["bucket"], pa.int32()), pa.array(rows["block"], pa.int64())]
-                    + [pa.array(rows[c], pa.binary()) for c in ("pairs", "pair_n", "words", "word_n")],
-                    ["bucket", "block", "pairs", "pair_n", "words", "word_n"])
+                    columns, ["bucket", "block", "pairs", "pair_n", "words", "word_n"])
     return run
 
 

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -283,6 +284,19 @@ def test_katz_over_many_blocks_and_buckets(spark, monkeypatch):
         assert r.base_score == pytest.approx(e[3]) and r.score == pytest.approx(e[4])
 
 
+def test_katz_blocks_ask_only_buckets_they_have_keys_of():
+    docs = pa.RecordBatch.from_pydict(
+        {"doc_id": [1, 2], "held_out": [False, True], "text": ["a b a b", "a c"]}, katz._DOCS)
+    block = pa.RecordBatch.from_pydict({"block": [5], "docs": [katz._packed_docs([docs])]})
+    few, many = (pa.Table.from_batches(katz._asked(n)(iter([block]))) for n in (1, 1 << 30))
+    # 4 words with the end and 7 pairs with the start: a row each at most
+    assert few.num_rows == 1 and many.num_rows <= 11
+    for keys, n, training in (("words", "word_n", 5), ("pairs", "pair_n", 5)):
+        listed = [np.concatenate([katz.unpack_keys(k.as_py()) for k in t[keys]]).tolist() for t in (few, many)]
+        assert listed[0] == listed[1] == sorted(listed[0])
+        assert [sum(int(katz.unpack_counts(c.as_py()).sum()) for c in t[n]) for t in (few, many)] == [training] * 2
+
+
 def test_katz_scores_every_row_on_its_own(spark):
     texts = ["a b c d", "a b c d", "b c x", None, "qq a c"] * 3
     keyed = [(i, t, i % 5 == 4) for i, t in enumerate(texts)]
