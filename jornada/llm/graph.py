@@ -15,7 +15,7 @@ TASK_LINKS = 500_000
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The links of a task that join what earlier ones do not."""
+    """Each id that a task's links join to a smaller one, with the smallest it reaches there."""
     above: dict[int, int] = {}
 
     def top(x):
@@ -25,18 +25,20 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return x
 
     for batch in batches:
-        a, b = [], []
         for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             p, q = top(x), top(y)
             if p != q:
                 above[max(p, q)] = min(p, q)
-                a.append(x)
-                b.append(y)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    ids = list(above)
+    for at in range(0, len(ids), 10_000):
+        part = ids[at:at + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array([top(x) for x in part], pa.int64()), pa.array(part, pa.int64())],
+                                         ["a", "b"])
 
 
 def forest(links: DataFrame) -> DataFrame:
-    """Links (a, b) less those that a task's other links make needless."""
+    """Links (a, b) that connect whatever the given ones connect: of each task's links one
+    star per component, with its smallest id as ``a``. No task's part holds a chain."""
     return links.select("a", "b").mapInArrow(_forest, "a bigint, b bigint")
 
 
@@ -44,13 +46,14 @@ def connected(links: DataFrame) -> DataFrame:
     """(id, comp) of every linked id: the smallest id reachable over the links.
 
     Each round gives every node the least label around it, then the label of that label,
-    so rounds grow with the logarithm of a chain's length. The tasks of a round follow
-    the number of links; only counts reach the driver.
+    so rounds grow with the logarithm of a chain's length. Chains are at most as long as the number
+    of tasks twice over, since each task's links are turned into stars first. The tasks of a
+    round follow the number of links; only counts reach the driver.
     """
     links = written(forest(links), "cc-links")
     tasks = links.count() // TASK_LINKS + 1
-    edges = written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).coalesce(tasks),
-                    "cc-edges")
+    stars = written(forest(links.coalesce(tasks)), "cc-stars")
+    edges = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b"))).coalesce(tasks)
     labels = written(edges.groupBy("a").agg(F.min("b").alias("m"))
                      .select(F.col("a").alias("id"), F.least("a", "m").alias("comp")).coalesce(tasks), "cc-labels")
     while True:

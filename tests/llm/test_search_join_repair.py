@@ -342,3 +342,29 @@ def test_forest_connects_what_the_links_connect():
         for _ in range(7):
             r |= (r.astype(int) @ r.astype(int)) > 0
     assert (reach[0] == reach[1]).all()
+
+
+@pytest.mark.parametrize("task_links", [7, 500_000])
+def test_components_of_chains_rings_and_stars(spark, monkeypatch, task_links):
+    rng = random.Random(3)
+    chain = [(i, i + 1) for i in range(300)]
+    ring = [(1000 + i, 1000 + (i + 1) % 50) for i in range(50)]
+    star = [(2000, 2000 + i) for i in range(1, 60)]
+    rest = [(rng.randint(3000, 3200), rng.randint(3000, 3200)) for _ in range(90)]
+    links = [rng.choice([(a, b), (b, a)]) for a, b in chain + ring + star + rest + star[:9]]
+    rng.shuffle(links)
+    above = {}
+
+    def top(x):
+        return x if above.get(x, x) == x else top(above[x])
+
+    for a, b in links:
+        p, q = sorted((top(a), top(b)))
+        above.setdefault(p, p)
+        above[q] = p
+    monkeypatch.setattr(graph, "TASK_LINKS", task_links)
+    df = spark.createDataFrame(links, "a bigint, b bigint").repartition(6)
+    got = {r.id: r.comp for r in graph.connected(df).collect()}
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    assert got == {x: top(x) for x in linked}
+    assert graph.connected(df.limit(0)).count() == 0
