@@ -18,23 +18,29 @@ import gc
 import os
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import simple8b
+from .common import text_slices
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 #: A block closes once it holds this many ids.
 BLOCK_IDS = 1 << 16
-#: Entries of a worker's piece cache; it is emptied when full (results don't depend on it).
+#: Entries of a worker's cache, and the longest piece it keeps; it is emptied when full
+#: (results don't depend on it).
 CACHE_ENTRIES = 800_000
+CACHE_LENGTH = 64
+#: Bytes of text whose distinct pieces are found at once.
+SLICE_BYTES = 4 << 20
 
 _BLOCKS = ("shard int, block int, first bigint, n_ids bigint, doc_ids array<bigint>, "
            "counts array<bigint>, words binary")
@@ -49,41 +55,38 @@ def default_vocabulary() -> str:
 
 # Letters and marks that the vocabulary's pre-tokenizer keeps apart whatever stands
 # around them: a run of Latin letters (with the space before it), a run of other
-# signs, a single line break. Anything else sends the piece whole to the tokenizer.
+# signs, a single line break. A piece with anything else goes whole to the tokenizer.
 _UNIT = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[^\\w\\s']+|\n)")
+_UNSURE = re.compile("[^\\WA-Za-zÀ-ÖØ-öø-ÿ]|[^\\S\n]|'|\n\n|\n\\Z")
 _INNER = re.compile(r"(?<=\S) (?=\S)")
-_MARKS = frozenset(",.;:!?")
+# A space beside white space, or white space at a text's end (what Python calls white space).
+_WHITE = r"[\x09-\x0D\x1C-\x1F\x20\x{85}\p{Z}]"
+_ODD = f"{_WHITE} | {_WHITE}|{_WHITE}\\z"
 # A byte-level vocabulary spells these bytes as themselves, and the others,
 # in ascending order, as the characters from 256 on.
 _AS_THEMSELVES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_OTHERS = [b for b in range(256) if b not in _AS_THEMSELVES]
-_BYTE_SIGNS = {**{b: b for b in _AS_THEMSELVES}, **{b: 256 + i for i, b in enumerate(_OTHERS)}}
+_BYTE_SIGNS = np.zeros(256, "<u4")
+_BYTE_SIGNS[_AS_THEMSELVES] = _AS_THEMSELVES
+_BYTE_SIGNS[_BYTE_SIGNS == 0] = 256 + np.arange(256 - len(_AS_THEMSELVES))
 
 
-def _units(piece: str) -> list[str]:
-    """Units of a piece with the space before it; empty where they don't cover it safely."""
-    if piece.isascii():  # plain words, most often with one mark behind them
-        if piece.isalpha():
-            return [" " + piece]
-        if piece[-1] in _MARKS and piece[:-1].isalpha():
-            return [" " + piece[:-1], piece[-1]]
-    units = _UNIT.findall(" " + piece)
-    safe = sum(map(len, units)) == len(piece) + 1 and "\n\n" not in piece and piece[-1] != "\n"
-    return units if safe else []
-
-
-def _spaced(piece: str) -> bool:
-    """Whether a piece is empty or has white space at an end (its cuts aren't sure)."""
-    return not piece or piece[0].isspace() or piece[-1].isspace()
+def _taken(ids: np.ndarray, sizes: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """The entries at ``slots`` in a row; ``ids`` holds entries of ``sizes`` one behind the other."""
+    size = sizes[slots]
+    ends = np.cumsum(size)
+    at = np.repeat((np.cumsum(sizes) - sizes)[slots] - (ends - size), size)
+    at += np.arange(len(at))
+    return ids[at]
 
 
 class PieceEncoder:
-    """Encodes texts piece by piece with a cache.
+    """Encodes texts by way of their distinct pieces, with a cache of units.
 
     A space between two non-space characters always begins a pre-token of a
     byte-level vocabulary, so the ids of a text are those of its pieces in a row.
-    Pieces recur; each distinct one is encoded once per worker. A text that holds the
-    spelling of an added token is encoded whole, as the library does it.
+    Pieces recur: Arrow numbers the distinct ones of a call, each of them is cut into
+    units once, and a unit is encoded once per worker. A text that holds the spelling
+    of an added token is encoded whole, as the library does it.
     """
 
     def __init__(self, vocabulary: str):
@@ -93,83 +96,112 @@ class PieceEncoder:
             raise ValueError(f"{vocabulary}: a byte-level vocabulary without normaliser is needed")
         self._added = [t.content for t in self._tok.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("H" if self._tok.get_vocab_size() <= 1 << 16 else "I")
-        self._pieces: dict[str, bytes] = {}
-        self._units: dict[str, bytes] = {}
-
-    def _fill(self, cache: dict[str, bytes], texts) -> None:
-        """Encode ``texts`` into a cache."""
-        texts = list(texts)
-        if texts:
-            for text, found in zip(texts, self._tok.encode_batch_fast(texts, add_special_tokens=False)):
-                cache[text] = array(self.dtype.char, found.ids).tobytes()
-
-    def _fill_units(self, units: set[str]) -> None:
-        """Encode units; words and ASCII signs, single pre-tokens, by the model alone."""
-        plain = [u for u in units if u != "\n" and (u.isascii() or u[1:].isalpha())]
-        self._fill(self._units, units.difference(plain))
+        self._clear()
+
+    def _clear(self) -> None:
+        """Empty the cache: strings by slot, their ids in a row, and whether a space begins them."""
+        self._slots: dict[str, int] = {}
+        self._ids = np.zeros(0, self.dtype)
+        self._sizes = np.zeros(0, np.int64)
+        self._begins = np.zeros(0, bool)
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text from the library."""
+        return [found.ids for found in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _by_model(self, units: list[str]) -> list[list[int]]:
+        """Ids of words and ASCII signs, single pre-tokens, from the vocabulary's model alone."""
+        data = np.frombuffer("\n".join(units).encode(), np.uint8)
+        signs = _BYTE_SIGNS[data].tobytes().decode("utf-32-le").split(chr(_BYTE_SIGNS[10]))
+        tokenize = self._tok.model.tokenize  # one fetch: each access makes a new wrapper
+        return [[t.id for t in tokenize(text)] for text in signs]
+
+    def _flat(self, found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in a row and the size of each entry."""
+        return (np.fromiter(chain.from_iterable(found), self.dtype),
+                np.fromiter(map(len, found), np.int64, len(found)))
+
+    def _keep(self, texts: list[str], found: list[list[int]]) -> None:
+        """Enter texts into the cache."""
+        ids, sizes = self._flat(found)
+        self._slots.update(zip(texts, range(len(self._slots), len(self._slots) + len(texts))))
+        self._ids = np.concatenate((self._ids, ids))
+        self._sizes = np.concatenate((self._sizes, sizes))
+        self._begins = np.concatenate((self._begins, np.fromiter((t[0] == " " for t in texts), bool, len(texts))))
+
+    def _learn(self, units: list[str], whole: list[str]) -> None:
+        """Encode the units and whole pieces that the cache lacks."""
+        new = list(set(units).difference(self._slots))
+        plain = [u for u in new if u != "\n" and (u.isascii() or u[1:].isalpha())]
+        rest = list({*new, *whole}.difference(self._slots, plain))
         if plain:
-            signs = "\n".join(plain).encode().decode("latin-1").translate(_BYTE_SIGNS)
-            model = self._tok.model  # one fetch: each access makes a new wrapper
-            for unit, text in zip(plain, signs.split(chr(_BYTE_SIGNS[10]))):
-                self._units[unit] = array(self.dtype.char, [t.id for t in model.tokenize(text)]).tobytes()
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Encode pieces (without the space before them) by way of their units."""
-        cut = {piece: _units(piece) for piece in pieces}
-        whole = [piece for piece, units in cut.items() if not units]
-        found: dict[str, bytes] = {}
-        self._fill(found, [" " + piece for piece in whole])
-        self._pieces.update((piece, found[" " + piece]) for piece in whole)
-        self._fill_units({u for units in cut.values() for u in units}.difference(self._units))
-        get = self._units.__getitem__
-        self._pieces.update((piece, b"".join(map(get, units))) for piece, units in cut.items() if units)
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text."""
+            self._keep(plain, self._by_model(plain))
+        if rest:
+            self._keep(rest, self._whole(rest))
+
+    def _pieces(self, pieces: list[str], heads: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, sizes, places): pieces, with the space before them, stand at ``places``, heads behind them."""
+        units, whole, once = [], [], []
+        for at, piece in enumerate(pieces):
+            (once if len(piece) > CACHE_LENGTH else whole if _UNSURE.search(piece) else units).append(at)
+        places = np.empty(len(pieces), np.int64)
+        places[units + whole + once] = np.arange(len(pieces))
+        units = _UNIT.findall("".join([" " + pieces[at] for at in units]))
+        whole = [" " + pieces[at] for at in whole]
+        self._learn(units, whole)
+        slots = np.fromiter(map(self._slots.__getitem__, chain(units, whole)), np.int64, len(units) + len(whole))
+        ids = [_taken(self._ids, self._sizes, slots)]
+        sizes = [np.add.reduceat(self._sizes[slots], np.flatnonzero(self._begins[slots]))] if len(slots) else []
+        # Long pieces and the starts of texts seldom recur: they stay out of the cache.
+        found, more = self._flat(self._whole([" " + pieces[at] for at in once] + heads))
+        return np.concatenate((*ids, found)), np.concatenate((*sizes, more)), places
+
+    def _rows(self, flat: pa.Array, counts: np.ndarray) -> list[np.ndarray]:
+        """Ids of texts given by their pieces: the first as it is, the others with a space before them."""
+        if not len(counts):
+            return []
+        heads = np.cumsum(counts) - counts
+        first = np.zeros(len(flat), bool)
+        first[heads] = True
+        rest = flat.filter(pa.array(~first)).dictionary_encode()
+        pieces = rest.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids, sizes, places = self._pieces(
+            pieces, flat.take(pa.array(heads)).to_numpy(zero_copy_only=False).tolist())
+        slots = np.empty(len(flat), np.int64)
+        slots[heads] = len(pieces) + np.arange(len(heads))
+        slots[~first] = places[rest.indices.to_numpy()]
+        ends = np.cumsum(np.add.reduceat(sizes[slots], heads)).tolist()
+        ids = _taken(ids, sizes, slots)
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
+    def __call__(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
+        """Ids of each text (null: none)."""
         collecting = gc.isenabled()
         gc.disable()  # the short-lived lists hold no cycles; scanning them takes a sixth of the time
         try:
-            return self._encode(texts)
+            return self._encode(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
         finally:
             if collecting:
                 gc.enable()
 
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        held = [i for i, t in enumerate(texts) if any(a in t for a in self._added)]
-        if held:
-            texts = list(texts)
-            whole = [np.array(self._tok.encode(texts[i], add_special_tokens=False).ids, self.dtype) for i in held]
-            for i in held:
-                texts[i] = ""
-            out = self._encode(texts)
-            for i, ids in zip(held, whole):
-                out[i] = ids
-            return out
-        for cache in (self._pieces, self._units):
-            if len(cache) > CACHE_ENTRIES:
-                cache.clear()
-        have = self._pieces
-        split = [t.split(" ") for t in texts]
-        missing = set().union(*(parts[1:] for parts in split)).difference(have)
+    def _encode(self, column: pa.Array) -> list[np.ndarray]:
+        if len(self._slots) > CACHE_ENTRIES:
+            self._clear()
+        column = column.fill_null("")
         # Where white space meets white space or a text's end, a split at a space isn't
-        # sure: such pieces never enter the cache, and their texts are split with care.
-        odd = {piece for piece in missing if _spaced(piece)}
-        missing -= odd
-        for row, parts in enumerate(split):
-            if parts[0][-1:].isspace() or (odd and not odd.isdisjoint(parts[1:])):
-                split[row] = parts = _INNER.split(texts[row])
-                missing.update(piece for piece in parts[1:] if not _spaced(piece) and piece not in have)
-        self._learn(missing)
-        ends = {parts[-1] for parts in split if len(parts) > 1 and _spaced(parts[-1])}
-        once: dict[str, bytes] = {"": b""}
-        self._fill(once, {parts[0] for parts in split if parts[0]} | {" " + piece for piece in ends})
-        get = have.__getitem__
-        out = []
-        for parts in split:
-            body = parts[1:]
-            tail = once[" " + body.pop()] if body and body[-1] in ends else b""
-            out.append(np.frombuffer(once[parts[0]] + b"".join(map(get, body)) + tail, dtype=self.dtype))
-        return out
+        # sure: such texts are split with care.
+        odd = pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False)
+        held = np.zeros(len(column), bool)
+        for added in self._added:
+            held |= pc.match_substring(column, added).to_numpy(zero_copy_only=False)
+        split = pc.split_pattern(column.filter(pa.array(~(odd | held))), " ")
+        plain = iter(self._rows(split.flatten(), split.value_lengths().to_numpy().astype(np.int64)))
+        parts = [_INNER.split(t) for t in column.filter(pa.array(odd & ~held)).to_pylist()]
+        careful = iter(self._rows(pa.array(list(chain.from_iterable(parts)), column.type),
+                                  np.array(list(map(len, parts)), np.int64)))
+        whole = iter([np.array(self._tok.encode(t, add_special_tokens=False).ids, self.dtype)
+                      for t in column.filter(pa.array(held)).to_pylist()])
+        return [next(whole if h else careful if o else plain) for h, o in zip(held, odd)]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -183,19 +215,6 @@ def encoder(vocabulary: str) -> PieceEncoder:
     return _ENCODERS[vocabulary]
 
 
-def _texts(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of row ranges of about ``limit`` characters."""
-    held, size, first = [], 0, 0
-    for row, text in enumerate(column):
-        held.append(text.as_py() or "")
-        size += len(held[-1])
-        if size >= limit:
-            yield first, held
-            held, size, first = [], 0, row + 1
-    if held:
-        yield first, held
-
-
 def _encoded_blocks(vocabulary: str | None, end_id: int):
     """Task function: a sorted partition of (doc_id, text) as packed blocks."""
     schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first", pa.int64()),
@@ -220,9 +239,10 @@ def _encoded_blocks(vocabulary: str | None, end_id: int):
             return out
 
         for batch in batches:
-            for row, texts in _texts(batch.column(1)):
-                for doc, ids in zip(batch.column(0).slice(row, len(texts)), encode(texts)):
-                    docs.append(doc.as_py())
+            for row, until, _, _ in text_slices(batch.column(1), SLICE_BYTES):
+                texts = batch.column(1).slice(row, until - row)
+                for doc, ids in zip(batch.column(0).slice(row, until - row).to_pylist(), encode(texts)):
+                    docs.append(doc)
                     counts.append(len(ids) + 1)
                     data += (ids, end)
                     total += counts[-1]

@@ -254,3 +254,23 @@ def test_encoder_equals_the_plain_tokenizer():
         some = texts[at:at + 200]
         for ids, text in zip(encode(some), some):
             assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_encoder_numbers_pieces_of_a_column_and_learns_units_once():
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(token_store.default_vocabulary())
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdeéñ") for _ in range(rng.randint(3, 9))) for _ in range(200)]
+    pieces = [w + mark for w in words for mark in ("", ",", ".", "!?", "-" + words[0], "\n" + words[1])]
+    odd = ["", " ", "  a", "a ", "a  b", "a \x85b", "\n", "x\n y", "q" * 200 + " it's 12 你好", "<|endoftext|> a  b", None]
+    texts = odd + [" ".join(rng.choices(pieces, k=60)) for _ in range(400)] + odd[::-1]
+    column = pa.array(["skipped", *texts]).slice(1)
+    encode = token_store.PieceEncoder(token_store.default_vocabulary())
+    for _ in range(2):
+        assert [ids.tolist() for ids in encode(column)] == [
+            plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    # Words with and without the space before them, four marks and a line break, and
+    # the few pieces of the odd texts: no entry for each of the 1,200 pieces.
+    assert len(encode._slots) < 450
+    assert max(map(len, encode._slots)) <= token_store.CACHE_LENGTH + 1
+    assert [ids.tolist() for ids in encode([])] == []
